@@ -48,13 +48,16 @@ UNITS = {
     "mm": "millimeters",
 }
 
-# Compound units come first in the alternation, so "km/s" is never read as "km".
-# A degree sign right after a digit is left to the number rules.
+# Longer units come first in the alternation, so "km/s" is never read as "km". The
+# look-ahead on the first character rejects most positions at the cost of one
+# comparison. A degree sign right after a digit is left to the number rules.
 _UNIT = (
+    f"(?=[{''.join(sorted({unit[0] for unit in UNITS}))}°])(?:"
     f"{NOT_AFTER_WORD}(?:{'|'.join(sorted(UNITS, key=len, reverse=True))}){NOT_BEFORE_WORD}"
-    f"|{AFTER_WORD}(?<!{DIGIT})°[{''.join(DEGREES)}]{NOT_BEFORE_WORD}"
+    f"|{AFTER_WORD}(?<!{DIGIT})°[{''.join(DEGREES)}]{NOT_BEFORE_WORD})"
 )
 _UNIT_WORDS = {**UNITS, **{f"°{scale}": words for scale, words in DEGREES.items()}}
+_SPACE_RUN = f"(?![!-~])(?: [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*)"
 _CONTRACTION = rf"(?<![{WORD}'’])[a-z]+(?:['’][a-z]+)+(?![{WORD}'’])"
 
 
@@ -133,7 +136,7 @@ def strip_copyright(text: Column) -> Column:
 
 
 def remove_emojis(text: Column) -> Column:
-    return F.regexp_replace(text, f"[{EMOJI}]+", "")
+    return F.regexp_replace(text, rf"(?![\x00-\xff])[{EMOJI}]+", "")
 
 
 def collapse_repeats(text: Column) -> Column:
@@ -150,7 +153,9 @@ def remove_special(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+    """Whitespace runs become one space, none at the ends. A lone space is already
+    what it should be and is not matched."""
+    return F.trim(F.regexp_replace(text, _SPACE_RUN, " "))
 
 
 def clean_text_by_steps(text: Column, drop_numbers: bool = False) -> Column:
@@ -183,9 +188,9 @@ def clean_text(text: Column, drop_numbers: bool = False) -> Column:
     """
     lowered = lower_case(expand_units(text))
     expanded = F.when(_has_apostrophe(text), _with_value(lowered, _expand)).otherwise(lowered)
-    bare = F.regexp_replace(expanded, rf"(?:@[{WORD}]+|[^{WORD}{SPACE}?%/.\-])+", " ")
+    bare = F.regexp_replace(expanded, rf"@[{WORD}]*|[^@{WORD}{SPACE}?%/.\-]+", " ")
     apart = F.regexp_replace(bare, "([.?/])", " $1 ")
-    kept = F.regexp_replace(apart, f"[{EMOJI}]+", "")
+    kept = remove_emojis(apart)
     if drop_numbers:
         kept = remove_numbers(kept)
     return collapse_whitespace(kept)

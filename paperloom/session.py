@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("paperloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="paperloom-wh-", dir="/tmp"))
