@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,3 +85,21 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= 2 * cores:
         return df
     return df.repartition(2 * cores, *keys)
+
+
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, once per application. A cluster job that
+    is submitted with the package (``--py-files``) does not need it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped_to:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="paperloom-pkg-", dir="/tmp")) / "paperloom.zip"
+        with zipfile.ZipFile(archive, "w") as bundle:
+            for source in sorted(package.rglob("*.py")):
+                bundle.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped_to.add(app)
+    return spark

@@ -1,0 +1,69 @@
+"""Run queries against their SQL and report differences.
+
+    python tests/compare.py SF_DIR [query ...]
+"""
+
+import sys
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import duckdb  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def differences(spark, con, query, sql, sf_dir):
+    """Problems found, as text; empty if the results are equal as sets of rows."""
+    frame = query(spark, sf_dir)
+    relation = con.execute(sql)
+    names = [d[0] for d in relation.description]
+    if sorted(names) != sorted(frame.columns):
+        return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    order = sorted(names)
+    expected = [tuple(row[names.index(c)] for c in order) for row in relation.fetchall()]
+    found = [tuple(row[c] for c in order) for row in frame.select(*[f"`{c}`" for c in order]).collect()]
+    expected, found = sorted(expected, key=repr), sorted(found, key=repr)
+    if len(expected) != len(found):
+        return f"{len(found)} rows, expected {len(expected)}"
+    wrong = [(f, e) for f, e in zip(found, expected) if repr(f) != repr(e)]
+    if wrong:
+        f, e = wrong[0]
+        cell = next((c, a, b) for c, a, b in zip(order, f, e) if repr(a) != repr(b))
+        return f"{len(wrong)} rows differ, first in {cell[0]}: {str(cell[1])[-300:]!r} != {str(cell[2])[-300:]!r}"
+    return ""
+
+
+def main(sf_dir, *wanted):
+    import __spark_entry__ as entry
+    from paperloom.session import local_session
+
+    spark = local_session(8)
+    con = connect(sf_dir)
+    oracles = entry.oracle_sql()
+    failed = 0
+    for name, query in entry.queries().items():
+        if wanted and name not in wanted:
+            continue
+        begun = time.time()
+        try:
+            problem = differences(spark, con, query, oracles[name], sf_dir) if name in oracles else "no SQL"
+        except Exception as error:  # reported, the run goes on
+            problem = f"{type(error).__name__}: {str(error)[:400]}"
+        failed += bool(problem)
+        print(f"{'FAIL' if problem else 'ok':5}{name:28}{time.time() - begun:7.2f}s  {problem}", flush=True)
+    print(f"{failed} failed")
+
+
+if __name__ == "__main__":
+    main(*sys.argv[1:])
