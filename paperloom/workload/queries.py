@@ -215,7 +215,13 @@ def csv_round_trip(spark, sf_dir):
 
 
 def csv_unreadable_lists(spark, sf_dir):
-    return unreadable_lists(read_csv(spark, _csv_folder(spark, sf_dir))).select("Article Id")
+    """Exports in which only English articles have their keywords written as a list."""
+    docs = table(spark, sf_dir, "documents")
+    keywords = F.when(F.col("lang") == "en", A.list_to_text(F.split("text", "\n"))).otherwise(F.col("text"))
+    export = docs.select(
+        F.col("doc_id").alias("Article Id"), F.lit("['A B']").alias("Author name"), keywords.alias("Keywords")
+    )
+    return unreadable_lists(export).select("Article Id")
 
 
 def bulk_init(spark, sf_dir):

@@ -39,8 +39,10 @@ def differences(spark, con, query, sql, sf_dir):
     wrong = [(f, e) for f, e in zip(found, expected) if repr(f) != repr(e)]
     if wrong:
         f, e = wrong[0]
-        cell = next((c, a, b) for c, a, b in zip(order, f, e) if repr(a) != repr(b))
-        return f"{len(wrong)} rows differ, first in {cell[0]}: {str(cell[1])[-300:]!r} != {str(cell[2])[-300:]!r}"
+        name, a, b = next((c, str(a), str(b)) for c, a, b in zip(order, f, e) if repr(a) != repr(b))
+        at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        near = slice(max(0, at - 60), at + 60)
+        return f"{len(wrong)} rows differ, first in {name}: {a[near]!r} != {b[near]!r}"
     return ""
 
 
