@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# What one search request and one harvest may return.
-PAGE_SIZE = 25
-RESULT_CAP = 5000
-HARVEST_CAP = 11
+from paperloom.limits import HARVEST_CAP, PAGE_SIZE, RESULT_CAP
 
 
 def top_n(df: DataFrame, n: int, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:

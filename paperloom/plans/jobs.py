@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.articles import ARTICLE_SCHEMA, has_keywords, parse_article
+from paperloom.limits import HARVEST_CAP, RESULT_CAP
 from paperloom.operators.dedupe import any_per_key, first_per_key, latest_articles
 from paperloom.operators.flatten import flatten, with_display_names
 from paperloom.operators.keys import article_table, key_violations, keyword_table, orphan_keys
 from paperloom.operators.merge import new_rows
-from paperloom.operators.rank import HARVEST_CAP, RESULT_CAP, capped_harvest, first_harvest, top_n
+from paperloom.operators.rank import capped_harvest, first_harvest, top_n
 from paperloom.plans.schema import create_schema
 from paperloom.sinks.writers import write_csv, write_run
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles

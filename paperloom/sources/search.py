@@ -16,11 +16,10 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from paperloom.operators.rank import PAGE_SIZE, RESULT_CAP
+from paperloom.limits import PAGE_SIZE, RESULT_CAP
 
 Transport = Callable[[dict], str]
 
@@ -170,7 +169,9 @@ def fetch_articles(
                     time.sleep(pause * 2**attempt)
         return url, None, error
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch(batches):
+        import pandas as pd
+
         for batch in batches:
             yield pd.DataFrame([fetch_one(url) for url in batch["url"]], columns=["url", "raw", "error"])
 

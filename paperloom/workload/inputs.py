@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.articles import ROOT
-from paperloom.operators.rank import PAGE_SIZE, RESULT_CAP, top_n
+from paperloom.limits import PAGE_SIZE, RESULT_CAP
+from paperloom.operators.rank import top_n
 from paperloom.session import scratch_path, spread
 
 # A tail for every text, so that each cleaning rule has something to do in each row.

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions import articles as A, dates as D, stem as S, text as T
+from paperloom.limits import RESULT_CAP
 from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report, skew
 from paperloom.plans import jobs
 from paperloom.session import scratch_path, tune
@@ -334,7 +335,7 @@ def _plain(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def top_by_year(spark, sf_dir):
-    top = R.top_n(order_listing(spark, sf_dir), R.RESULT_CAP, by_citations(), ("year",))
+    top = R.top_n(order_listing(spark, sf_dir), RESULT_CAP, by_citations(), ("year",))
     return _plain(top, "year", "rank", "id")
 
 
