@@ -132,10 +132,10 @@ def parse_list_literal(text: Column) -> Column:
     (``\\xNN`` and ``\\'``) are first rewritten as ``\\u`` escapes. NULL where the
     text still is no list.
     """
-    opened = r"(?<!\\)((?:\\\\)*)\\"
+    opened = r"(?=\\)(?<!\\)((?:\\\\)*)\\"
     as_json = F.regexp_replace(text, opened + "x([0-9a-fA-F]{2})", r"$1\\u00$2")
     as_json = F.regexp_replace(as_json, opened + "'", r"$1\\u0027")
-    return F.from_json(as_json, "array<string>")
+    return F.from_json(F.when(text.contains("\\"), as_json).otherwise(text), "array<string>")
 
 
 def list_to_text(items: Column) -> Column:

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def new_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The batch rows whose key the target lacks.
+def known_keys(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """The batch's keys the target already holds, each once; never more than the batch has.
 
-    First the target keys are cut to those in the batch, then the batch is
-    anti-joined with that cut, which is never larger than the batch. Where the
-    batch keys are small by Spark's own size check, the cut is a broadcast semi-join
-    pushed below the ``distinct``, and the target is neither shuffled nor sorted.
-    The ``distinct`` also keeps a repeated target key from making a hot join key.
+    Where the batch keys are small by Spark's own size check this is a broadcast
+    semi-join, pushed below the ``distinct``, and the target is neither shuffled nor
+    sorted. The ``distinct`` keeps a repeated target key from becoming a hot join key.
     """
-    known = target.select(key).distinct().join(batch.select(key).distinct(), key, "left_semi")
-    return batch.join(known, key, "left_anti")
+    return target.select(key).distinct().join(batch.select(key).distinct(), key, "left_semi")
+
+
+def new_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """The batch rows whose key the target lacks: an anti-join with ``known_keys``, not
+    with the whole target."""
+    return batch.join(known_keys(batch, target, key), key, "left_anti")
 
 
 def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -7,29 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 HEAVY_SHARE = 0.01
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> list:
     """Candidates for keys with at least ``share`` of the rows: one pass over the key
-    column, merged from small per-task summaries. Misses none; the result has on the
-    order of ``1 / share`` rows at most, whatever the table's size."""
-    items = df.stat.freqItems([key], share)
-    return items.select(F.explode(f"{key}_freqItems").alias(key)).filter(F.col(key).isNotNull())
+    column, merged from small per-task summaries. It misses none, and a summary holds
+    about ``1 / share`` keys at most, whatever the table's size."""
+    found = df.stat.freqItems([key], share).first()
+    return [value for value in found[0] if value is not None] if found else []
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", salts: int = 64) -> DataFrame:
-    """``left`` joined with ``right`` (unique on ``key``), heavy keys spread over
-    ``salts`` tasks.
+def skew_join(left: DataFrame, right: DataFrame, key: str, salts: int = 64) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which is unique on ``key``; heavy keys of
+    ``left`` are spread over ``salts`` tasks.
 
     Only rows of heavy keys get a salt; on the right only the few matching rows
     are repeated, once per salt. The salt is the number of the map task, which a
     re-run task reproduces. Every left row meets its partner exactly once.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("the left side is split, so only inner and left joins are possible")
-    heavy = heavy_keys(left, key).withColumn("_heavy", F.lit(True))
-    salt = F.when(F.col("_heavy"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    salted_left = left.join(F.broadcast(heavy), key, "left").withColumn("_salt", salt).drop("_heavy")
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-    )
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    heavy = heavy_keys(left, key)
+    if not heavy:
+        return left.join(right, key)
+    is_heavy = F.col(key).isin(heavy)
+    salt = F.when(is_heavy, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("_salt", salt)
+    salted_right = right.withColumn("_salt", F.explode(copies))
+    return salted_left.join(salted_right, [key, "_salt"]).drop("_salt")

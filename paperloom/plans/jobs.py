@@ -9,7 +9,7 @@ from paperloom.limits import HARVEST_CAP, RESULT_CAP
 from paperloom.operators.dedupe import any_per_key, first_per_key, latest_articles
 from paperloom.operators.flatten import flatten, with_display_names
 from paperloom.operators.keys import article_table, key_violations, keyword_table, orphan_keys
-from paperloom.operators.merge import new_rows
+from paperloom.operators.merge import known_keys
 from paperloom.operators.rank import capped_harvest, first_harvest, top_n
 from paperloom.plans.schema import create_schema
 from paperloom.sinks.writers import write_csv, write_run
@@ -37,8 +37,10 @@ def append_load(batch: DataFrame, target) -> None:
 
 def merge_load(batch: DataFrame, target) -> None:
     """Append the articles of the batch the target lacks; loading twice is loading
-    once. Only the new rows are written, the target is never rewritten."""
-    target.append(new_rows(latest_articles(batch), target.read(), "article_id"))
+    once. Only the new rows are written, the target is never rewritten. The keys to look
+    up come from the batch before its de-duplication, so that side reads one column."""
+    known = known_keys(batch, target.read(), "article_id")
+    target.append(latest_articles(batch).join(known, "article_id", "left_anti"))
 
 
 def repeat_load(initial: DataFrame, batch: DataFrame, target, merge: bool = True, times: int = 2) -> DataFrame:

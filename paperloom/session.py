@@ -74,17 +74,16 @@ def stage_table(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give a CPU-heavy map over a plain scan enough tasks.
 
     A small table often sits in one file with one row group, which would run on a
     single core. Where the scan already yields two splits per core (any large
-    table) this returns ``df`` as it is, without a shuffle.
+    table) this returns ``df`` as it is, without a shuffle. Rows are dealt out evenly,
+    not by key, so repeated keys do not matter.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(2 * cores, *keys)
+    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 _shipped_to: set[str] = set()

@@ -43,8 +43,10 @@ def load_new(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         earlier = loaded().filter(F.col("batch_id") < batch_id)
-        fresh = new_rows(prepare(batch), earlier, key)
+        prepared = prepare(batch).persist()
+        fresh = new_rows(prepared, earlier, key)
         fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        prepared.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(load)

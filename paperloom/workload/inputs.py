@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +105,7 @@ def raw_from_tables(spark: SparkSession, sf_dir: str, gaps: bool = False) -> Dat
 
 def keyword_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(article_id, keywords): the lines of each document as its keyword list."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "text")
     return docs.select((F.col("doc_id") + F.lit(ID_BASE)).alias("article_id"), F.split("text", "\n").alias("keywords"))
 
 

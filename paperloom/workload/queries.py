@@ -10,7 +10,7 @@ from paperloom.functions import articles as A, dates as D, stem as S, text as T
 from paperloom.limits import RESULT_CAP
 from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report, skew
 from paperloom.plans import jobs
-from paperloom.session import scratch_path, tune
+from paperloom.session import scratch_path, stage_table, tune
 from paperloom.sinks.targets import FolderTarget
 from paperloom.sinks.writers import land_lines, land_raw, write_csv
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles, unreadable_lists
@@ -120,7 +120,7 @@ def drop_epoch(spark, sf_dir):
 
 
 def list_literal_parse(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "text")
     escaped = F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
     escaped = F.replace(escaped, F.lit("\t"), F.lit("\\t"))
     literal = F.concat(F.lit("['"), F.replace(escaped, F.lit("\n"), F.lit("', '")), F.lit("']"))
@@ -217,7 +217,7 @@ def csv_round_trip(spark, sf_dir):
 
 def csv_unreadable_lists(spark, sf_dir):
     """Exports in which only English articles have their keywords written as a list."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir, "text", "lang")
     keywords = F.when(F.col("lang") == "en", A.list_to_text(F.split("text", "\n"))).otherwise(F.col("text"))
     export = docs.select(
         F.col("doc_id").alias("Article Id"), F.lit("['A B']").alias("Author name"), keywords.alias("Keywords")
@@ -232,7 +232,7 @@ def bulk_init(spark, sf_dir):
 
 
 def _older_and_all(spark, sf_dir):
-    articles = _articles(spark, sf_dir)
+    articles = stage_table(_articles(spark, sf_dir), "batch")
     return articles.filter(F.col("country") == ""), articles
 
 
