@@ -65,11 +65,6 @@ def _literal_map(entries: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(part) for entry in entries.items() for part in entry])
 
 
-def _with_value(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _swap_matches(text: Column, pattern: str, swap) -> Column:
     """Replace each match of ``pattern`` by ``swap(match)`` in a single pass: the
     text between the matches is zipped with the rewritten matches."""
@@ -100,12 +95,16 @@ def lower_case(text: Column) -> Column:
 
 
 def _expand(text: Column) -> Column:
+    """Only the few words with an apostrophe are searched for contractions."""
     long_forms = _literal_map(CONTRACTIONS)
-    return _swap_matches(
-        text,
-        _CONTRACTION,
-        lambda w: F.coalesce(F.try_element_at(long_forms, F.translate(w, "’", "'")), w),
-    )
+
+    def long_form(match: Column) -> Column:
+        return F.coalesce(F.try_element_at(long_forms, F.translate(match, "’", "'")), match)
+
+    def expand_word(word: Column) -> Column:
+        return F.when(_has_apostrophe(word), _swap_matches(word, _CONTRACTION, long_form)).otherwise(word)
+
+    return F.array_join(F.transform(F.split(text, " ", -1), expand_word), " ")
 
 
 def _has_apostrophe(text: Column) -> Column:
@@ -115,7 +114,7 @@ def _has_apostrophe(text: Column) -> Column:
 def expand_contractions(text: Column) -> Column:
     """Long forms for known contractions; whitespace runs become one space."""
     spaced = collapse_whitespace(text)
-    return F.when(_has_apostrophe(text), _with_value(spaced, _expand)).otherwise(spaced)
+    return F.when(_has_apostrophe(text), _expand(spaced)).otherwise(spaced)
 
 
 def remove_usernames(text: Column) -> Column:
@@ -187,7 +186,7 @@ def clean_text(text: Column, drop_numbers: bool = False) -> Column:
     whitespace needs collapsing only once, at the end.
     """
     lowered = lower_case(expand_units(text))
-    expanded = F.when(_has_apostrophe(text), _with_value(lowered, _expand)).otherwise(lowered)
+    expanded = F.when(_has_apostrophe(text), _expand(lowered)).otherwise(lowered)
     bare = F.regexp_replace(expanded, rf"@[{WORD}]*|[^@{WORD}{SPACE}?%/.\-]+", " ")
     apart = F.regexp_replace(bare, "([.?/])", " $1 ")
     kept = remove_emojis(apart)

@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperloom.limits import HARVEST_CAP, PAGE_SIZE, RESULT_CAP
 
+SLICES = 256
+
 
 def top_n(df: DataFrame, n: int, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank, exact.
 
-    Two rounds: rows are ranked inside (group, map-task number modulo the shuffle
-    width), and only the first ``n`` of each such slice go on to the ranking of the
-    group. No task ever ranks a whole group, even if one group is a third of the
-    table, and within a map task Spark already cuts to ``n`` rows before the first
-    shuffle. ``order_by`` must end in a unique column to fix the result.
+    Two rounds: rows are ranked inside (group, map-task number modulo a slice count),
+    and only the first ``n`` of each such slice go on to the ranking of the group. No task
+    ever ranks a whole group, even if one group is a third of the table, and within a
+    map task Spark already cuts to ``n`` rows before the first shuffle. The second round
+    sees at most ``SLICES x n`` rows of a group. ``order_by`` must end in a unique column
+    to fix the result.
     """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(width)))
+    slices = min(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
     in_slice = Window.partitionBy(*by, "_slice").orderBy(*order_by)
     leaders = sliced.withColumn("_rank", F.row_number().over(in_slice)).filter(F.col("_rank") <= n)
     in_group = Window.partitionBy(*by).orderBy(*order_by)

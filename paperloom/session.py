@@ -20,6 +20,9 @@ SQL_SETTINGS = {
 }
 
 
+_local_roots: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
@@ -53,9 +56,10 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="paperloom-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="paperloom-", dir="/tmp")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -16,9 +16,10 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from paperloom.functions.articles import page_urls, total_results
 from paperloom.limits import PAGE_SIZE, RESULT_CAP
 
 Transport = Callable[[dict], str]
@@ -126,7 +127,9 @@ def http_transport(request: dict) -> str:
 def _landed_pages(path: str):
     import pyarrow.dataset as ds
 
-    return ds.dataset(path, format="parquet", partitioning="hive")
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return ds.dataset(path.replace("s3a://", "s3://", 1), format="parquet", partitioning="hive")
 
 
 def landed_transport(request: dict) -> str:
@@ -141,6 +144,17 @@ def landed_transport(request: dict) -> str:
     return pages.to_table(columns=["page"], filter=wanted).column("page")[0].as_py()
 
 
+def listing_from_pages(pages: DataFrame) -> DataFrame:
+    """The listing of pages already landed (``year``, ``start``, ``page``), one row per hit."""
+    page = F.col("page")
+    hits = pages.select(
+        "year", "start", total_results(page).alias("total_results"), F.posexplode(page_urls(page)).alias("_pos", "url")
+    )
+    rank = F.col("start") + F.col("_pos") + 1
+    number = F.floor((rank - 1) / PAGE_SIZE).cast("int")
+    return hits.select("year", rank.alias("rank"), number.alias("page"), "start", "total_results", "url")
+
+
 def get_url(url: str, headers: dict[str, str] | None = None) -> str:
     with urllib.request.urlopen(urllib.request.Request(url, headers=headers or {}), timeout=60) as reply:
         return reply.read().decode("utf-8")

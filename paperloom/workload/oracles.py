@@ -249,6 +249,10 @@ ORDERED = """SELECT o_orderkey AS id, year(o_orderdate) AS year, o_totalprice AS
   count(*) OVER (PARTITION BY year(o_orderdate)) AS year_total, count(*) OVER () AS total
 FROM orders"""
 
+BY_YEAR = f"""SELECT year, year_rank AS rank, (year_rank - 1) // 25 AS page,
+  (year_rank - 1) // 25 * 25 AS start, year_total AS total_results, {_quote(URL_BASE)} || id AS url
+FROM ({ORDERED}) WHERE year_rank <= 5000"""
+
 WRITTEN = """CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%-d %B %Y')
   WHEN 'O' THEN strftime(o_orderdate, '%B %-d, %Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END"""
 PARSED = "coalesce(try_strptime(written, '%d %B %Y'), try_strptime(written, '%B %d, %Y'))"
@@ -340,9 +344,8 @@ FROM rows JOIN documents ON rows.article_id = {ID_BASE} + doc_id""",
   FROM ({ORDERED}) WHERE year_rank <= 5000)
 WHERE has_keywords AND (kept_before <= 10 OR year_rank = 1)""",
         "first_n_harvest": f"SELECT id, citations FROM ({ORDERED}) WHERE has_keywords ORDER BY rank LIMIT 11",
-        "paged_source": f"""SELECT year, year_rank AS rank, (year_rank - 1) // 25 AS page,
-  (year_rank - 1) // 25 * 25 AS start, year_total AS total_results, {_quote(URL_BASE)} || id AS url
-FROM ({ORDERED}) WHERE year_rank <= 5000""",
+        "paged_source": BY_YEAR,
+        "landed_listing": BY_YEAR,
         "paged_source_recent": f"""SELECT rank, (rank - 1) // 25 AS page, (rank - 1) // 25 * 25 AS start,
   total AS total_results, {_quote(URL_BASE)} || id AS url FROM ({ORDERED}) WHERE rank <= 5000""",
         "search_pages": f"""SELECT year, (year_rank - 1) // 25 * 25 AS start, year_total AS total_results,

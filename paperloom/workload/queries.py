@@ -14,7 +14,7 @@ from paperloom.session import scratch_path, stage_table, tune
 from paperloom.sinks.targets import FolderTarget
 from paperloom.sinks.writers import land_lines, land_raw, write_csv
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles, unreadable_lists
-from paperloom.sources.search import read_search
+from paperloom.sources.search import listing_from_pages, read_search
 from paperloom.streaming import incremental
 from paperloom.workload.inputs import (
     article_url,
@@ -368,6 +368,13 @@ def paged_source_recent(spark, sf_dir):
     return _search(spark, sf_dir, by_year=False)
 
 
+def landed_listing(spark, sf_dir):
+    pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir), by_year=True))
+    found = listing_from_pages(pages)
+    columns = ["year", "rank", "page", "start", "total_results"]
+    return found.select(*[F.col(c).cast("bigint").alias(c) for c in columns], "url")
+
+
 def search_pages(spark, sf_dir):
     pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir), by_year=True))
     page = F.col("page")
@@ -514,6 +521,7 @@ TABLE_QUERIES: list[Query] = [
     first_n_harvest,
     paged_source,
     paged_source_recent,
+    landed_listing,
     search_pages,
     harvest_by_year,
     harvest_recent,
