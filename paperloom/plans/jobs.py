@@ -8,13 +8,17 @@ from paperloom.functions.articles import ARTICLE_SCHEMA, has_keywords, parse_art
 from paperloom.limits import HARVEST_CAP, RESULT_CAP
 from paperloom.operators.dedupe import any_per_key, first_per_key, latest_articles
 from paperloom.operators.flatten import flatten, with_display_names
-from paperloom.operators.keys import article_table, key_violations, keyword_table, orphan_keys
+from paperloom.operators.keys import article_table, dense_ids, key_violations, keyword_table, orphan_keys
 from paperloom.operators.merge import known_keys
 from paperloom.operators.rank import capped_harvest, first_harvest, top_n
-from paperloom.plans.schema import create_schema
+from paperloom.plans.schema import TABLES, create_schema
+from paperloom.session import stage_table
 from paperloom.sinks.writers import write_csv, write_run
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles
 
+# Rows up to which a list of URLs, whose number is known beforehand, is broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def export(target, path: str) -> None:
     """The whole target table as CSV files."""
@@ -56,26 +60,28 @@ def harvest_articles(
     details: DataFrame,
     order_by: list[Column],
     years: list[int] | None = None,
-    by_year: bool = True,
     cap: int = HARVEST_CAP,
     result_cap: int = RESULT_CAP,
 ) -> DataFrame:
-    """The flat articles a capped harvest keeps.
+    """The flat articles a capped harvest keeps: year by year for ``years``, else the
+    first ones of the whole listing.
 
-    The listing (``url``, and ``year`` for a harvest by year) is cut to the visited
-    results first. The raw articles (``url``, ``raw``) then only have to be matched with
-    that bounded list, which Spark broadcasts when it fits; copies of an article are
-    merged after the match.
+    The listing (``url``, and ``year`` with ``years``) is cut to the visited results first:
+    at most ``result_cap`` per year. The raw articles (``url``, ``raw``) only have to be
+    matched with that bounded list, so they are filtered by a broadcast instead of being
+    shuffled; copies of an article are merged after the match.
     """
     if years:
         listing = listing.filter(F.col("year").isin(years))
-    visited = top_n(listing, result_cap, order_by, ("year",) if by_year else (), "_visit")
-    matched = details.join(visited.select("url").distinct(), "url", "left_semi")
-    article = first_per_key(matched, ["url"], [F.col("raw")])
+    visited = top_n(listing, result_cap, order_by, ("year",) if years else (), "_visit")
+    wanted = visited.select("url").distinct()
+    if len(years or [0]) * result_cap <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    article = first_per_key(details.join(wanted, "url", "left_semi"), ["url"], [F.col("raw")])
     flagged = visited.join(article, "url").withColumn(
         "has_keywords", F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False))
     )
-    if by_year:
+    if years:
         kept = capped_harvest(flagged, order_by, cap, result_cap)
     else:
         kept = first_harvest(flagged, order_by, cap)
@@ -91,11 +97,10 @@ def harvest(
     run_id: str,
     export_path: str | None = None,
     years: list[int] | None = None,
-    by_year: bool = True,
 ) -> DataFrame:
     """Harvest, keep the run's rows as a file of its own, merge them into the target
     and export it."""
-    write_run(harvest_articles(listing, details, order_by, years, by_year), runs_path, run_id)
+    write_run(harvest_articles(listing, details, order_by, years), runs_path, run_id)
     run = target.spark.read.schema(ARTICLE_SCHEMA).parquet(f"{runs_path}/run_id={run_id}")
     merge_load(run, target)
     if export_path:
@@ -111,10 +116,16 @@ def flatten_json(spark: SparkSession, path: str, csv_path: str | None = None, on
     return articles
 
 
-def normalise(articles: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Write the article and keyword tables and return them."""
+def normalise(articles: DataFrame, path: str, serial: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Write the article and keyword tables and return them. An article keeps its source
+    id, or gets a consecutive one with ``serial``. Both tables are written from one staged
+    result of the de-duplication."""
     spark = articles.sparkSession
     unique = latest_articles(articles)
+    if serial:
+        unique = dense_ids(unique, ["article_id"]).drop("article_id").withColumnRenamed("id", "article_id")
+    else:
+        unique = stage_table(unique, "unique-articles")
     article_table(unique).write.mode("overwrite").parquet(f"{path}/Article")
     keyword_table(unique).write.mode("overwrite").parquet(f"{path}/ArticleKeywords")
     return spark.read.parquet(f"{path}/Article"), spark.read.parquet(f"{path}/ArticleKeywords")
@@ -133,3 +144,9 @@ def create_pair(spark: SparkSession, database: str = "default", location: str |
     """Create the schema and check its constraints on whatever the tables hold."""
     article, keywords = create_schema(spark, database, location)
     return check_pair(spark.table(article), spark.table(keywords))
+
+
+def fill_pair(pair: tuple[DataFrame, DataFrame], database: str) -> None:
+    """Insert a normalised pair into the created tables."""
+    for rows, table in zip(pair, TABLES):
+        rows.write.insertInto(f"{database}.{table}")

@@ -269,6 +269,14 @@ KEYWORD_ROWS = f"""SELECT {ID_BASE} + doc_id AS article_id, unnest({LINES}) AS k
   generate_subscripts({LINES}, 1) - 1 AS pos, lang, source FROM documents"""
 
 
+def _pair(article_id: str) -> str:
+    return f"""WITH rows AS (
+  SELECT article_id, pos, {clean('keyword')} AS keyword FROM ({KEYWORD_ROWS}) WHERE source <> 'src0')
+SELECT row_number() OVER (ORDER BY rows.article_id, pos) AS keyword_id, {article_id} AS article_id, keyword,
+  {LINES}[1] AS title, {DAY} AS publishdate
+FROM rows JOIN documents ON rows.article_id = {ID_BASE} + doc_id"""
+
+
 def all_oracles() -> dict[str, str]:
     oracles = {name: f"SELECT doc_id, {rule(TEXT)} AS text FROM documents" for name, rule in TEXT_RULES.items()}
     articles = _articles()
@@ -328,11 +336,12 @@ FROM ({KEYWORD_ROWS}) GROUP BY ALL""",
 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""",
         "pk_violations": """SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey
 HAVING count(*) > 1 OR l_orderkey IS NULL""",
-        "normalise": f"""WITH rows AS (
-  SELECT article_id, pos, {clean('keyword')} AS keyword FROM ({KEYWORD_ROWS}) WHERE source <> 'src0')
-SELECT row_number() OVER (ORDER BY rows.article_id, pos) AS keyword_id, rows.article_id, keyword,
-  {LINES}[1] AS title, {DAY} AS publishdate
-FROM rows JOIN documents ON rows.article_id = {ID_BASE} + doc_id""",
+        "normalise": _pair("rows.article_id"),
+        "normalise_serial": _pair("dense_rank() OVER (ORDER BY rows.article_id)"),
+        "create_and_fill": f"""WITH kept AS (SELECT * FROM documents WHERE source <> 'src0')
+SELECT 'Article' AS item, count(*) AS n_rows FROM kept
+UNION ALL SELECT 'ArticleKeywords', CAST(sum(len({LINES})) AS BIGINT) FROM kept
+UNION ALL SELECT 'article_key', 0 UNION ALL SELECT 'keyword_key', 0 UNION ALL SELECT 'article_reference', 0""",
         "listing_join": """SELECT l_orderkey, l_linenumber, 'https://api.example.org/content/part/' || l_partkey AS url,
   p_name AS title FROM lineitem JOIN part ON l_partkey = p_partkey""",
         "top_by_year": f"SELECT year, year_rank AS rank, id, citations FROM ({ORDERED}) WHERE year_rank <= 5000",

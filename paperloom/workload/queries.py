@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +12,7 @@ from paperloom.functions import articles as A, dates as D, stem as S, text as T
 from paperloom.limits import RESULT_CAP
 from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report, skew
 from paperloom.plans import jobs
+from paperloom.plans.schema import TABLES
 from paperloom.session import scratch_path, stage_table, tune
 from paperloom.sinks.targets import FolderTarget
 from paperloom.sinks.writers import land_lines, land_raw, write_csv
@@ -307,14 +310,40 @@ def pk_violations(spark, sf_dir):
     return K.key_violations(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
-def normalise(spark, sf_dir):
-    article, keywords = jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair"))
-    joined = skew.skew_join(keywords.withColumnRenamed("id", "keyword_id"), article.withColumnRenamed("id", "article_id"), "article_id")
+def _normalised(spark, sf_dir, serial):
+    article, keywords = jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair"), serial)
+    article = article.withColumnRenamed("id", "article_id")
+    joined = skew.skew_join(keywords.withColumnRenamed("id", "keyword_id"), article, "article_id")
     return joined.select(
         "keyword_id", "article_id", "keyword", "title", F.col("publishdate").cast("string").alias("publishdate")
     )
 
 
+def normalise(spark, sf_dir):
+    return _normalised(spark, sf_dir, serial=False)
+
+
+def normalise_serial(spark, sf_dir):
+    return _normalised(spark, sf_dir, serial=True)
+
+
+def create_and_fill(spark, sf_dir):
+    """Both tables created and filled: their rows and constraint violations."""
+    database = f"paperloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
+    jobs.create_pair(spark, database)
+    jobs.fill_pair(jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair")), database)
+    checks = jobs.create_pair(spark, database)
+    counts = [
+        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("item"), "n_rows")
+        for name in TABLES
+    ] + [
+        found.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("item"), "n_rows")
+        for name, found in checks.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- search and harvest -----------------------------------------------------------------
 
 
@@ -355,7 +384,7 @@ def _search(spark, sf_dir, by_year):
     listing = order_listing(spark, sf_dir)
     path = land_pages(listing, by_year)
     years = [1995, 1996, 1997, 1998, 1999, 2000, 2001] if by_year else None
-    found = read_search(spark, LANDED, "engineering", years, **{"transport.path": path})
+    found = read_search(spark, LANDED, "engineering", years, pages_per_task="25", **{"transport.path": path})
     columns = (["year"] if by_year else []) + ["rank", "page", "start", "total_results"]
     return found.select(*[F.col(c).cast("bigint").alias(c) for c in columns], "url")
 
@@ -386,7 +415,7 @@ def search_pages(spark, sf_dir):
     )
 
 
-def _harvest(spark, sf_dir, by_year):
+def _harvest(spark, sf_dir, years):
     raw = raw_from_tables(spark, sf_dir)
     order = [F.desc("citations"), F.col("url")]
     target = FolderTarget(spark, scratch_path(spark, "all")).create()
@@ -398,18 +427,17 @@ def _harvest(spark, sf_dir, by_year):
         scratch_path(spark, "runs"),
         "first",
         export_path=scratch_path(spark, "export"),
-        years=[2018, 2019, 2020, 2021, 2022, 2023] if by_year else None,
-        by_year=by_year,
+        years=years,
     )
     return _readable(loaded)
 
 
 def harvest_by_year(spark, sf_dir):
-    return _harvest(spark, sf_dir, by_year=True)
+    return _harvest(spark, sf_dir, [2018, 2019, 2020, 2021, 2022, 2023])
 
 
 def harvest_recent(spark, sf_dir):
-    return _harvest(spark, sf_dir, by_year=False)
+    return _harvest(spark, sf_dir, None)
 
 
 # --- report ---------------------------------------------------------------------------
@@ -514,6 +542,8 @@ TABLE_QUERIES: list[Query] = [
     fk_violations,
     pk_violations,
     normalise,
+    normalise_serial,
+    create_and_fill,
     listing_join,
     top_by_year,
     paging,

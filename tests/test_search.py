@@ -93,6 +93,6 @@ def test_harvest_by_year(spark, tmp_path):
 
 def test_recent_harvest(spark):
     listing, details, order = harvest_inputs(spark)
-    got = jobs.harvest_articles(listing.drop("year"), details, order, by_year=False)
+    got = jobs.harvest_articles(listing.drop("year"), details, order)
     expected = sorted([(i, y) for y in (2018, 2019, 2020) for i in range(0, 20, 2)])[:11]
     assert sorted(r.article_id for r in got.collect()) == sorted(y * 10000 + i for i, y in expected)
