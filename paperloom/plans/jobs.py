@@ -67,25 +67,25 @@ def harvest_articles(
     first ones of the whole listing.
 
     The listing (``url``, and ``year`` with ``years``) is cut to the visited results first:
-    at most ``result_cap`` per year. The raw articles (``url``, ``raw``) only have to be
-    matched with that bounded list, so they are filtered by a broadcast instead of being
-    shuffled; copies of an article are merged after the match.
+    at most ``result_cap`` per year. The raw articles (``url``, ``raw``) are scanned once,
+    filtered by a broadcast of that bounded list, and the visited ones landed with their
+    copies merged. Which of them are kept is decided without the JSON in hand.
     """
     if years:
         listing = listing.filter(F.col("year").isin(years))
-    visited = top_n(listing, result_cap, order_by, ("year",) if years else (), "_visit")
+    visited = stage_table(top_n(listing, result_cap, order_by, ("year",) if years else (), "_visit"), "visited")
     wanted = visited.select("url").distinct()
     if len(years or [0]) * result_cap <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    article = first_per_key(details.join(wanted, "url", "left_semi"), ["url"], [F.col("raw")])
-    flagged = visited.join(article, "url").withColumn(
-        "has_keywords", F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False))
-    )
+    landed = first_per_key(details.join(wanted, "url", "left_semi"), ["url"], [F.col("raw")])
+    articles = stage_table(landed, "visited-articles")
+    flags = articles.select("url", F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False)).alias("has_keywords"))
+    flagged = visited.join(flags, "url")
     if years:
         kept = capped_harvest(flagged, order_by, cap, result_cap)
     else:
         kept = first_harvest(flagged, order_by, cap)
-    return flatten(kept)
+    return flatten(kept.select("url").join(articles, "url"))
 
 
 def harvest(

@@ -416,7 +416,7 @@ def search_pages(spark, sf_dir):
 
 
 def _harvest(spark, sf_dir, years):
-    raw = raw_from_tables(spark, sf_dir)
+    raw = stage_table(raw_from_tables(spark, sf_dir), "raw")
     order = [F.desc("citations"), F.col("url")]
     target = FolderTarget(spark, scratch_path(spark, "all")).create()
     loaded = jobs.harvest(
