@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def known_keys(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """The batch's keys the target already holds, each once; never more than the batch has.
 
-    Where the batch keys are small by Spark's own size check this is a broadcast
-    semi-join, pushed below the ``distinct``, and the target is neither shuffled nor
-    sorted. The ``distinct`` keeps a repeated target key from becoming a hot join key.
+    The target is first filtered to the batch's key range, which reaches the parquet
+    scan or the database. Where the batch keys are small by Spark's own size check the
+    rest is a broadcast semi-join, pushed below the ``distinct``, and the target is
+    neither shuffled nor sorted. The ``distinct`` keeps a repeated target key from
+    becoming a hot join key.
     """
-    return target.select(key).distinct().join(batch.select(key).distinct(), key, "left_semi")
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    in_range = target.filter(F.col(key).between(low, high)) if low is not None else target.limit(0)
+    return in_range.select(key).distinct().join(batch.select(key).distinct(), key, "left_semi")
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:

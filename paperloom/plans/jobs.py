@@ -15,6 +15,7 @@ from paperloom.plans.schema import TABLES, create_schema
 from paperloom.session import stage_table
 from paperloom.sinks.writers import write_csv, write_run
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles
+from paperloom.streaming.incremental import load_new
 
 # Rows up to which a list of URLs, whose number is known beforehand, is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -116,6 +117,12 @@ def flatten_json(spark: SparkSession, path: str, csv_path: str | None = None, on
     return articles
 
 
+def load_article_stream(raw: DataFrame, target: str, checkpoint: str, url_col: str | None = "url") -> DataFrame:
+    """Load newly arrived raw articles (a stream) into the table at ``target``: flat, one
+    row per id, only ids the table lacks."""
+    return load_new(raw, "article_id", target, checkpoint, lambda batch: latest_articles(flatten(batch, url_col=url_col)))
+
+
 def normalise(articles: DataFrame, path: str, serial: bool = False) -> tuple[DataFrame, DataFrame]:
     """Write the article and keyword tables and return them. An article keeps its source
     id, or gets a consecutive one with ``serial``. Both tables are written from one staged

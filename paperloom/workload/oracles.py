@@ -372,6 +372,7 @@ FROM ({ORDERED}) WHERE year_rank <= 5000 GROUP BY ALL""",
         "topk_group": f"SELECT * FROM ({PER_TITLE}) ORDER BY qty_ratings DESC, title LIMIT 10",
         "stream_incremental": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
+        "stream_articles": articles,
         "stream_dedupe": "SELECT event_id, user_id, event_type, value, props FROM events",
     }
     return oracles

@@ -479,6 +479,14 @@ def stream_incremental(spark, sf_dir):
     return loaded.select("user_id", "event_id", "event_type", "value")
 
 
+def stream_articles(spark, sf_dir):
+    """Raw articles arriving year by year, loaded as a stream."""
+    path = scratch_path(spark, "bronze")
+    land_raw(raw_from_tables(spark, sf_dir).select("url", "raw", "year"), path)
+    raw = incremental.file_stream(spark, path, "url string, raw string, year int")
+    return _readable(jobs.load_article_stream(raw, scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")))
+
+
 def stream_dedupe(spark, sf_dir):
     """Two copies of every event in one stream, written once."""
     events = _event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -558,6 +566,7 @@ TABLE_QUERIES: list[Query] = [
     ratings_per_title,
     topk_group,
     stream_incremental,
+    stream_articles,
     stream_dedupe,
 ]
 

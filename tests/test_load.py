@@ -57,6 +57,20 @@ def test_new_rows_with_repeated_and_null_keys(spark):
     assert sorted(r.v for r in merge.new_rows(batch, target, "k").collect()) == ["b", "c", "n"]
 
 
+def test_new_rows_of_an_empty_batch(spark):
+    target = spark.createDataFrame([(1,)], "k int")
+    assert merge.new_rows(target.filter("k > 1"), target, "k").count() == 0
+
+
+def test_key_range_reaches_the_scan(spark):
+    path = scratch_path(spark, "keys")
+    spark.range(1000).write.parquet(path)
+    known = merge.known_keys(spark.range(5, 8), spark.read.parquet(path), "id")
+    assert sorted(r.id for r in known.collect()) == [5, 6, 7]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,5)" in plan and "LessThanOrEqual(id,7)" in plan
+
+
 def test_append_doubles_and_merge_does_not(spark):
     batch = articles(spark, row(1), row(1, "copy"), row(2))
     appended = FolderTarget(spark, scratch_path(spark, "t")).create()

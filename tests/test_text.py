@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
+from paperloom.functions.charsets import EMOJI_RANGES
 from paperloom.functions.contractions import CONTRACTIONS
 
 ALPHABET = (
@@ -22,17 +23,38 @@ def strings(seed, count):
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 30))) for _ in range(count)]
 
 
+# The rewrites of each step, in Python's syntax.
+REWRITES = {
+    "usernames": [(r"@\w+", " ")],
+    "isolate": [(r"(['\".()!?\\/,])", r" \1 "), (r"[^\w\s?%/.\-]", " "), (r"©.*?\d{4}\.", " ")],
+    "copyright": [(r"©.*?\d{4}\.", " ")],
+    "emojis": [("[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in EMOJI_RANGES) + "]+", "")],
+    "repeats": [(r"([!?.]){2,}", r"\1")],
+    "numbers": [(r"\b\d+\.?\d*\b", " ")],
+    "special": [(r"[;:|•«\n]", " ")],
+    "spaces": [(r"\s+", " "), (r"^ | $", "")],
+}
+COMPOUND_FIRST = ["m2/g", "cm3/g"]
+
+
+def rewrite(name):
+    rules = [(re.compile(pattern), new) for pattern, new in REWRITES[name]]
+
+    def apply(s):
+        for pattern, new in rules:
+            s = pattern.sub(new, s)
+        return s
+
+    return apply
+
+
 def py_units(s):
-    for scale, words in T.DEGREES.items():
-        s = re.sub(rf"(\d+)\s*°\s*{scale}\b", rf"\1 {words}", s)
-    compound = ["m2/g", "cm3/g"]
-    for unit in compound:
-        s = re.sub(rf"\b{unit}\b", f" {T.UNITS[unit]} ", s)
-    for scale, words in T.DEGREES.items():
-        s = re.sub(rf"\b°{scale}\b", f" {words} ", s)
-    for unit, words in T.UNITS.items():
-        if unit not in compound:
-            s = re.sub(rf"\b{unit}\b", f" {words} ", s)
+    degrees = [(rf"(\d+)\s*°\s*{scale}\b", rf"\1 {words}") for scale, words in T.DEGREES.items()]
+    bare = [(rf"\b°{scale}\b", f" {words} ") for scale, words in T.DEGREES.items()]
+    units = {unit: (rf"\b{unit}\b", f" {words} ") for unit, words in T.UNITS.items()}
+    compound = [units.pop(unit) for unit in COMPOUND_FIRST]
+    for pattern, new in [*degrees, *compound, *bare, *units.values()]:
+        s = re.sub(pattern, new, s)
     return s
 
 
@@ -46,64 +68,26 @@ def py_contractions(s):
     )
 
 
-def py_isolate(s):
-    s = re.sub(r"(['\".()!?\\/,])", r" \1 ", s)
-    s = re.sub(r"[^\w\s?%/.\-]", " ", s)
-    return py_copyright(s)
-
-
-def py_copyright(s):
-    return re.sub(r"©.*?\d{4}\.", " ", s)
-
-
-def py_emojis(s):
-    return re.sub(
-        "[\U0001F600-\U0001F64F\U0001F300-\U0001F5FF\U0001F680-\U0001F6FF\U0001F1E0-\U0001F1FF✂-➰Ⓜ-\U0001F251]+",
-        "",
-        s,
-    )
-
-
-def py_usernames(s):
-    return re.sub(r"@\w+", " ", s)
-
-
-def py_numbers(s):
-    return re.sub(r"\b\d+\.?\d*\b", " ", s)
-
-
-def py_repeats(s):
-    return re.sub(r"([!?.]){2,}", r"\1", s)
-
-
-def py_special(s):
-    return re.sub(r"[;:|•«\n]", " ", s)
-
-
-def py_spaces(s):
-    return re.sub(r"\s+", " ", s).strip()
-
-
 def py_clean(s, drop_numbers=False):
+    order = ["usernames", "isolate", "emojis", "repeats", *(["numbers"] if drop_numbers else []), "special", "spaces"]
     s = py_contractions(py_units(s).lower())
-    s = py_repeats(py_emojis(py_isolate(py_usernames(s))))
-    if drop_numbers:
-        s = py_numbers(s)
-    return py_spaces(py_special(s))
+    for name in order:
+        s = rewrite(name)(s)
+    return s
 
 
 STEPS = {
     "units": (T.expand_units, py_units),
     "lower": (T.lower_case, str.lower),
     "contractions": (T.expand_contractions, py_contractions),
-    "usernames": (T.remove_usernames, py_usernames),
-    "isolate": (T.isolate_punctuation, py_isolate),
-    "copyright": (T.strip_copyright, py_copyright),
-    "emojis": (T.remove_emojis, py_emojis),
-    "repeats": (T.collapse_repeats, py_repeats),
-    "numbers": (T.remove_numbers, py_numbers),
-    "special": (T.remove_special, py_special),
-    "spaces": (T.collapse_whitespace, py_spaces),
+    "usernames": (T.remove_usernames, rewrite("usernames")),
+    "isolate": (T.isolate_punctuation, rewrite("isolate")),
+    "copyright": (T.strip_copyright, rewrite("copyright")),
+    "emojis": (T.remove_emojis, rewrite("emojis")),
+    "repeats": (T.collapse_repeats, rewrite("repeats")),
+    "numbers": (T.remove_numbers, rewrite("numbers")),
+    "special": (T.remove_special, rewrite("special")),
+    "spaces": (T.collapse_whitespace, rewrite("spaces")),
     "clean": (T.clean_text, py_clean),
     "clean_steps": (T.clean_text_by_steps, py_clean),
     "clean_no_numbers": (lambda c: T.clean_text(c, True), lambda s: py_clean(s, True)),
@@ -151,8 +135,8 @@ def test_goldens_and_null(spark):
 def test_cleaning_settles(results):
     for row in results:
         assert "  " not in row["clean"]
-        assert py_repeats(row["repeats"]) == row["repeats"]
-        assert py_emojis(row["emojis"]) == row["emojis"]
+        for name in ("repeats", "emojis", "spaces"):
+            assert rewrite(name)(row[name]) == row[name]
 
 
 def test_whole_documents(spark, sf_dir):
