@@ -324,8 +324,7 @@ FROM documents WHERE source <> 'src0'""",
         "load_twice_merge": articles,
         "merge_load": articles,
         "json_folder": FOLDER_ARTICLES,
-        "raw_landing": f"""SELECT {URL} AS url, {YEAR} AS year, text AS abstract FROM documents
-WHERE {YEAR} IN (2019, 2020)""",
+        "raw_landing": f"SELECT {URL} AS url, {YEAR} AS year, text AS abstract FROM documents",
         "explode_keywords": f"SELECT article_id, pos, keyword FROM ({KEYWORD_ROWS})",
         "keyword_ids": f"""SELECT row_number() OVER (ORDER BY article_id, pos) AS id, article_id, keyword
 FROM ({KEYWORD_ROWS})""",

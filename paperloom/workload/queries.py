@@ -269,8 +269,7 @@ def json_folder(spark, sf_dir):
 def raw_landing(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     land_raw(raw_from_tables(spark, sf_dir).select("url", "year", "raw"), path)
-    landed = spark.read.parquet(path).filter(F.col("year").isin(2019, 2020))
-    return landed.select(
+    return spark.read.parquet(path).select(
         "url", F.col("year").cast("bigint").alias("year"), A.abstract(A.parse_article(F.col("raw"))).alias("abstract")
     )
 
