@@ -43,7 +43,8 @@ def append_load(batch: DataFrame, target) -> None:
 def merge_load(batch: DataFrame, target) -> None:
     """Append the articles of the batch the target lacks; loading twice is loading
     once. Only the new rows are written, the target is never rewritten. The keys to look
-    up come from the batch before its de-duplication, so that side reads one column."""
+    up come from the batch before its de-duplication, so that side reads one column. The
+    batch is read more than once: pass a file or table, not an expensive plan."""
     known = known_keys(batch, target.read(), "article_id")
     target.append(latest_articles(batch).join(known, "article_id", "left_anti"))
 
@@ -80,7 +81,8 @@ def harvest_articles(
         wanted = F.broadcast(wanted)
     landed = first_per_key(details.join(wanted, "url", "left_semi"), ["url"], [F.col("raw")])
     articles = stage_table(landed, "visited-articles")
-    flags = articles.select("url", F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False)).alias("has_keywords"))
+    has = F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False))
+    flags = articles.select("url", has.alias("has_keywords"))
     flagged = visited.join(flags, "url")
     if years:
         kept = capped_harvest(flagged, order_by, cap, result_cap)
@@ -120,7 +122,11 @@ def flatten_json(spark: SparkSession, path: str, csv_path: str | None = None, on
 def load_article_stream(raw: DataFrame, target: str, checkpoint: str, url_col: str | None = "url") -> DataFrame:
     """Load newly arrived raw articles (a stream) into the table at ``target``: flat, one
     row per id, only ids the table lacks."""
-    return load_new(raw, "article_id", target, checkpoint, lambda batch: latest_articles(flatten(batch, url_col=url_col)))
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return latest_articles(flatten(batch, url_col=url_col))
+
+    return load_new(raw, "article_id", target, checkpoint, prepare)
 
 
 def normalise(articles: DataFrame, path: str, serial: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,10 @@ from paperloom.operators.rank import top_n
 from paperloom.session import scratch_path, spread
 
 # A tail for every text, so that each cleaning rule has something to do in each row.
-TAIL = " 30 °C 5 km/s x°F 3 m2/g don't, (it's) @user_x a@b.c © 2021 x 2021. wait?! 5.5 7. «q» 😀 日本 m²; | \t y"
+TAIL = (
+    " 30 °C 5 km/s x°F 3 m2/g don't, (it's) @user_x a@b.c"
+    " © 2021 x 2021. wait?! 5.5 7. «q» 😀 日本 m²; | \t y"
+)
 URL_BASE = "https://api.example.org/content/abstract/article/"
 ID_BASE = 85_000_000_000
 FIRST_DAY = "2018-01-01"

@@ -300,7 +300,8 @@ FROM documents WHERE lang IN ('es', 'de') AND source <> 'src0' UNION ALL SELECT
         "drop_epoch": "SELECT event_id, user_id, event_type FROM events",
         "list_literal_parse": f"""SELECT doc_id, len({LINES}) AS n_items, array_to_string({LINES}, '; ') AS items
 FROM documents""",
-        "list_round_trip": f"SELECT {ID_BASE} + doc_id AS article_id, array_to_string({LINES}, '; ') AS items FROM documents",
+        "list_round_trip": f"""SELECT {ID_BASE} + doc_id AS article_id, array_to_string({LINES}, '; ') AS items
+FROM documents""",
         "parse_dates": f"""SELECT o_orderkey, strftime({PARSED}, '%Y-%m-%d') AS iso_date
 FROM (SELECT o_orderkey, {WRITTEN} AS written FROM orders)""",
         "check_dates": f"""SELECT o_orderkey, {PARSED} IS NOT NULL AS is_date
@@ -308,7 +309,8 @@ FROM (SELECT o_orderkey, {WRITTEN} AS written FROM orders)""",
         "publish_dates": f"SELECT {URL} AS url, {DAY} AS publish_date FROM documents",
         "epoch_and_double": """SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS timestamp,
   CAST(value AS DOUBLE) AS rating FROM events""",
-        "dedupe_by_id": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem
+        "dedupe_by_id": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey
   ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey, l_quantity) = 1""",
         "dedupe_any": "SELECT DISTINCT l_orderkey FROM lineitem",
@@ -319,7 +321,8 @@ WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_ord
         "csv_round_trip": articles,
         "csv_unreadable_lists": 'SELECT doc_id AS "Article Id" FROM documents WHERE lang <> \'en\'',
         "bulk_init": articles,
-        "load_twice_append": f"""SELECT {ID_BASE} + doc_id AS article_id, CASE WHEN lang = 'en' THEN 3 ELSE 2 END AS n_rows
+        "load_twice_append": f"""SELECT {ID_BASE} + doc_id AS article_id,
+  CASE WHEN lang = 'en' THEN 3 ELSE 2 END AS n_rows
 FROM documents WHERE source <> 'src0'""",
         "load_twice_merge": articles,
         "merge_load": articles,
@@ -329,7 +332,8 @@ FROM documents WHERE source <> 'src0'""",
         "keyword_ids": f"""SELECT row_number() OVER (ORDER BY article_id, pos) AS id, article_id, keyword
 FROM ({KEYWORD_ROWS})""",
         "article_keywords": KEYWORD_ROWS,
-        "rebuild_keywords": f"""SELECT article_id, pos // 10000 AS part, string_agg(keyword, '; ' ORDER BY pos) AS keywords
+        "rebuild_keywords": f"""SELECT article_id, pos // 10000 AS part,
+  string_agg(keyword, '; ' ORDER BY pos) AS keywords
 FROM ({KEYWORD_ROWS}) GROUP BY ALL""",
         "fk_violations": """SELECT l_orderkey, count(*) AS n_rows FROM lineitem WHERE l_orderkey IS NOT NULL
 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""",

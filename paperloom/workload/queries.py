@@ -16,7 +16,7 @@ from paperloom.plans.schema import TABLES
 from paperloom.session import scratch_path, stage_table, tune
 from paperloom.sinks.targets import FolderTarget
 from paperloom.sinks.writers import land_lines, land_raw, write_csv
-from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles, unreadable_lists
+from paperloom.sources.files import drop_surplus, read_csv, typed_articles, unreadable_lists
 from paperloom.sources.search import listing_from_pages, read_search
 from paperloom.streaming import incremental
 from paperloom.workload.inputs import (
@@ -128,7 +128,8 @@ def list_literal_parse(spark, sf_dir):
     escaped = F.replace(escaped, F.lit("\t"), F.lit("\\t"))
     literal = F.concat(F.lit("['"), F.replace(escaped, F.lit("\n"), F.lit("', '")), F.lit("']"))
     items = A.parse_list_literal(literal)
-    return docs.select("doc_id", F.size(items).cast("bigint").alias("n_items"), F.array_join(items, "; ").alias("items"))
+    count = F.size(items).cast("bigint")
+    return docs.select("doc_id", count.alias("n_items"), F.array_join(items, "; ").alias("items"))
 
 
 def list_round_trip(spark, sf_dir):
@@ -297,7 +298,9 @@ def article_keywords(spark, sf_dir):
 
 def rebuild_keywords(spark, sf_dir):
     rebuilt = K.rebuild_keywords(K.explode_keywords(keyword_articles(spark, sf_dir)))
-    return rebuilt.select("article_id", F.col("part").cast("bigint").alias("part"), F.array_join("keywords", "; ").alias("keywords"))
+    return rebuilt.select(
+        "article_id", F.col("part").cast("bigint").alias("part"), F.array_join("keywords", "; ").alias("keywords")
+    )
 
 
 def fk_violations(spark, sf_dir):
@@ -333,12 +336,10 @@ def create_and_fill(spark, sf_dir):
     jobs.create_pair(spark, database)
     jobs.fill_pair(jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair")), database)
     checks = jobs.create_pair(spark, database)
+    items = {name: spark.table(f"{database}.{name}") for name in TABLES} | checks
     counts = [
-        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("item"), "n_rows")
-        for name in TABLES
-    ] + [
-        found.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("item"), "n_rows")
-        for name, found in checks.items()
+        rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(item).alias("item"), "n_rows")
+        for item, rows in items.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -368,7 +369,8 @@ def top_by_year(spark, sf_dir):
 
 
 def paging(spark, sf_dir):
-    return _plain(R.result_pages(order_listing(spark, sf_dir), by_citations()), "rank", "page", "start", "total_results", "id")
+    pages = R.result_pages(order_listing(spark, sf_dir), by_citations())
+    return _plain(pages, "rank", "page", "start", "total_results", "id")
 
 
 def capped_harvest(spark, sf_dir):
@@ -492,7 +494,8 @@ def stream_dedupe(spark, sf_dir):
     once = incremental.dedupe_stream(events.unionByName(events), "event_id", "ts", "1 day")
     target = scratch_path(spark, "stream")
     incremental.write_available(once, target, scratch_path(spark, "checkpoint"))
-    return spark.read.schema(events.schema).parquet(target).select("event_id", "user_id", "event_type", "value", "props")
+    written = spark.read.schema(events.schema).parquet(target)
+    return written.select("event_id", "user_id", "event_type", "value", "props")
 
 
 TEXT_QUERIES: dict[str, Callable[[Column], Column]] = {

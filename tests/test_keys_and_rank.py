@@ -46,7 +46,14 @@ def test_orphans_and_key_violations(spark):
 def test_normalise_is_sound(spark):
     pair = jobs.normalise(articles(spark, row(1), row(1, "S"), row(2)), scratch_path(spark, "pair"))
     assert all(v.count() == 0 for v in jobs.check_pair(*pair).values())
-    assert [tuple(r) for r in pair[1].orderBy("id").collect()] == [(1, 1, "k 1"), (2, 1, "k2"), (3, 2, "k 1"), (4, 2, "k2")]
+    expected = [(1, 1, "k 1"), (2, 1, "k2"), (3, 2, "k 1"), (4, 2, "k2")]
+    assert [tuple(r) for r in pair[1].orderBy("id").collect()] == expected
+
+
+def test_normalise_with_serial_ids(spark):
+    pair = jobs.normalise(articles(spark, row(70), row(5), row(70, "S")), scratch_path(spark, "pair"), serial=True)
+    assert sorted(r.id for r in pair[0].collect()) == [1, 2]
+    assert [(r.id, r.article_id) for r in pair[1].orderBy("id").collect()] == [(1, 1), (2, 1), (3, 2), (4, 2)]
 
 
 def test_skew_join_equals_plain_join(spark):
@@ -134,9 +141,8 @@ def test_first_harvest(spark):
 
 
 def test_ratings(spark):
-    ratings = spark.createDataFrame(
-        [(1, "t", 2.0), (1, None, 4.0), (2, "t", None), (2, "t", 9.0), (3, "t", None)], "key int, timestamp string, rating double"
-    )
+    rows = [(1, "t", 2.0), (1, None, 4.0), (2, "t", None), (2, "t", 9.0), (3, "t", None)]
+    ratings = spark.createDataFrame(rows, "key int, timestamp string, rating double")
     titles = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "key int, title string")
     got = report.most_rated(report.ratings_per_title(ratings, titles, "key")).collect()
     assert [tuple(r) for r in got] == [("x", 3, 5.0), ("y", 1, None)]

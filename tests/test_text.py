@@ -10,12 +10,15 @@ from paperloom.functions import text as T
 from paperloom.functions.charsets import EMOJI_RANGES
 from paperloom.functions.contractions import CONTRACTIONS
 
-ALPHABET = (
-    list("aemgJCFLkPx") + list(" .!?@;:|•«'\"()/\\,%-") + ["é", "°", "\n", "\xa0", "²", "½", "5", "33", "日", "😀", "©"]
-    + ["\x1c", "\x85", " ", "\r", "​", "Σ", "İ", "_", "’", "Ⓜ", "㊗", "🇩"]
-    + [" km/s ", "m2/g", "cm3/g", "mg/L", "30 °C", "100°F", "x°C", " kPa", "bar", "cal ", "L/min", "mL/s", "mm", " m ", " g ", "kg"]
-    + [" don't ", " it's", "(we'll)", "I'm ", "o'clock", "© 2023 x 2021. ", " 3.14 ", "5.", " @user_x"]
-)
+ALPHABET = [
+    *"aemgJCFLkPx",
+    *" .!?@;:|•«'\"()/\\,%-",
+    *"é°²½日😀©ΣİⓂ㊗🇩_’",
+    *"\n\r\t\xa0\x1c\x85\u2028\u200b\u2003",
+    *["5", "33", "3.14", "5.", "30 °C", "100°F", "x°C", " don't ", " it's", "(we'll)", "I'm ", "o'clock"],
+    *[" km/s ", "m2/g", "cm3/g", "mg/L", " kPa", "bar", "cal ", "L/min", "mL/s", "mm", " m ", " g ", "kg"],
+    *["© 2023 x 2021. ", " @user_x"],
+]
 
 
 def strings(seed, count):
