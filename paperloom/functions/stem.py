@@ -1,13 +1,18 @@
-"""Porter stemming of space-separated text.
+"""Porter stemming of space-separated text as a Column function.
 
 The published algorithm in its common extended form: short words and a few
 irregular ones are left alone, "-ied" and "-ies" treat short words specially, "y"
 turns to "i" only after a consonant, and "-alli", "-fulli" and "-logi" are handled.
+
+Each step is one ``F.transform`` over the words of a text, so stemming is part of the
+projection: no UDF and no shuffle. Spelling the vocabulary out as rows would shuffle
+each word of the corpus twice, with the most frequent word as the hottest key.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Irregular words, and per step the endings with what replaces them.
@@ -87,121 +92,150 @@ LAST_ENDINGS = [
     "ize",
 ]
 
+# The "measure" of a stem is its number of vowel-consonant runs. A "y" is a vowel after a
+# consonant; at the start of a word, where it is none, it is written "Y" meanwhile.
+_CONSONANTS = "[^aeiou][^aeiouy]*"
+_VOWELS = "[aeiouy][aeiou]*"
+MEASURE_1_UP = f"^(?:{_CONSONANTS})?{_VOWELS}[^aeiou]"
+MEASURE_1 = f"^(?:{_CONSONANTS})?{_VOWELS}{_CONSONANTS}(?:{_VOWELS})?$"
+MEASURE_2_UP = f"^(?:{_CONSONANTS})?{_VOWELS}{_CONSONANTS}{_VOWELS}[^aeiou]"
+HAS_VOWEL = f"^(?:{_CONSONANTS})?[aeiouy]"
+ENDS_SHORT = "^[aeiou][^aeiou]$|(?:[^aeiouy]|[aeiou]y)[aeiou][^aeiouwxyY]$|[^aeiouy]y[^aeiouwxyY]$"
+ENDS_DOUBLE = r"([^aeiouyY])\1$|[^aeiouy]yy$"
+ENDS_CONSONANT = "[^aeiouy]$|[aeiou]y$"
 
-def _shape(word: str) -> str:
-    """One letter per character: v for a vowel, c for anything else. A "y" is a vowel
-    after a consonant."""
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
+Condition = Callable[[Column], Column]
 
 
-def _measure(word: str) -> int:
-    return _shape(word).count("vc")
+def _without(word: Column, count: int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - count)
 
 
-def _short_end(word: str) -> bool:
-    shape = _shape(word)
-    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
+def _matches(pattern: str) -> Condition:
+    return lambda base: base.rlike(pattern)
 
 
-def _fitting(word: str, endings) -> tuple[str, str] | None:
-    return next(((word[: -len(end)], new) for end, new in endings if word.endswith(end)), None)
+def _replace_first(
+    word: Column, endings: list[tuple[str, str]], condition: Callable[[str], Condition | None]
+) -> Column:
+    """The first ending that fits decides: it is replaced if its condition holds for what
+    precedes it, else the word stays. Endings are looked up by their last letter, so
+    that most words are done after a few comparisons."""
 
+    def replaced(ending: str, new: str) -> Column:
+        base = _without(word, len(ending))
+        swapped = F.concat(base, F.lit(new))
+        test = condition(ending)
+        return F.when(test(base), swapped).otherwise(word) if test else swapped
 
-def _plural(word: str) -> str:
-    if len(word) == 4 and word.endswith("ies"):
-        return word[:-1]
-    fit = _fitting(word, PLURALS)
-    return fit[0] + fit[1] if fit else word
+    by_letter = F
+    for letter in dict.fromkeys(ending[-1] for ending, _ in endings):
+        chosen = F
+        for ending, new in endings:
+            if ending.endswith(letter):
+                chosen = chosen.when(word.endswith(ending), replaced(ending, new))
+        by_letter = by_letter.when(word.endswith(letter), chosen.otherwise(word))
+    return by_letter.otherwise(word)
 
 
-def _participle(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    fit = _fitting(word, [("ed", ""), ("ing", "")])
-    if fit is None or "v" not in _shape(fit[0]):
-        return word
-    base = fit[0]
-    longer = _fitting(base, AFTER_PARTICIPLE)
-    if longer:
-        return longer[0] + longer[1]
-    if len(base) > 1 and base[-1] == base[-2] and _shape(base).endswith("c"):
-        return base if base[-1] in "lsz" else base[:-1]
-    return base + "e" if _measure(base) == 1 and _short_end(base) else base
+def _initial_y(word: Column) -> Column:
+    rest = F.substring(word, F.lit(2), F.length(word))
+    return F.when(word.startswith("y"), F.concat(F.lit("Y"), rest)).otherwise(word)
 
 
-def _final_y(word: str) -> str:
-    return word[:-1] + "i" if word.endswith("y") and len(word) > 2 and _shape(word)[-2] == "c" else word
+def _plural(word: Column) -> Column:
+    short = word.endswith("ies") & (F.length(word) == 4)
+    return F.when(short, _without(word, 1)).otherwise(_replace_first(word, PLURALS, lambda ending: None))
 
 
-def _long_ending(word: str) -> str:
-    while word.endswith("alli") and _measure(word[:-4]) > 0:
-        word = word[:-2]
-    fit = _fitting(word, LONG_ENDINGS)
-    if fit is None:
-        return word
-    base = word[:-3] if word.endswith("logi") else fit[0]
-    return fit[0] + fit[1] if _measure(base) > 0 else word
+def _after_participle(base: Column) -> Column:
+    longer = "|".join(ending for ending, _ in AFTER_PARTICIPLE)
+    doubled = F.when(base.rlike("[lsz]$"), base).otherwise(_without(base, 1))
+    return (
+        F.when(base.rlike(f"(?:{longer})$"), F.concat(base, F.lit("e")))
+        .when(base.rlike(ENDS_DOUBLE), doubled)
+        .when(base.rlike(MEASURE_1) & base.rlike(ENDS_SHORT), F.concat(base, F.lit("e")))
+        .otherwise(base)
+    )
 
 
-def _middle_ending(word: str) -> str:
-    fit = _fitting(word, MIDDLE_ENDINGS)
-    return fit[0] + fit[1] if fit and _measure(fit[0]) > 0 else word
+def _participle(word: Column) -> Column:
+    tied = F.when(F.length(word) == 4, _without(word, 1)).otherwise(_without(word, 2))
+    chosen = F.when(word.endswith("ied"), tied).when(
+        word.endswith("eed"), F.when(_without(word, 3).rlike(MEASURE_1_UP), _without(word, 1)).otherwise(word)
+    )
+    for ending in ("ed", "ing"):
+        base = _without(word, len(ending))
+        chosen = chosen.when(word.endswith(ending) & base.rlike(HAS_VOWEL), _after_participle(base))
+    return chosen.otherwise(word)
 
 
-def _last_ending(word: str) -> str:
-    fit = _fitting(word, [(end, "") for end in LAST_ENDINGS])
-    if fit is None or _measure(fit[0]) < 2 or (word.endswith("ion") and fit[0][-1] not in "st"):
-        return word
-    return fit[0]
+def _final_y(word: Column) -> Column:
+    base = _without(word, 1)
+    fits = word.endswith("y") & (F.length(word) > 2) & base.rlike(ENDS_CONSONANT)
+    return F.when(fits, F.concat(base, F.lit("i"))).otherwise(word)
 
 
-def _tidy(word: str) -> str:
-    if word.endswith("e"):
-        base = word[:-1]
-        size = _measure(base)
-        if size > 1 or (size == 1 and not _short_end(base)):
-            word = base
-    return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
+def _adverb(word: Column) -> Column:
+    fits = word.endswith("alli") & _without(word, 4).rlike(MEASURE_1_UP)
+    return F.when(fits, _without(word, 2)).otherwise(word)
 
 
-def stem(word: str) -> str:
-    word = word.lower()
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    for step in (_plural, _participle, _final_y, _long_ending, _middle_ending, _last_ending, _tidy):
-        word = step(word)
-    return word
+def _long_ending(word: Column) -> Column:
+    def condition(ending: str) -> Condition:
+        kept = "l" if ending == "logi" else ""
+        return lambda base: F.concat(base, F.lit(kept)).rlike(MEASURE_1_UP)
 
+    return _replace_first(word, LONG_ENDINGS, condition)
 
-class _Vocabulary(dict):
-    """Word to stem, filled as words turn up."""
 
-    def __missing__(self, word: str) -> str:
-        self[word] = value = stem(word)
-        return value
+def _middle_ending(word: Column) -> Column:
+    return _replace_first(word, MIDDLE_ENDINGS, lambda ending: _matches(MEASURE_1_UP))
 
 
-def stem_words(text: Column) -> Column:
-    """Each word of cleaned text as its stem followed by a space.
+def _last_ending(word: Column) -> Column:
+    def condition(ending: str) -> Condition:
+        if ending == "ion":
+            return lambda base: base.rlike(MEASURE_2_UP) & base.rlike("[st]$")
+        return _matches(MEASURE_2_UP)
+
+    return _replace_first(word, [(ending, "") for ending in LAST_ENDINGS], condition)
+
+
+def _final_e(word: Column) -> Column:
+    base = _without(word, 1)
+    drop = base.rlike(MEASURE_2_UP) | (base.rlike(MEASURE_1_UP) & ~base.rlike(ENDS_SHORT))
+    return F.when(word.endswith("e") & drop, base).otherwise(word)
 
-    Every Arrow batch stems its distinct words once. That keeps the step inside the
-    projection: spelling the vocabulary out as rows would shuffle each word of the
-    corpus twice, with the most frequent word as the hottest key.
-    """
 
-    @F.pandas_udf("string")
-    def stems(texts: pd.Series) -> pd.Series:
-        words = _Vocabulary()
-        return texts.map(
-            lambda t: "".join(words[w] + " " for w in t.split(" ") if w), na_action="ignore"
-        )
+def _double_l(word: Column) -> Column:
+    base = _without(word, 1)
+    return F.when(word.endswith("ll") & base.rlike(MEASURE_2_UP), base).otherwise(word)
 
-    return stems(text)
+
+STEPS = [
+    _plural,
+    _participle,
+    _final_y,
+    _adverb,
+    _long_ending,
+    _middle_ending,
+    _last_ending,
+    _final_e,
+    _double_l,
+]
+
+
+def stem_words(text: Column) -> Column:
+    """Each word of cleaned text as its stem followed by a space."""
+    irregular = F.create_map(*[F.lit(part) for entry in IRREGULAR.items() for part in entry])
+    words = F.filter(F.split(F.lower(text), " ", -1), lambda word: word != "")
+    stems = F.transform(words, _initial_y)
+    for step in STEPS:
+        stems = F.transform(stems, step)
+
+    def final(word: Column, stem: Column) -> Column:
+        regular = F.when(F.length(word) <= 2, word).otherwise(F.replace(stem, F.lit("Y"), F.lit("y")))
+        return F.concat(F.coalesce(F.try_element_at(irregular, word), regular), F.lit(" "))
+
+    return F.array_join(F.zip_with(words, stems, final), "")

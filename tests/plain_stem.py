@@ -1,0 +1,103 @@
+"""Stemming one word at a time in plain Python, to hold the column functions against."""
+
+from paperloom.functions.stem import (
+    AFTER_PARTICIPLE,
+    IRREGULAR,
+    LAST_ENDINGS,
+    LONG_ENDINGS,
+    MIDDLE_ENDINGS,
+    PLURALS,
+)
+
+
+def _shape(word: str) -> str:
+    """One letter per character: v for a vowel, c for anything else. A "y" is a vowel
+    after a consonant."""
+    shape = ""
+    for letter in word:
+        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
+        shape += "v" if vowel else "c"
+    return shape
+
+
+def _measure(word: str) -> int:
+    return _shape(word).count("vc")
+
+
+def _short_end(word: str) -> bool:
+    shape = _shape(word)
+    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
+
+
+def _fitting(word: str, endings) -> tuple[str, str] | None:
+    return next(((word[: -len(end)], new) for end, new in endings if word.endswith(end)), None)
+
+
+def _plural(word: str) -> str:
+    if len(word) == 4 and word.endswith("ies"):
+        return word[:-1]
+    fit = _fitting(word, PLURALS)
+    return fit[0] + fit[1] if fit else word
+
+
+def _participle(word: str) -> str:
+    if word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
+    if word.endswith("eed"):
+        return word[:-1] if _measure(word[:-3]) > 0 else word
+    fit = _fitting(word, [("ed", ""), ("ing", "")])
+    if fit is None or "v" not in _shape(fit[0]):
+        return word
+    base = fit[0]
+    longer = _fitting(base, AFTER_PARTICIPLE)
+    if longer:
+        return longer[0] + longer[1]
+    if len(base) > 1 and base[-1] == base[-2] and _shape(base).endswith("c"):
+        return base if base[-1] in "lsz" else base[:-1]
+    return base + "e" if _measure(base) == 1 and _short_end(base) else base
+
+
+def _final_y(word: str) -> str:
+    return word[:-1] + "i" if word.endswith("y") and len(word) > 2 and _shape(word)[-2] == "c" else word
+
+
+def _long_ending(word: str) -> str:
+    while word.endswith("alli") and _measure(word[:-4]) > 0:
+        word = word[:-2]
+    fit = _fitting(word, LONG_ENDINGS)
+    if fit is None:
+        return word
+    base = word[:-3] if word.endswith("logi") else fit[0]
+    return fit[0] + fit[1] if _measure(base) > 0 else word
+
+
+def _middle_ending(word: str) -> str:
+    fit = _fitting(word, MIDDLE_ENDINGS)
+    return fit[0] + fit[1] if fit and _measure(fit[0]) > 0 else word
+
+
+def _last_ending(word: str) -> str:
+    fit = _fitting(word, [(end, "") for end in LAST_ENDINGS])
+    if fit is None or _measure(fit[0]) < 2 or (word.endswith("ion") and fit[0][-1] not in "st"):
+        return word
+    return fit[0]
+
+
+def _tidy(word: str) -> str:
+    if word.endswith("e"):
+        base = word[:-1]
+        size = _measure(base)
+        if size > 1 or (size == 1 and not _short_end(base)):
+            word = base
+    return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
+
+
+def stem(word: str) -> str:
+    word = word.lower()
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    if len(word) <= 2:
+        return word
+    for step in (_plural, _participle, _final_y, _long_ending, _middle_ending, _last_ending, _tidy):
+        word = step(word)
+    return word

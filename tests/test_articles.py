@@ -2,7 +2,9 @@
 
 import datetime
 import json
+import random
 
+import plain_stem
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,10 +176,27 @@ STEMS = {
 }
 
 
-def test_stems():
-    assert {word: S.stem(word) for word in STEMS} == STEMS
+def test_stems(spark):
+    assert {word: plain_stem.stem(word) for word in STEMS} == STEMS
+    got = values_of(spark, STEMS, S.stem_words)
+    assert got == {word: stem + " " for word, stem in STEMS.items()}
+
+
+def test_stems_of_made_up_words(spark):
+    rng = random.Random(3)
+    heads = ["", "y", "gy", "tr", "sy", "ay", "oy", "eed", "fly", "é", "ll", "log", "qu", "w", "x", "hopp", "fizz", "iz", "at"]
+    tails = [e for e, _ in S.PLURALS + S.LONG_ENDINGS + S.MIDDLE_ENDINGS] + S.LAST_ENDINGS
+    tails += ["ed", "ing", "ied", "y", "e", "ll", "eed", "alli", "ationalli", "5", ""]
+    words = {
+        rng.choice(heads) + "".join(rng.choice("aeiouytslnrwxbé") for _ in range(rng.randint(0, 4))) + rng.choice(tails)
+        for _ in range(6000)
+    }
+    words = {w for w in words if w and "yyy" not in w}
+    got = values_of(spark, words, S.stem_words)
+    wrong = [(w, got[w], plain_stem.stem(w)) for w in words if got[w] != plain_stem.stem(w) + " "]
+    assert not wrong, (len(wrong), wrong[:5])
 
 
 def test_stem_words(spark):
-    got = values_of(spark, ["cats running . 5", "", "Happy"], S.stem_words)
-    assert got == {"cats running . 5": "cat run . 5 ", "": "", "Happy": "happi "}
+    got = values_of(spark, ["cats running . 5", "", "Happy  dogs ", None], S.stem_words)
+    assert got == {"cats running . 5": "cat run . 5 ", "": "", "Happy  dogs ": "happi dog ", None: None}
