@@ -161,13 +161,14 @@ def _after_participle(base: Column) -> Column:
 
 def _participle(word: Column) -> Column:
     tied = F.when(F.length(word) == 4, _without(word, 1)).otherwise(_without(word, 2))
-    chosen = F.when(word.endswith("ied"), tied).when(
-        word.endswith("eed"), F.when(_without(word, 3).rlike(MEASURE_1_UP), _without(word, 1)).otherwise(word)
-    )
-    for ending in ("ed", "ing"):
-        base = _without(word, len(ending))
-        chosen = chosen.when(word.endswith(ending) & base.rlike(HAS_VOWEL), _after_participle(base))
-    return chosen.otherwise(word)
+    agreed = F.when(_without(word, 3).rlike(MEASURE_1_UP), _without(word, 1)).otherwise(word)
+
+    def regular(count: int) -> Column:
+        base = _without(word, count)
+        return F.when(base.rlike(HAS_VOWEL), _after_participle(base)).otherwise(word)
+
+    past = F.when(word.endswith("ied"), tied).when(word.endswith("eed"), agreed).otherwise(regular(2))
+    return F.when(word.endswith("ed"), past).when(word.endswith("ing"), regular(3)).otherwise(word)
 
 
 def _final_y(word: Column) -> Column:
@@ -235,7 +236,12 @@ def stem_words(text: Column) -> Column:
         stems = F.transform(stems, step)
 
     def final(word: Column, stem: Column) -> Column:
-        regular = F.when(F.length(word) <= 2, word).otherwise(F.replace(stem, F.lit("Y"), F.lit("y")))
-        return F.concat(F.coalesce(F.try_element_at(irregular, word), regular), F.lit(" "))
+        chosen = (
+            F.when(F.length(word) <= 2, word)
+            .when(word.isin(list(IRREGULAR)), F.try_element_at(irregular, word))
+            .when(stem.startswith("Y"), F.replace(stem, F.lit("Y"), F.lit("y")))
+            .otherwise(stem)
+        )
+        return F.concat(chosen, F.lit(" "))
 
     return F.array_join(F.zip_with(words, stems, final), "")
