@@ -181,7 +181,8 @@ def decide(docs: DataFrame) -> DataFrame:
     winners = known.groupBy("digest").agg(
         F.min_by(F.struct("doc_id", "row_id", "same"), F.col("member")).alias("w"), F.sum("n").alias("group_size")
     )
-    joined = rows.join(winners, "digest")
+    # Two plain tables, so that Spark's skew join can split a text with many copies.
+    joined = rows.join(stage_table(winners, "winners"), "digest")
     decided = joined.select(
         "row_id",
         "doc_id",

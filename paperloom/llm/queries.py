@@ -6,13 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import exact, simhash
+import public_tokenizers
+
+from paperloom.llm import bpe, exact, langid, mixing, secret_scan, simhash, urls
 from paperloom.llm.common import table
 from paperloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+EVENNESS = 0.97
+MAX_REPEATS = 4.0
+
+
+def op1_temperature_mixing(spark, sf_dir):
+    """A mix as large as the corpus: doc_id once per block that takes it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.plan_mix(docs, EVENNESS, MAX_REPEATS, budget_share=1.0)
+    mixed = mixing.mix(docs.select("doc_id", "source"), plan)
+    return mixed.select("row.doc_id", "row.source", "block", F.round("position", 6).alias("position"))
+
+
+def op2_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return secret_scan.report(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+
+
 def op3_simhash_dedup(spark, sf_dir):
     decided = simhash.decide(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -25,9 +44,85 @@ def op4_exact_dedup(spark, sf_dir):
     )
 
 
-QUERIES: list[Query] = [op3_simhash_dedup, op4_exact_dedup]
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = langid.in_fold(F.col("doc_id"), 4, 2)
+    models = langid.train(docs.filter(~held_out & F.col("doc_id").isNotNull()))
+    answers = langid.predict(docs, models, ["doc_id"])
+    return answers.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoder = bpe.Encoder(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    coded = bpe.round_trip(docs, encoder, ["doc_id"])
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+# Fixed values: (verdict, host and path).
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op7_url_filter(spark, sf_dir):
+    """The number in a URL's path is the document that the page shows; its labels are the URL's."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(urls.path_of(F.col("url")), r"/([0-9]{1,18})(?:[/.]|$)", 1)
+    shown = pages.select("url", number.try_cast("bigint").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), urls.BLOCK).otherwise(urls.ALLOW)
+    labelled = shown.join(labels, "doc_id").select("url", bad.alias("label"))
+    return urls.judge(pages, URL_RULES, labelled)
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+QUERIES: list[Query] = [
+    op1_temperature_mixing,
+    op2_secret_scan,
+    op3_simhash_dedup,
+    op4_exact_dedup,
+    op5_language_id,
+    op6_byte_bpe,
+    op7_url_filter,
+]
 
 SQL: dict[str, str] = {
+    "op1_temperature_mixing": f"""
+        WITH RECURSIVE n AS (
+            SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens
+            FROM documents
+        ), s AS (SELECT source, sum(tokens)::BIGINT AS tokens FROM n GROUP BY source),
+        p AS (SELECT source, tokens, tokens / (SELECT sum(tokens) FROM s)::DOUBLE AS p FROM s),
+        steps(i, low, width) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT i + 1,
+                (SELECT CASE WHEN ln(sum(exp(a * ln(p)))) - sum(exp(a * ln(p)) * a * ln(p)) / sum(exp(a * ln(p)))
+                        >= {EVENNESS} * ln(count(*)) THEN a ELSE low END
+                 FROM (SELECT p, low + width / 2 AS a FROM p) GROUP BY a),
+                width / 2
+            FROM steps WHERE i < 36
+        ), e AS (
+            SELECT CASE WHEN -(SELECT sum(p * ln(p)) FROM p) >= {EVENNESS} * ln((SELECT count(*) FROM p)) THEN 1.0
+                ELSE (SELECT round(low, 9) FROM steps WHERE i = 36) END AS a
+        ), w AS (
+            SELECT source, tokens, round(exp(a * ln(p)) / sum(exp(a * ln(p))) OVER () / p, 9) AS repeats FROM p, e
+        ), b AS (
+            SELECT *, floor(repeats)::BIGINT AS blocks, round((repeats - floor(repeats)) * tokens)::BIGINT AS rest FROM w
+        ), x AS (
+            SELECT n.doc_id, n.source, n.tokens, repeats, rest, unnest(range(blocks + 1)) AS block, blocks FROM n JOIN b USING (source)
+        ), k AS (
+            SELECT *, ('0x' || substr(md5(block || '|' || doc_id), 1, 15))::BIGINT AS place FROM x
+        ), r AS (SELECT *, sum(tokens) OVER (PARTITION BY source, block ORDER BY place) AS upto FROM k)
+        SELECT doc_id, source, block, round((block + place / 1152921504606846976.0) / repeats, 6) AS position
+        FROM r WHERE block < blocks OR upto <= rest
+    """,
     "op4_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
