@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from paperloom.llm import bpe, exact, langid, mixing, secret_scan, simhash, urls
+from paperloom.llm import bpe, exact, langid, mixing, quality, secret_scan, simhash, templates, urls, winnow
 from paperloom.llm.common import table
 from paperloom.session import tune
 
@@ -82,6 +82,28 @@ def op7_url_filter(spark, sf_dir):
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
+
+
+def op8_winnowing(spark, sf_dir):
+    return winnow.compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = langid.in_fold(F.col("doc_id"), 5, 0)
+    ensemble = quality.train(docs, labels.filter(~held_out))
+    scored = quality.score(docs, ensemble, ["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+def op10_line_templates(spark, sf_dir):
+    cleaned = templates.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("row.text", F.lit(""))
+    return cleaned.select("row.doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("text_sha256"))
+
+
 QUERIES: list[Query] = [
     op1_temperature_mixing,
     op2_secret_scan,
@@ -90,9 +112,68 @@ QUERIES: list[Query] = [
     op5_language_id,
     op6_byte_bpe,
     op7_url_filter,
+    op8_winnowing,
+    op9_quality_rules,
+    op10_line_templates,
 ]
 
+def _spans_sql() -> str:
+    """All matches with their places: pieces between matches and matches, unnested side by side."""
+    parts = []
+    for kind, (name, pattern, group, least) in enumerate(secret_scan.KINDS):
+        # A run is matched from its start anyway, so what stands before it needs no test here.
+        quoted = "'" + pattern.replace("(?<![A-Za-z0-9_-])", "").replace("'", "''") + "'"
+        parts.append(f"""
+            SELECT rid, owner, repository, {kind} AS kind, '{name}' AS name, {least} AS least,
+                generate_subscripts(string_split_regex(t, {quoted}), 1) AS nth,
+                unnest(string_split_regex(t, {quoted})) AS before,
+                unnest(regexp_extract_all(t, {quoted})) AS found,
+                unnest(regexp_extract_all(t, {quoted}, {group})) AS value
+            FROM d""")
+    return " UNION ALL ".join(parts)
+
+
+def _secret_sql() -> str:
+    base = f"kind < {secret_scan.BASE}"
+    example = f"(n_owners >= {secret_scan.EXAMPLE_OWNERS} OR n_repositories >= {secret_scan.EXAMPLE_REPOSITORIES})"
+    counts = ", ".join(f"count(*) FILTER (kind = {k}) AS n_{secret_scan.KINDS[k][0]}" for k in range(secret_scan.BASE))
+    listed = "name || ':' || start_ || ':' || end_, ',' ORDER BY start_, kind"
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, chr(0)) AS owner,
+                concat_ws('/', source, lang) AS repository
+            FROM documents
+        ), m AS ({_spans_sql()}), p AS (
+            SELECT *, CAST(sum(len(before) + len(found)) OVER (PARTITION BY rid, kind ORDER BY nth) AS BIGINT) AS end_
+            FROM m WHERE found IS NOT NULL
+        ), s AS (
+            SELECT *, end_ - len(found) AS start_, regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+                AND len(list_distinct(string_split(value, ''))) >= {secret_scan.LEAST_DIFFERENT} AS random_
+            FROM p WHERE len(value) >= least
+        ), o AS (
+            SELECT value, count(DISTINCT owner) AS n_owners, count(DISTINCT repository) AS n_repositories
+            FROM s GROUP BY value
+        ), j AS (
+            SELECT s.*, {example} AS example, n_owners = 1 AND NOT {example} AND random_ AS live FROM s JOIN o USING (value)
+        ), w AS (
+            SELECT *, max(CASE WHEN {base} THEN end_ END) OVER (
+                    PARTITION BY rid ORDER BY start_, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS behind,
+                min(CASE WHEN {base} THEN start_ END) OVER (
+                    PARTITION BY rid ORDER BY start_, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ahead
+            FROM j
+        ), kept AS (
+            SELECT * FROM w
+            WHERE {base} OR (live AND coalesce(behind <= start_, TRUE) AND coalesce(ahead >= end_, TRUE))
+        )
+        SELECT doc_id, {counts},
+            sha256(coalesce(string_agg({listed}) FILTER ({base}), '')) AS base_sha256,
+            coalesce(string_agg({listed}), '') AS spans,
+            count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example
+        FROM d LEFT JOIN kept USING (rid) GROUP BY rid, doc_id"""
+
+
 SQL: dict[str, str] = {
+    "op2_secret_scan": _secret_sql(),
     "op1_temperature_mixing": f"""
         WITH RECURSIVE n AS (
             SELECT doc_id, source, greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens

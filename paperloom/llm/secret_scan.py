@@ -147,9 +147,12 @@ def report(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     def count(test) -> Column:
         return F.size(F.filter("spans", test)).cast("long")
 
+    def of_kind(kind: int) -> Column:
+        return count(lambda s: s["kind"] == kind).alias(f"n_{KINDS[kind][0]}")
+
     return spans.select(
         "doc_id",
-        *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k][0]}") for k in range(BASE)],
+        *[of_kind(k) for k in range(BASE)],
         F.sha2(named(base), 256).alias("base_sha256"),
         named(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),

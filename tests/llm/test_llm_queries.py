@@ -1,0 +1,82 @@
+"""The registered queries over the smallest tables, and the pipeline against brute force."""
+
+import hashlib
+import re
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from compare import connect, differences
+from odd_rows import documents, empty
+from paperloom.llm import bpe, mixing, queries
+from test_simhash import brute_fingerprint, near, roots, signed
+
+NAMES = list(queries.all_queries())
+
+
+def test_entry_has_all():
+    assert {*NAMES, "pipeline"} <= set(entry.queries())
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in NAMES] == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", list(queries.all_oracles()))
+def test_sql(spark, sf_dir, name):
+    assert differences(spark, connect(sf_dir), entry.queries()[name], queries.all_oracles()[name], sf_dir) == ""
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in queries.all_oracles()])
+def test_one_row_per_row(spark, sf_dir, name):
+    source, key = ("pages", "page_id") if name.startswith("op7_") else ("documents", "doc_id")
+    rows = entry.queries()[name](spark, sf_dir)
+    ids = sorted(r[0] for r in rows.select(key).collect())
+    assert ids == sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect())
+
+
+def test_pipeline_matches_brute_force(spark, sf_dir):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    seen, left = set(), []
+    for doc_id in sorted(docs):
+        text = re.sub(r"[\x20\x09-\x0D]+", " ", docs[doc_id]["text"])
+        if text not in seen and any(c.isalpha() for c in text):
+            left.append(doc_id)
+        seen.add(text)
+    prints = {d: signed(brute_fingerprint(docs[d]["text"])) for d in left}
+    values = sorted(set(prints.values()))
+    root = roots(values, near(values))
+    first = {}
+    for doc_id in left:
+        first.setdefault(root[prints[doc_id]], doc_id)
+    kept = sorted(first.values())
+    rows = entry.queries()["pipeline"](spark, sf_dir).collect()
+    assert sorted({r["doc_id"] for r in rows}) == kept
+    tokens = {}
+    for d in kept:
+        tokens.setdefault(docs[d]["source"], []).append(max(1, len(re.findall(r"[^\x20\x09-\x0D]+", docs[d]["text"]))))
+    plan = mixing.plan_mix(
+        spark.createDataFrame([docs[d] for d in kept]), evenness=1.0, max_repeats=corpus_pipeline.MAX_REPEATS
+    )
+    repeats = {r["source"]: r["repeats"] for r in plan.collect()}
+    for source, counts in tokens.items():
+        got = sum(max(1, len(re.findall(r"[^\x20\x09-\x0D]+", docs[r["doc_id"]]["text"]))) for r in rows if r["source"] == source)
+        assert 0 <= repeats[source] * sum(counts) - got <= max(counts) + 1
+    ranks = bpe.load_ranks(public_tokenizers.path(queries.VOCABULARY))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for row in rows:
+        assert row["ids"] == plain.encode_ordinary(docs[row["doc_id"]]["text"])
+        assert row["decoded_sha256"] == hashlib.sha256(docs[row["doc_id"]]["text"].encode()).hexdigest()
+
+
+def test_stages_keep_the_columns(spark, sf_dir):
+    assert len(corpus_pipeline.STAGES) == 5
+    for table in (documents(spark), empty(spark)):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf_dir)
+            assert docs.columns == table.columns, name
+        last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+        assert last.count() == docs.count()
+        assert docs.filter(F.col("text").isNull()).count() == 0
