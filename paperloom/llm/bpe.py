@@ -1,5 +1,8 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
+A text is cut into matches of the pattern; each distinct match goes once through the library's
+model, spelled with one character per byte, and its ids and offsets are looked up from then on.
+
 A rank file lists byte strings in the order in which they may be merged. The library wants
 text, so each byte stands for one printable character (the byte alphabet), and each merge
 names its two parts: they are what merging by the lower ranks leaves of the token. Decoding
@@ -14,17 +17,22 @@ other columns are ignored.
 from __future__ import annotations
 
 import base64
-import os
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+import regex
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from paperloom.llm.common import whole_text
 
-CHARS_AT_ONCE = 2_000_000
+UNITS_AT_ONCE = 500_000
+WORDS_AT_ONCE = 100_000
+KNOWN_WORDS = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -96,45 +104,83 @@ def decode_text(ids: list[int], pieces: list[bytes]) -> str:
     return decode_bytes(ids, pieces).decode("utf-8", "replace")
 
 
-def _list_array(lists: list, kind: pa.DataType) -> pa.Array:
+def _lists(lists: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(lists) + 1, np.int32)
     np.cumsum([len(x) for x in lists], out=offsets[1:])
-    flat = np.concatenate([np.asarray(x, kind.to_pandas_dtype()) for x in lists])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists), pa.int32()))
 
 
-def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``CHARS_AT_ONCE`` units; a longer row comes alone."""
-    start, ends = 0, np.cumsum(sizes)
+def _slices(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``UNITS_AT_ONCE`` units; a longer row comes alone."""
+    start, ends = 0, np.cumsum(sizes.to_numpy(zero_copy_only=False))
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + CHARS_AT_ONCE, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + UNITS_AT_ONCE, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
 
-class Encoder:
-    """A tokenizer that each worker process builds once from a broadcast string (its size is
-    that of the vocabulary)."""
+class WordCoder:
+    """Codes matches of the pattern one by one with the library's model, and keeps what it has
+    coded up to a bound: words come again and again."""
+
+    def __init__(self, tokenizer: Tokenizer, pattern: str) -> None:
+        self.model = tokenizer.model
+        self.pieces = token_bytes(tokenizer)
+        self.pattern = regex.compile(pattern)
+        self.spelling = dict(enumerate(byte_alphabet()))
+        self.lengths = np.array([len(piece) for piece in self.pieces])
+        self.known: dict[str, bytes] = {}
+
+    def code(self, word: str) -> bytes:
+        """Ids of one match as bytes of int32. The model sees one character per byte."""
+        spelled = word.encode().decode("latin-1").translate(self.spelling)
+        return array("i", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def _words(self, text: str) -> Iterator[list[str]]:
+        if len(text) <= UNITS_AT_ONCE:
+            yield self.pattern.findall(text)
+            return
+        found = (match.group() for match in self.pattern.finditer(text))
+        while some := list(islice(found, WORDS_AT_ONCE)):
+            yield some
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text."""
+        parts = []
+        for words in self._words(text):
+            if len(self.known) > KNOWN_WORDS:
+                self.known.clear()
+            for word in set(words).difference(self.known):
+                self.known[word] = self.code(word)
+            parts.append(b"".join(map(self.known.__getitem__, words)))
+        return np.frombuffer(b"".join(parts), np.int32)
+
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, ends) of the characters of which each token has bytes."""
+        lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+        char_of = np.cumsum(lead) - 1
+        ends = np.cumsum(self.lengths[ids])
+        starts = ends - self.lengths[ids]
+        return char_of[starts].astype(np.int32), (char_of[ends - 1] + 1).astype(np.int32)
+
+
+_coders: dict[str, WordCoder] = {}
 
-    def __init__(self, spark, path: str, pattern: str) -> None:
-        self._text = spark.sparkContext.broadcast(build_tokenizer(load_ranks(path), pattern).to_str())
-        self._loaded: Tokenizer | None = None
-        self._pieces: list[bytes] | None = None
 
-    def __getstate__(self) -> dict:
-        return {"_text": self._text, "_loaded": None, "_pieces": None}
+class Encoder:
+    """A tokenizer as a broadcast string (its size is that of the vocabulary), from which each
+    worker process builds its coder once."""
 
-    def tokenizer(self) -> Tokenizer:
-        if self._loaded is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
-            self._loaded = Tokenizer.from_str(self._text.value)
-        return self._loaded
+    def __init__(self, spark: SparkSession, path: str, pattern: str) -> None:
+        self._name = f"{path} {pattern}"
+        self._pattern = pattern
+        self._text = spark.sparkContext.broadcast(build_tokenizer(load_ranks(path), pattern).to_str())
 
-    def pieces(self) -> list[bytes]:
-        if self._pieces is None:
-            self._pieces = token_bytes(self.tokenizer())
-        return self._pieces
+    def coder(self) -> WordCoder:
+        if self._name not in _coders:
+            _coders[self._name] = WordCoder(Tokenizer.from_str(self._text.value), self._pattern)
+        return _coders[self._name]
 
 
 def encode(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = True) -> DataFrame:
@@ -146,37 +192,41 @@ def encode(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = T
     arrays = ["ids", "starts", "ends"] if offsets else ["ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder.tokenizer()
+        coder = encoder.coder()
         for batch in batches:
-            sizes = pa.compute.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False)
-            for part in _slices(batch, sizes):
+            for part in _slices(batch, pc.utf8_length(batch.column(1))):
                 texts = part.column(1).to_pylist()
+                found = [(coder.encode(text),) for text in texts]
                 if offsets:
-                    found = tokenizer.encode_batch(texts, add_special_tokens=False)
-                    spans = [np.array(e.offsets, np.int32).reshape(-1, 2) for e in found]
-                    more = [_list_array([s[:, i] for s in spans], pa.int32()) for i in (0, 1)]
-                else:
-                    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                    more = []
-                ids = _list_array([e.ids for e in found], pa.int32())
-                yield pa.record_batch([part.column(0), ids, *more], ["kept", *arrays])
+                    found = [(ids, *coder.offsets(text, ids)) for text, (ids,) in zip(texts, found)]
+                yield pa.record_batch([part.column(0), *map(_lists, zip(*found))], ["kept", *arrays])
 
     out = f"kept {schema.simpleString()}, " + ", ".join(f"{a} array<int>" for a in arrays)
     return rows.mapInArrow(run, out).select("kept.*", *arrays)
 
 
+def decode_lists(ids: pa.Array, pieces: pa.Array) -> pa.Array:
+    """The bytes of each list of ids: pieces are taken by id, and the borders of the lists
+    become the borders of the results."""
+    taken = pieces.take(ids.flatten())
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy(zero_copy_only=False))])
+    borders = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))])
+    places = pa.array(ends[borders].astype(np.int64))
+    data = pa.py_buffer(b"".join(taken.to_pylist())) if taken.offset else taken.buffers()[2]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, places.buffers()[1], data]).cast(pa.binary())
+
+
 def decode(encoded: DataFrame, encoder: Encoder, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``decoded``, the bytes of ``ids``."""
     rows = encoded.select(F.struct(*keep).alias("kept"), "ids")
     schema = rows.schema["kept"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = encoder.pieces()
+        pieces = pa.array(encoder.coder().pieces, pa.binary())
         for batch in batches:
-            sizes = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
-            for part in _slices(batch, sizes):
-                decoded = [decode_bytes(ids, pieces) for ids in part.column(1).to_pylist()]
-                yield pa.record_batch([part.column(0), pa.array(decoded, pa.binary())], ["kept", "decoded"])
+            for part in _slices(batch, pc.list_value_length(batch.column(1))):
+                decoded = decode_lists(part.column(1), pieces)
+                yield pa.record_batch([part.column(0), decoded], ["kept", "decoded"])
 
     return rows.mapInArrow(run, f"kept {schema.simpleString()}, decoded binary").select("kept.*", "decoded")
 

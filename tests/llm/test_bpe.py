@@ -12,18 +12,29 @@ PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 RANKS = bpe.load_ranks(PATH)
 TOKENIZER = bpe.build_tokenizer(RANKS, public_tokenizers.PATTERN)
 PIECES = bpe.token_bytes(TOKENIZER)
+CODER = bpe.WordCoder(TOKENIZER, public_tokenizers.PATTERN)
 EXPECTED = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text() | st.text(alphabet="ab 1\n\t'sé日́😀\x85\xa0!", max_size=60))
 def test_ids_are_tiktokens_and_come_back(text):
-    ids = TOKENIZER.encode(text, add_special_tokens=False).ids
-    assert ids == EXPECTED.encode_ordinary(text)
+    ids = CODER.encode(text).tolist()
+    assert ids == EXPECTED.encode_ordinary(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+    starts, ends = CODER.offsets(text, CODER.encode(text))
+    assert list(zip(starts, ends)) == TOKENIZER.encode(text, add_special_tokens=False).offsets
     assert bpe.decode_bytes(ids, PIECES) == text.encode()
     assert bpe.decode_text(ids, PIECES) == text
 
 
+def test_long_text_in_pieces(monkeypatch):
+    text = "Some words, été 日本 \n\n  and more. " * 300
+    monkeypatch.setattr(bpe, "UNITS_AT_ONCE", 50)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 7)
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 3)
+    assert bpe.WordCoder(TOKENIZER, public_tokenizers.PATTERN).encode(text).tolist() == EXPECTED.encode_ordinary(text)
+
+
 def test_alphabet_and_split_characters():
     assert len(set(bpe.byte_alphabet())) == 256
     ids = TOKENIZER.encode("𒀀", add_special_tokens=False).ids
