@@ -17,6 +17,7 @@ CONTRACTIONS = {
     "hasn't": "has not",
     "haven't": "have not",
     "he'd": "he would",
+    "he'd've": "he would have",
     "he'll": "he will",
     "he's": "he is",
     "here's": "here is",
@@ -25,6 +26,7 @@ CONTRACTIONS = {
     "how're": "how are",
     "how's": "how is",
     "i'd": "i would",
+    "i'd've": "i would have",
     "i'll": "i will",
     "i'm": "i am",
     "i've": "i have",

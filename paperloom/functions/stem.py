@@ -15,6 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from paperloom.functions.charsets import SPACE
+
 # Irregular words, and per step the endings with what replaces them.
 # Within a step only the first ending that fits is considered.
 IRREGULAR = {
@@ -228,9 +230,11 @@ STEPS = [
 
 
 def stem_words(text: Column) -> Column:
-    """Each word of cleaned text as its stem followed by a space."""
+    """Each word of cleaned text as its stem followed by a space. Words end at white space of
+    any kind. Every occurrence is stemmed: a lookup of distinct words would search an array once
+    per word, which grows with the square of a long text."""
     irregular = F.create_map(*[F.lit(part) for entry in IRREGULAR.items() for part in entry])
-    words = F.filter(F.split(F.lower(text), " ", -1), lambda word: word != "")
+    words = F.filter(F.split(F.lower(text), f"[{SPACE}]+", -1), lambda word: word != "")
     stems = F.transform(words, _initial_y)
     for step in STEPS:
         stems = F.transform(stems, step)

@@ -58,7 +58,8 @@ _UNIT = (
 )
 _UNIT_WORDS = {**UNITS, **{f"°{scale}": words for scale, words in DEGREES.items()}}
 _SPACE_RUN = f"(?![!-~])(?: [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*)"
-_CONTRACTION = rf"(?<![{WORD}'’])[a-z]+(?:['’][a-z]+)+(?![{WORD}'’])"
+# A quote around a word is no part of it; one between letters is.
+_CONTRACTION = rf"(?<![{WORD}])(?<![{WORD}]['’])[a-z]+(?:['’][a-z]+)+(?![{WORD}])(?!['’][{WORD}])"
 
 
 def _literal_map(entries: dict[str, str]) -> Column:

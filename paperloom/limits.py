@@ -1,6 +1,4 @@
-"""What one search request and one harvest may return."""
+"""What one search request returns."""
 
-# Fixed values.
+# Fixed value.
 PAGE_SIZE = 25
-RESULT_CAP = 5000
-HARVEST_CAP = 11

@@ -28,3 +28,14 @@ def latest_articles(articles: DataFrame) -> DataFrame:
         F.col(c) for c in articles.columns if c not in ("article_id", "publish_date", "title")
     ]
     return first_per_key(articles, ["article_id"], order)
+
+
+def identified(articles: DataFrame) -> DataFrame:
+    """The articles with an identifier."""
+    return articles.filter(F.coalesce(F.col("article_id") != 0, F.lit(False)))
+
+
+def unidentified(articles: DataFrame) -> DataFrame:
+    """Articles whose id is NULL or 0 (none found): they are no versions of one article, so they
+    are rejected before a load, not folded."""
+    return articles.filter(F.coalesce(F.col("article_id") == 0, F.lit(True)))

@@ -7,19 +7,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paperloom.functions import articles as A
 
 
-def flatten(raw: DataFrame, json_col: str = "raw", url_col: str | None = "url") -> DataFrame:
-    """One record per article that has keywords.
+def flatten(
+    raw: DataFrame,
+    json_col: str = "raw",
+    url_col: str | None = "url",
+    keep: list[str] | None = None,
+    only_with_keywords: bool = True,
+) -> DataFrame:
+    """One record per article that has keywords; with ``only_with_keywords=False`` every
+    readable article, its URL, a flag ``has_keywords`` and the columns in ``keep``.
 
     The id is the tail of ``url_col``, or the identifier inside the article where
     ``url_col`` is None. The JSON is parsed once per row: the one-element generator
     keeps Catalyst from repeating the parse in the filter and in each field.
     """
-    columns = [json_col] if url_col is None else [json_col, url_col]
-    parsed = raw.select(*columns).select(
-        *columns, F.explode(F.array(A.parse_article(F.col(json_col)))).alias("_article")
-    )
+    columns = [*([] if url_col is None else [url_col]), *(keep or [])]
+    parsed = raw.select(*columns, F.explode(F.array(A.parse_article(F.col(json_col)))).alias("_article"))
     article = F.col("_article")
-    return parsed.filter(A.has_keywords(article)).select(
+    fields = [
         (A.source_id(article) if url_col is None else A.id_from_url(F.col(url_col))).alias("article_id"),
         A.title(article).alias("title"),
         A.abstract(article).alias("abstract"),
@@ -27,7 +32,12 @@ def flatten(raw: DataFrame, json_col: str = "raw", url_col: str | None = "url")
         A.country(article).alias("country"),
         A.publish_date(article).alias("publish_date"),
         A.clean_keywords(article).alias("keywords"),
-    )
+    ]
+    if only_with_keywords:
+        return parsed.filter(A.has_keywords(article)).select(*fields)
+    # NULL where there is no readable article.
+    flag = F.when(article.isNotNull(), F.coalesce(A.has_keywords(article), F.lit(False)))
+    return parsed.select(*columns, *fields, flag.alias("has_keywords"))
 
 
 def rejects(raw: DataFrame, key: str, json_col: str = "raw") -> DataFrame:

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.operators.skew import skew_join
-from paperloom.session import stage_table
-
-REBUILD_CHUNK = 10_000
-_ROW_BITS = 33
+from paperloom.operators.rank import ranked
 
 
 def explode_keywords(articles: DataFrame) -> DataFrame:
@@ -16,27 +12,14 @@ def explode_keywords(articles: DataFrame) -> DataFrame:
     return articles.select("article_id", F.posexplode("keywords").alias("pos", "keyword"))
 
 
-def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id") -> DataFrame:
-    """Consecutive numbers from 1 in ``order_by`` (a unique column list).
+def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id", after: int = 0) -> DataFrame:
+    """Consecutive numbers from ``after + 1`` in ``order_by``, a unique column list.
 
-    Rows are range-partitioned, sorted inside their partition and written once with
-    ``monotonically_increasing_id``, which holds partition and position. The offsets
-    are running sums over one row per partition, so the only global step has as many
-    rows as there are partitions.
+    Only these columns are sorted and numbered; the other columns join by them afterwards.
     """
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    staged = stage_table(placed, "dense-ids")
-    part = F.shiftright("_place", _ROW_BITS)
-    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    counts = staged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    numbered = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return numbered.withColumn(id_col, F.col("_offset") + row + 1).drop("_place", "_part", "_offset")
+    numbered = ranked(df.select(*order_by), [F.col(c) for c in order_by], rank_col=id_col)
+    numbered = numbered.withColumn(id_col, F.col(id_col) + F.lit(after))
+    return numbered if len(df.columns) == len(order_by) else df.join(numbered, order_by)
 
 
 def article_table(articles: DataFrame) -> DataFrame:
@@ -45,8 +28,12 @@ def article_table(articles: DataFrame) -> DataFrame:
     )
 
 
-def keyword_table(articles: DataFrame) -> DataFrame:
-    return dense_ids(explode_keywords(articles), ["article_id", "pos"]).select("id", "article_id", "keyword")
+def keyword_table(articles: DataFrame, after: int = 0) -> DataFrame:
+    """Keywords with consecutive ids after ``after``. Article and position decide the order, so
+    the keyword may travel along in it."""
+    keywords = explode_keywords(articles)
+    order = [F.col("article_id"), F.col("pos")]
+    return ranked(keywords, order, rank_col="id").select((F.col("id") + F.lit(after)).alias("id"), "article_id", "keyword")
 
 
 def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
@@ -66,16 +53,16 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
 
 def articles_with_keywords(articles: DataFrame, keywords: DataFrame) -> DataFrame:
     """One row per (article, keyword), the article's columns alongside. ``articles`` is
-    unique on ``article_id``."""
-    return skew_join(keywords, articles, "article_id")
+    unique on ``article_id``; Spark's skew join splits an article with many keywords."""
+    return keywords.join(articles, "article_id")
 
 
-def rebuild_keywords(keywords: DataFrame, chunk: int = REBUILD_CHUNK) -> DataFrame:
+def rebuild_keywords(keywords: DataFrame, chunk: int) -> DataFrame:
     """Keyword lists in position order, the inverse of ``explode_keywords``.
 
-    A row holds at most ``chunk`` positions: lists up to that length come back whole
-    as part 0, longer ones as consecutive parts, so no group grows with the data.
-    Copies of a row are merged before the shuffle.
+    The key of the result is (``article_id``, ``part``): a row holds at most ``chunk``
+    positions, which the caller chooses so that a row fits a task. Lists up to that length
+    come back whole as part 0. Copies of a row are merged before the shuffle.
     """
     part: Column = F.floor(F.col("pos") / chunk).cast("int")
     entries = F.array_sort(F.collect_set(F.struct("pos", "keyword")))

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+BUCKETS = 64
 
-def known_keys(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The batch's keys the target already holds, each once; never more than the batch has.
 
-    The target is first filtered to the batch's key range, which reaches the parquet
-    scan or the database. Where the batch keys are small by Spark's own size check the
-    rest is a broadcast semi-join, pushed below the ``distinct``, and the target is
-    neither shuffled nor sorted. The ``distinct`` keeps a repeated target key from
-    becoming a hot join key.
-    """
-    low, high = batch.agg(F.min(key), F.max(key)).first()
-    in_range = target.filter(F.col(key).between(low, high)) if low is not None else target.limit(0)
-    return in_range.select(key).distinct().join(batch.select(key).distinct(), key, "left_semi")
+def key_bucket(key: str) -> Column:
+    """The partition of a key in a target that is laid out by key."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def null_keys(batch: DataFrame, key: str) -> DataFrame:
+    """The rows no load can take: their key is NULL, so no later load would know them again."""
+    return batch.filter(F.col(key).isNull())
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """The batch rows whose key the target lacks: an anti-join with ``known_keys``, not
-    with the whole target."""
-    return batch.join(known_keys(batch, target, key), key, "left_anti")
+    """The batch rows whose key the target lacks; rows without a key are left to ``null_keys``.
+
+    The target's keys are made distinct in its tasks, so a repeated key is no hot join key,
+    and Spark's size check decides whether the smaller side is broadcast.
+    """
+    keyed = batch.filter(F.col(key).isNotNull())
+    known = target.select(key).filter(F.col(key).isNotNull()).distinct()
+    return keyed.join(known, key, "left_anti")
 
 
 def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -1,77 +1,77 @@
-"""Top rows per group, the capped harvest and result pages."""
+"""Exact ranks of all rows, the harvest and result pages, without a task that holds a group."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paperloom.limits import HARVEST_CAP, PAGE_SIZE, RESULT_CAP
+from paperloom.limits import PAGE_SIZE
+from paperloom.operators.dedupe import first_per_key
+from paperloom.session import stage_table
 
-SLICES = 256
+_ROW_BITS = 33
 
 
-def top_n(df: DataFrame, n: int, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
-    """The first ``n`` rows of each group with their rank, exact.
-
-    Two rounds: rows are ranked inside (group, map-task number modulo a slice count),
-    and only the first ``n`` of each such slice go on to the ranking of the group. No task
-    ever ranks a whole group, even if one group is a third of the table, and within a
-    map task Spark already cuts to ``n`` rows before the first shuffle. The second round
-    sees at most ``SLICES x n`` rows of a group. ``order_by`` must end in a unique column
+def ranked(df: DataFrame, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
+    """Every row with its rank from 1 in its group. ``order_by`` must end in a unique column
     to fix the result.
+
+    Rows are range-partitioned by group and order, sorted inside their partition and written
+    once with ``monotonically_increasing_id``, which holds partition and position. What is
+    summed over all partitions is one row per partition and group that meets it.
     """
-    slices = min(SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    in_slice = Window.partitionBy(*by, "_slice").orderBy(*order_by)
-    leaders = sliced.withColumn("_rank", F.row_number().over(in_slice)).filter(F.col("_rank") <= n)
-    in_group = Window.partitionBy(*by).orderBy(*order_by)
-    ranked = leaders.drop("_slice", "_rank").withColumn(rank_col, F.row_number().over(in_group))
-    return ranked.filter(F.col(rank_col) <= n)
+    order = [*[F.col(c) for c in by], *order_by]
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    staged = stage_table(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_place", _ROW_BITS)
+    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    counts = staged.groupBy(*by, part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"), F.min(row).alias("_first"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    other = counts.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"), before.alias("_before"))
+    on = F.col("_part") == F.col("_of")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    joined = staged.withColumn("_part", part).join(other, on)
+    return joined.select(*df.columns, (F.col("_before") + row + 1).alias(rank_col))
+
+
+def top_n(df: DataFrame, n: int, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
+    """The first ``n`` rows of each group with their rank; ``n`` is the caller's choice."""
+    return ranked(df, order_by, by, rank_col).filter(F.col(rank_col) <= n)
 
 
-def capped_harvest(
+def harvested(
     listing: DataFrame,
     order_by: list[Column],
-    cap: int = HARVEST_CAP,
-    result_cap: int = RESULT_CAP,
-    year: str = "year",
+    cap: int | None = None,
+    year: str | None = "year",
     has_keywords: str = "has_keywords",
 ) -> DataFrame:
-    """The rows a harvest keeps that visits the years in turn and each year's rows in
-    ``order_by``, keeps rows with keywords, and leaves a year as soon as ``cap`` rows
-    are kept in all. Once the cap is reached a later year still has its first row
-    visited.
+    """The rows with keywords that a harvest keeps: all of them, or, where the caller sets a
+    ``cap``, the first ``cap`` in the order of the visit (year by year, each in ``order_by``).
+    Once the cap is reached a later year still has its first row visited.
 
-    Only ``result_cap`` rows of a year can be visited. That cut is made first, in
-    parallel, so the running count over all years sees ``years x result_cap`` rows
-    at most, however large the listing is.
+    The visit needs no running count: the first rows of the whole order and the first row of
+    each year are both cut in every task before a shuffle.
     """
-    visited = top_n(listing, result_cap, order_by, (year,), "_rank")
-    earlier = Window.orderBy(year, "_rank").rowsBetween(Window.unboundedPreceding, -1)
-    kept_before = F.coalesce(F.sum(F.col(has_keywords).cast("int")).over(earlier), F.lit(0))
-    return (
-        visited.withColumn("_kept_before", kept_before)
-        .filter(F.col(has_keywords) & ((F.col("_kept_before") < cap) | (F.col("_rank") == 1)))
-        .drop("_kept_before", "_rank")
-    )
-
-
-def first_harvest(
-    listing: DataFrame, order_by: list[Column], cap: int = HARVEST_CAP, has_keywords: str = "has_keywords"
-) -> DataFrame:
-    """The first ``cap`` rows with keywords, without regard to years."""
-    return listing.filter(F.col(has_keywords)).orderBy(*order_by).limit(cap)
+    keeping = listing.filter(F.col(has_keywords))
+    if cap is None:
+        return keeping
+    if year is None:
+        return keeping.orderBy(*order_by).limit(cap)
+    first = keeping.orderBy(year, *order_by).limit(cap)
+    heads = first_per_key(listing, [year], order_by).filter(F.col(has_keywords))
+    return first.unionByName(heads).distinct()
 
 
-def result_pages(
-    listing: DataFrame, order_by: list[Column], page_size: int = PAGE_SIZE, result_cap: int = RESULT_CAP
-) -> DataFrame:
-    """The ranked results of a search with page number and start offset, and the
-    total number of hits. Ranking is global but only over the capped result."""
-    ranked = top_n(listing, result_cap, order_by, (), "rank")
+def result_pages(listing: DataFrame, order_by: list[Column], page_size: int = PAGE_SIZE) -> DataFrame:
+    """All results of a search in order, with rank, page number, start offset and the total
+    number of hits."""
     page = F.floor((F.col("rank") - 1) / page_size)
     total = listing.agg(F.count(F.lit(1))).scalar()
     return (
-        ranked.withColumn("page", page)
+        ranked(listing, order_by)
+        .withColumn("page", page)
         .withColumn("start", F.col("page") * page_size)
         .withColumn("total_results", total)
     )

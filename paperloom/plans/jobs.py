@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paperloom.functions.articles import ARTICLE_SCHEMA, has_keywords, parse_article
-from paperloom.limits import HARVEST_CAP, RESULT_CAP
-from paperloom.operators.dedupe import any_per_key, first_per_key, latest_articles
+from paperloom.functions.articles import ARTICLE_SCHEMA
+from paperloom.operators.dedupe import any_per_key, first_per_key, identified, latest_articles, unidentified
 from paperloom.operators.flatten import flatten, with_display_names
 from paperloom.operators.keys import article_table, dense_ids, key_violations, keyword_table, orphan_keys
-from paperloom.operators.merge import known_keys
-from paperloom.operators.rank import capped_harvest, first_harvest, top_n
+from paperloom.operators.merge import new_rows
+from paperloom.operators.rank import harvested
 from paperloom.plans.schema import TABLES, create_schema
 from paperloom.session import stage_table
 from paperloom.sinks.writers import write_csv, write_run
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles
-from paperloom.streaming.incremental import load_new
-
-# Rows up to which a list of URLs, whose number is known beforehand, is broadcast.
-BROADCAST_ROWS = 1_000_000
+from paperloom.streaming.incremental import load_first
 
 
 def export(target, path: str) -> None:
@@ -40,13 +38,16 @@ def append_load(batch: DataFrame, target) -> None:
     target.append(any_per_key(batch, "article_id"))
 
 
-def merge_load(batch: DataFrame, target) -> None:
+def merge_load(batch: DataFrame, target, rejects_path: str | None = None) -> None:
     """Append the articles of the batch the target lacks; loading twice is loading
-    once. Only the new rows are written, the target is never rewritten. The keys to look
-    up come from the batch before its de-duplication, so that side reads one column. The
-    batch is read more than once: pass a file or table, not an expensive plan."""
-    known = known_keys(batch, target.read(), "article_id")
-    target.append(latest_articles(batch).join(known, "article_id", "left_anti"))
+    once. Only the new rows are written, the target is never rewritten and read only where the
+    batch's keys can be. The batch is read once. Articles without an id go to ``rejects_path``,
+    where one is given, and never to the target."""
+    staged = stage_table(batch, "batch")
+    if rejects_path:
+        unidentified(staged).write.mode("append").parquet(rejects_path)
+    articles = stage_table(latest_articles(identified(staged)), "latest")
+    target.append(new_rows(articles, target.holding(articles), "article_id"))
 
 
 def repeat_load(initial: DataFrame, batch: DataFrame, target, merge: bool = True, times: int = 2) -> DataFrame:
@@ -57,53 +58,67 @@ def repeat_load(initial: DataFrame, batch: DataFrame, target, merge: bool = True
     return target.read()
 
 
+def visited_articles(
+    listing: DataFrame, details: DataFrame, order_by: list[Column], years: list[int] | None = None
+) -> DataFrame:
+    """Every hit of the listing (``url``, and ``year`` with ``years``) with its article, if
+    there is one: the listing's columns, the flat fields, ``has_keywords`` and ``missing``.
+
+    ``details`` (``url``, ``raw``, and ``error`` where it comes from ``fetch_articles``) may hold
+    copies: the one with the smallest hash stays, so no text is sorted. Each article is parsed
+    once, in the pass that flattens it. A hit without an article stays in its place.
+    """
+    if years:
+        listing = listing.filter(F.col("year").isin(years))
+    fetched = details if "error" in details.columns else details.withColumn("error", F.lit(None).cast("string"))
+    wanted = fetched.join(listing.select("url").distinct(), "url", "left_semi")
+    once = first_per_key(wanted, ["url"], [F.col("raw").isNull(), F.xxhash64("raw")])
+    flat = flatten(once, keep=["error"], only_with_keywords=False)
+    missing = F.when(F.col("_found").isNull(), F.coalesce("error", F.lit("no article")))
+    joined = listing.join(flat.withColumn("_found", F.col("has_keywords")), "url", "left")
+    return joined.withColumn("missing", missing).drop("_found", "error")
+
+
 def harvest_articles(
     listing: DataFrame,
     details: DataFrame,
     order_by: list[Column],
     years: list[int] | None = None,
-    cap: int = HARVEST_CAP,
-    result_cap: int = RESULT_CAP,
-) -> DataFrame:
-    """The flat articles a capped harvest keeps: year by year for ``years``, else the
-    first ones of the whole listing.
-
-    The listing (``url``, and ``year`` with ``years``) is cut to the visited results first:
-    at most ``result_cap`` per year. The raw articles (``url``, ``raw``) are scanned once,
-    filtered by a broadcast of that bounded list, and the visited ones landed with their
-    copies merged. Which of them are kept is decided without the JSON in hand.
+    cap: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(kept articles, missing hits): the flat articles a harvest keeps, year by year for
+    ``years``, else from the whole listing, and the listed URLs for which there is no article
+    or only an error. A missing hit keeps its rank in the listing, so nothing moves up for it.
     """
-    if years:
-        listing = listing.filter(F.col("year").isin(years))
-    visited = stage_table(top_n(listing, result_cap, order_by, ("year",) if years else (), "_visit"), "visited")
-    wanted = visited.select("url").distinct()
-    if len(years or [0]) * result_cap <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    landed = first_per_key(details.join(wanted, "url", "left_semi"), ["url"], [F.col("raw")])
-    articles = stage_table(landed, "visited-articles")
-    has = F.coalesce(has_keywords(parse_article(F.col("raw"))), F.lit(False))
-    flags = articles.select("url", has.alias("has_keywords"))
-    flagged = visited.join(flags, "url")
-    if years:
-        kept = capped_harvest(flagged, order_by, cap, result_cap)
-    else:
-        kept = first_harvest(flagged, order_by, cap)
-    return flatten(kept.select("url").join(articles, "url"))
+    visited = stage_table(visited_articles(listing, details, order_by, years), "visited")
+    flagged = visited.withColumn("has_keywords", F.coalesce("has_keywords", F.lit(False)))
+    kept = harvested(flagged, order_by, cap, "year" if years else None)
+    return kept.select(*ARTICLE_SCHEMA.names), visited.filter(F.col("missing").isNotNull()).select("url", "missing")
 
 
 def harvest(
     listing: DataFrame,
-    details: DataFrame,
+    details: DataFrame | Callable[[DataFrame], DataFrame],
     order_by: list[Column],
     target,
     runs_path: str,
     run_id: str,
     export_path: str | None = None,
     years: list[int] | None = None,
+    cap: int | None = None,
+    rejects_path: str | None = None,
 ) -> DataFrame:
-    """Harvest, keep the run's rows as a file of its own, merge them into the target
-    and export it."""
-    write_run(harvest_articles(listing, details, order_by, years), runs_path, run_id)
+    """Fetch the listed articles, keep the run's rows as a file of its own, merge them into the
+    target and export it. ``details`` is a table of landed articles, or what fetches them:
+    a function from the listed URLs to (``url``, ``raw``, ``error``), such as
+    ``fetch_articles``. Hits without an article go to ``rejects_path``."""
+    if callable(details):
+        wanted = listing.filter(F.col("year").isin(years)) if years else listing
+        details = stage_table(details(wanted.select("url")), "fetched")
+    kept, missing = harvest_articles(listing, details, order_by, years, cap)
+    write_run(kept, runs_path, run_id)
+    if rejects_path:
+        write_run(missing, rejects_path, run_id)
     run = target.spark.read.schema(ARTICLE_SCHEMA).parquet(f"{runs_path}/run_id={run_id}")
     merge_load(run, target)
     if export_path:
@@ -121,29 +136,61 @@ def flatten_json(spark: SparkSession, path: str, csv_path: str | None = None, on
 
 def load_article_stream(raw: DataFrame, target: str, checkpoint: str, url_col: str | None = "url") -> DataFrame:
     """Load newly arrived raw articles (a stream) into the table at ``target``: flat, one
-    row per id, only ids the table lacks."""
+    row per id, the latest version of all that arrived."""
 
     def prepare(batch: DataFrame) -> DataFrame:
-        return latest_articles(flatten(batch, url_col=url_col))
+        articles = identified(flatten(batch, url_col=url_col))
+        return articles.withColumns(
+            {
+                "_age": F.coalesce(F.date_diff(F.lit("9999-12-31").cast("date"), "publish_date"), F.lit(2**31 - 1)),
+                "_version": F.sha2(F.to_json(F.struct(*articles.columns)), 256),
+            }
+        )
 
-    return load_new(raw, "article_id", target, checkpoint, prepare)
+    return load_first(raw, "article_id", ["_age", "_version"], target, checkpoint, prepare).drop("_age", "_version")
 
 
-def normalise(articles: DataFrame, path: str, serial: bool = False) -> tuple[DataFrame, DataFrame]:
+def normalise(
+    articles: DataFrame, path: str, serial: bool = False, after: tuple[int, int] = (0, 0)
+) -> tuple[DataFrame, DataFrame]:
     """Write the article and keyword tables and return them. An article keeps its source
-    id, or gets a consecutive one with ``serial``. Both tables are written from one staged
-    result of the de-duplication."""
+    id, or gets a consecutive one with ``serial``. ``after`` holds the last ids in use, of
+    articles and of keywords. Both tables are written from one staged result of the
+    de-duplication; only ids are sorted."""
     spark = articles.sparkSession
-    unique = latest_articles(articles)
+    unique = stage_table(latest_articles(identified(articles)), "unique-articles")
     if serial:
-        unique = dense_ids(unique, ["article_id"]).drop("article_id").withColumnRenamed("id", "article_id")
-    else:
-        unique = stage_table(unique, "unique-articles")
+        numbers = dense_ids(unique.select("article_id"), ["article_id"], after=after[0])
+        unique = stage_table(
+            unique.join(numbers, "article_id").withColumn("article_id", F.col("id")).drop("id"), "serial-articles"
+        )
     article_table(unique).write.mode("overwrite").parquet(f"{path}/Article")
-    keyword_table(unique).write.mode("overwrite").parquet(f"{path}/ArticleKeywords")
+    keyword_table(unique, after[1]).write.mode("overwrite").parquet(f"{path}/ArticleKeywords")
     return spark.read.parquet(f"{path}/Article"), spark.read.parquet(f"{path}/ArticleKeywords")
 
 
+def unknown_articles(articles: DataFrame, table: DataFrame, serial: bool) -> DataFrame:
+    """The articles the created table lacks: by id, or, where the table numbers them itself,
+    by what it holds of an article."""
+    if not serial:
+        return new_rows(articles, table.select(F.col("id").alias("article_id")), "article_id")
+    held = ["title", "abstract", "publish_date"]
+    unique = latest_articles(identified(articles)).withColumn("_held", F.sha2(F.to_json(F.struct(*held)), 256))
+    known = table.withColumnRenamed("publishdate", "publish_date")
+    known = known.select(F.sha2(F.to_json(F.struct(*held)), 256).alias("_held")).distinct()
+    return unique.join(known, "_held", "left_anti").drop("_held")
+
+
+def extend_pair(articles: DataFrame, database: str, path: str, serial: bool = False) -> None:
+    """Add the articles that the created tables lack, with their keywords. Ids go on from the
+    last one in use; loading twice is loading once."""
+    spark = articles.sparkSession
+    article, keywords = (spark.table(f"{database}.{name}") for name in TABLES)
+    after = tuple(t.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] for t in (article, keywords))
+    fresh = stage_table(unknown_articles(articles, article, serial), "fresh-articles")
+    fill_pair(normalise(fresh, path, serial, after), database)
+
+
 def check_pair(article: DataFrame, keywords: DataFrame) -> dict[str, DataFrame]:
     """The violations of both primary keys and the foreign key; all empty if sound."""
     return {

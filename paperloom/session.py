@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder and read-side parallelism."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -10,13 +10,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings the plans count on; none of them depends on data size.
-# The window limit lets Spark cut each map task to the top 5,000 rows of a group
-# before the shuffle (its default stops at 1,000).
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
 }
 
 
@@ -38,6 +35,8 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paperloom-", dir="/tmp"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="paperloom-wh-", dir="/tmp"))
     )
     spark = tune(builder.getOrCreate())
@@ -78,18 +77,6 @@ def stage_table(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy map over a plain scan enough tasks.
-
-    A small table often sits in one file with one row group, which would run on a
-    single core. Where the scan already yields two splits per core (any large
-    table) this returns ``df`` as it is, without a shuffle. Rows are dealt out evenly,
-    not by key, so repeated keys do not matter.
-    """
-    tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
-
-
 _shipped_to: set[str] = set()
 
 

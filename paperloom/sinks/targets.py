@@ -2,31 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperloom.functions.articles import ARTICLE_SCHEMA
+from paperloom.operators.merge import key_bucket
 from paperloom.sources.jdbc import read_options, read_table
 
 
+BUCKET_COLUMN = "key_bucket"
+
+
 class FolderTarget:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = ARTICLE_SCHEMA):
+    """A parquet folder laid out by a hash of the key, so that a load reads the parts that its
+    keys can be in and no others."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = ARTICLE_SCHEMA, key: str = "article_id"):
         self.spark = spark
         self.path = path
         self.schema = schema
+        self.key = key
 
     def create(self) -> FolderTarget:
         """An empty table where there is none yet."""
-        self.spark.createDataFrame([], self.schema).write.mode("ignore").parquet(self.path)
+        self._write(self.spark.createDataFrame([], self.schema), "ignore")
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self._files().select(*self.schema.names)
+
+    def holding(self, batch: DataFrame) -> DataFrame:
+        """The rows whose key may be in ``batch``: at most ``BUCKETS`` numbers come to the
+        driver, and the scan is cut to their folders."""
+        touched = batch.filter(F.col(self.key).isNotNull()).select(key_bucket(self.key)).distinct().collect()
+        wanted = F.col(BUCKET_COLUMN).isin([row[0] for row in touched])
+        return self._files().filter(wanted).select(*self.schema.names)
 
     def overwrite(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path)
+        self._write(df, "overwrite")
 
     def append(self, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path)
+        self._write(df, "append")
+
+    def _files(self) -> DataFrame:
+        return self.spark.read.schema(self._schema()).parquet(self.path)
+
+    def _schema(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # Files of a sensible size per folder; large folders are split over several tasks.
+        placed = df.withColumn(BUCKET_COLUMN, key_bucket(self.key)).hint("rebalance", BUCKET_COLUMN)
+        placed.write.mode(mode).partitionBy(BUCKET_COLUMN).parquet(self.path)
 
 
 class JdbcTarget:
@@ -53,8 +79,16 @@ class JdbcTarget:
     def read(self) -> DataFrame:
         return read_table(self.spark, self.options, self.key, self.partitions)
 
+    def holding(self, batch: DataFrame) -> DataFrame:
+        """The rows in the key range of ``batch``; the range is sent to the database."""
+        low, high = batch.agg(F.min(self.key), F.max(self.key)).first()
+        found = self.read()
+        return found.filter(F.col(self.key).between(low, high)) if low is not None else found.limit(0)
+
     def overwrite(self, df: DataFrame) -> None:
-        df.write.format("jdbc").options(**self.write_options()).mode("overwrite").save()
+        """Replace the rows; the table, its keys and its indexes stay."""
+        options = {**self.write_options(), "truncate": "true"}
+        df.write.format("jdbc").options(**options).mode("overwrite").save()
 
     def append(self, df: DataFrame) -> None:
         df.write.format("jdbc").options(**self.write_options()).mode("append").save()

@@ -8,6 +8,17 @@ from paperloom.functions.articles import list_to_text
 
 ROWS_PER_FILE = 100_000
 
+# How both sides spell a field, so that what is written comes back: outer spaces stay, and NULL
+# differs from the empty string.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Replace ``path`` by header CSV files, written in parallel and of bounded size.
@@ -21,7 +32,7 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> N
     (
         df.select(*columns)
         .write.mode("overwrite")
-        .options(header="true", quote='"', escape='"', maxRecordsPerFile=str(rows_per_file))
+        .options(**CSV_OPTIONS, maxRecordsPerFile=str(rows_per_file))
         .csv(path)
     )
 

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.articles import DISPLAY_NAMES, parse_list_literal
+from paperloom.sinks.writers import CSV_OPTIONS
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 SURPLUS_COLUMN = "timestamp_epoch"
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as string, named by the header. Quoted fields may hold doubled
     quotes and line breaks; a file with line breaks in fields is one task, so keep
-    files of a bounded size (``write_csv`` does)."""
-    return spark.read.options(**CSV_OPTIONS).csv(path)
+    files of a bounded size (``write_csv`` does). A folder whose files have different headers
+    fails instead of shifting values."""
+    return spark.read.options(**CSV_OPTIONS, multiLine="true", enforceSchema="false").csv(path)
 
 
 def drop_surplus(df: DataFrame) -> DataFrame:
@@ -23,20 +24,23 @@ def drop_surplus(df: DataFrame) -> DataFrame:
 
 def typed_articles(df: DataFrame) -> DataFrame:
     """Exported text columns as typed article columns. Ids that are no number fail the
-    job; an absent country is the empty string again, which CSV cannot tell from
-    NULL."""
+    job; an absent country is the empty string. Files of other writers have empty fields where
+    a value is missing."""
 
     def text(name: str) -> Column:
         return F.col(f"`{DISPLAY_NAMES[name]}`")
 
+    def given(name: str) -> Column:
+        return F.nullif(text(name), F.lit(""))
+
     return df.select(
-        text("article_id").cast("bigint").alias("article_id"),
+        given("article_id").cast("bigint").alias("article_id"),
         text("title").alias("title"),
         text("abstract").alias("abstract"),
-        parse_list_literal(text("author_names")).alias("author_names"),
+        parse_list_literal(given("author_names")).alias("author_names"),
         F.coalesce(text("country"), F.lit("")).alias("country"),
-        text("publish_date").cast("date").alias("publish_date"),
-        parse_list_literal(text("keywords")).alias("keywords"),
+        given("publish_date").cast("date").alias("publish_date"),
+        parse_list_literal(given("keywords")).alias("keywords"),
     )
 
 
@@ -44,7 +48,7 @@ def unreadable_lists(df: DataFrame) -> DataFrame:
     """The rows whose list columns hold text that is no list."""
     bad = F.lit(False)
     for name in ("author_names", "keywords"):
-        text = F.col(f"`{DISPLAY_NAMES[name]}`")
+        text = F.nullif(F.col(f"`{DISPLAY_NAMES[name]}`"), F.lit(""))
         bad = bad | (text.isNotNull() & parse_list_literal(text).isNull())
     return df.filter(bad)
 

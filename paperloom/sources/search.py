@@ -1,151 +1,102 @@
-"""The paged search as a Spark data source, and the fetch of listed articles.
+"""The paged search, and the fetch of listed articles.
 
-``spark.read.format("paged_search")`` plans one input partition per few result pages,
-so pages are requested by many tasks at once. What sends a request is named by the
-option ``transport`` as ``module:function``; it gets the request as a dict and returns
-the page as JSON text.
+Requests are made inside tasks: first one page per search tells how many there are, then all
+pages are dealt out over the tasks, then the articles. What sends a request is a function
+(``Transport``) from its parameters to the page as JSON text. A request that fails is tried
+again and in the end leaves its error in the row.
 """
 
 from __future__ import annotations
 
-import functools
-import importlib
-import json
 import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from paperloom.functions.articles import page_urls, total_results
-from paperloom.limits import PAGE_SIZE, RESULT_CAP
+from paperloom.limits import PAGE_SIZE
 
 Transport = Callable[[dict], str]
 
-PAGES_PER_TASK = 8
-LISTING_SCHEMA = "year int, rank int, page int, start int, total_results int, url string"
+PAGE_SCHEMA = "year int, start int, page string, error string"
 FETCH_SCHEMA = "url string, raw string, error string"
 
 
-def load_transport(path: str) -> Transport:
-    module, _, name = path.partition(":")
-    return getattr(importlib.import_module(module), name)
-
-
-def search_request(options: dict, year: int | None, start: int) -> dict:
+def search_request(query: str, year: int | None, start: int) -> dict:
     """The parameters of one page request. A search within a year asks for the most
     cited first; a search without one takes the order of the service."""
-    query = options.get("query", "")
-    request = {"start": start, "count": int(options.get("count", PAGE_SIZE)), "query": query}
+    request = {"start": start, "count": PAGE_SIZE, "query": query}
     if year is not None:
         request["query"] = f"{query} AND PUBYEAR = {year}"
         request["sort"] = "citedby-count"
-        request["year"] = year
-    for key, value in options.items():
-        if key.startswith("transport."):
-            request[key] = value
     return request
 
 
-def total_of(page: str) -> int:
-    return int(json.loads(page)["search-results"]["opensearch:totalResults"])
-
+def http_transport(base: str, headers: dict[str, str] | None = None) -> Transport:
+    """GET ``base`` with the request parameters. Keys are headers of the caller's."""
 
-class PagePartition(InputPartition):
-    def __init__(self, year: int | None, starts: list[int]):
-        self.year = year
-        self.starts = starts
+    def get(request: dict) -> str:
+        return get_url(f"{base}?{urllib.parse.urlencode(request)}", headers)
 
+    return get
 
-class PagedSearchReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-        self.count = int(options.get("count", PAGE_SIZE))
-        self.cap = int(options.get("cap", RESULT_CAP))
-        self.years = [int(y) for y in options["years"].split(",")] if options.get("years") else [None]
 
-    def partitions(self) -> list[InputPartition]:
-        """The first page of each search tells how many pages there are: at most
-        ``cap / count`` per year, ``pages_per_task`` of them in one partition."""
-        fetch = load_transport(self.options["transport"])
-        width = int(self.options.get("pages_per_task", PAGES_PER_TASK))
-        parts = []
-        for year in self.years:
-            hits = min(self.cap, total_of(fetch(search_request(self.options, year, 0))))
-            starts = list(range(0, hits, self.count))
-            parts += [PagePartition(year, starts[i : i + width]) for i in range(0, len(starts), width)]
-        return parts
+def get_url(url: str, headers: dict[str, str] | None = None) -> str:
+    with urllib.request.urlopen(urllib.request.Request(url, headers=headers or {}), timeout=60) as reply:
+        return reply.read().decode("utf-8")
 
-    def read(self, partition: PagePartition) -> Iterator[tuple]:
-        fetch = load_transport(self.options["transport"])
-        for start in partition.starts:
-            page = json.loads(fetch(search_request(self.options, partition.year, start)))["search-results"]
-            total = int(page["opensearch:totalResults"])
-            wanted = page["entry"][: min(self.count, self.cap - start)]
-            for offset, entry in enumerate(wanted):
-                yield (partition.year, start + offset + 1, start // self.count, start, total, entry["prism:url"])
 
+def attempted(call: Callable[[], str], attempts: int, pause: float) -> tuple[str | None, str | None]:
+    """(result, None), or (None, error) after the last of ``attempts``."""
+    error = None
+    for attempt in range(attempts):
+        try:
+            return call(), None
+        except Exception as failure:  # any transport error is data here
+            error = f"{type(failure).__name__}: {failure}"
+            if attempt + 1 < attempts:
+                time.sleep(pause * 2**attempt)
+    return None, error
 
-class PagedSearch(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "paged_search"
 
-    def schema(self) -> str:
-        return LISTING_SCHEMA
+def _request_pages(wanted: DataFrame, transport: Transport, query: str, attempts: int, pause: float) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for year, start in zip(batch["year"], batch["start"]):
+                year = None if pd.isna(year) else int(year)
+                request = search_request(query, year, int(start))
+                rows.append((year, int(start), *attempted(lambda: transport(request), attempts, pause)))
+            yield pd.DataFrame(rows, columns=["year", "start", "page", "error"]).astype({"year": "Int32"})
 
-    def reader(self, schema) -> DataSourceReader:
-        return PagedSearchReader(dict(self.options))
+    return wanted.select("year", "start").mapInPandas(run, PAGE_SCHEMA)
 
 
-def read_search(
-    spark: SparkSession, transport: str, query: str = "", years: list[int] | None = None, **options: str
+def read_pages(
+    spark: SparkSession,
+    transport: Transport,
+    query: str = "",
+    years: list[int] | None = None,
+    tasks: int | None = None,
+    attempts: int = 3,
+    pause: float = 1.0,
 ) -> DataFrame:
-    """The listing of a search: one row per hit, years in parallel, pages in parallel."""
-    spark.dataSource.register(PagedSearch)
-    reader = spark.read.format("paged_search").options(transport=transport, query=query, **options)
-    if years:
-        reader = reader.option("years", ",".join(str(y) for y in years))
-    return reader.load()
-
-
-def http_transport(request: dict) -> str:
-    """GET ``transport.base`` with the request parameters; ``transport.header.*``
-    options become headers."""
-    params = {k: v for k, v in request.items() if not k.startswith("transport.") and k != "year"}
-    headers = {
-        k.removeprefix("transport.header."): v for k, v in request.items() if k.startswith("transport.header.")
-    }
-    url = f"{request['transport.base']}?{urllib.parse.urlencode(params)}"
-    with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=60) as reply:
-        return reply.read().decode("utf-8")
-
-
-@functools.lru_cache(maxsize=8)
-def _landed_pages(path: str):
-    import pyarrow.dataset as ds
-
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return ds.dataset(path.replace("s3a://", "s3://", 1), format="parquet", partitioning="hive")
-
-
-def landed_transport(request: dict) -> str:
-    """Answer a request from pages landed as parquet (``start``, ``page``, and ``year`` as
-    partition) under ``transport.path``; only the one row is read."""
-    import pyarrow.dataset as ds
-
-    wanted = ds.field("start") == request["start"]
-    if "year" in request:
-        wanted = wanted & (ds.field("year") == request["year"])
-    pages = _landed_pages(request["transport.path"])
-    return pages.to_table(columns=["page"], filter=wanted).column("page")[0].as_py()
+    """Every result page of a search (``year``, ``start``, ``page``, ``error``), the years and
+    their pages spread over ``tasks``. Land the result before it is read twice."""
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    searches = spark.createDataFrame([(y, 0) for y in years or [None]], "year int, start int").repartition(tasks)
+    first = _request_pages(searches, transport, query, attempts, pause)
+    last = F.greatest(F.lit(0), F.coalesce(total_results(F.col("page")), F.lit(0)) - 1)
+    starts = F.sequence(F.lit(0), F.floor(last / PAGE_SIZE).cast("int") * PAGE_SIZE, F.lit(PAGE_SIZE))
+    every = first.select("year", F.explode(starts).alias("start")).repartition(tasks, "year", "start")
+    return _request_pages(every, transport, query, attempts, pause)
 
 
 def listing_from_pages(pages: DataFrame) -> DataFrame:
-    """The listing of pages already landed (``year``, ``start``, ``page``), one row per hit."""
+    """The listing of pages (``year``, ``start``, ``page``), one row per hit."""
     page = F.col("page")
     hits = pages.select(
         "year", "start", total_results(page).alias("total_results"), F.posexplode(page_urls(page)).alias("_pos", "url")
@@ -155,11 +106,6 @@ def listing_from_pages(pages: DataFrame) -> DataFrame:
     return hits.select("year", rank.alias("rank"), number.alias("page"), "start", "total_results", "url")
 
 
-def get_url(url: str, headers: dict[str, str] | None = None) -> str:
-    with urllib.request.urlopen(urllib.request.Request(url, headers=headers or {}), timeout=60) as reply:
-        return reply.read().decode("utf-8")
-
-
 def fetch_articles(
     listing: DataFrame,
     get: Callable[[str], str] = get_url,
@@ -173,21 +119,10 @@ def fetch_articles(
     fails after ``attempts`` leaves its error in the row instead of failing the job.
     """
 
-    def fetch_one(url: str) -> tuple:
-        for attempt in range(attempts):
-            try:
-                return url, get(url), None
-            except Exception as failure:  # any transport error is data here
-                error = f"{type(failure).__name__}: {failure}"
-                if attempt + 1 < attempts:
-                    time.sleep(pause * 2**attempt)
-        return url, None, error
-
-    def fetch(batches):
-        import pandas as pd
-
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([fetch_one(url) for url in batch["url"]], columns=["url", "raw", "error"])
+            rows = [(url, *attempted(lambda: get(url), attempts, pause)) for url in batch["url"]]
+            yield pd.DataFrame(rows, columns=["url", "raw", "error"])
 
     tasks = tasks or listing.sparkSession.sparkContext.defaultParallelism
     return listing.select("url").distinct().repartition(tasks, "url").mapInPandas(fetch, FETCH_SCHEMA)

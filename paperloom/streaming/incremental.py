@@ -1,52 +1,78 @@
-"""Incremental loads and de-duplication as streams."""
+"""Incremental loads as streams, whose result does not depend on how rows come in files."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.operators.merge import new_rows
+from paperloom.operators.dedupe import first_per_key
+from paperloom.operators.merge import key_bucket
+from paperloom.session import stage_table
 
+LAYOUT = "load_id string, batch_id long, key_bucket int"
 
-def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*", files_per_batch: int = 1000) -> DataFrame:
-    """New parquet files under ``path`` as a stream; a trigger takes a bounded number."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
 
+def file_stream(
+    spark: SparkSession, path: str, schema, pattern: str = "*", files_per_batch: int | None = None
+) -> DataFrame:
+    """New parquet files under ``path`` as a stream; ``files_per_batch`` is what one
+    micro-batch takes, None leaves it to Spark."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
-def load_new(
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a checkpoint once and for all."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def load_first(
     stream: DataFrame,
     key: str,
+    order_by: list[str],
     target: str,
     checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> DataFrame:
-    """Process what has arrived, then stop: prepare each micro-batch (flatten, one row
-    per ``key``), keep the keys the target lacks, add them to the target.
-
-    A micro-batch owns the folder ``batch_id=N`` and compares itself with earlier
-    batches only, so running it again after a failure replaces its own output. Returns
-    the target table.
+    """Process what has arrived, then stop; returns the table of the first row of each key in
+    ``order_by`` (unique, no NULL) over all that ever arrived, in whatever order and batches.
+
+    A micro-batch adds its own first rows where they come before what the target has, and
+    never rewrites a row. It owns the folder ``load_id=<checkpoint>/batch_id=N`` and
+    compares itself with all others, so running it again after a failure replaces its
+    own output alone, and a new checkpoint leaves all earlier rows in place. Only the folders
+    of the keys in the batch are read. Rows without a key are not loaded.
     """
     spark = stream.sparkSession
-    schema = prepare(spark.createDataFrame([], stream.schema)).schema
-    table = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("long"))
-    table.write.mode("ignore").partitionBy("batch_id").parquet(target)
+    columns = prepare(spark.createDataFrame([], stream.schema)).schema
+    empty = spark.createDataFrame([], columns)
+    layout = spark.createDataFrame([], LAYOUT).schema
+    schema = type(columns)([*columns.fields, *layout.fields])
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*layout.names).parquet(target)
+
+    def table() -> DataFrame:
+        return spark.read.schema(schema).parquet(target)
 
-    def loaded() -> DataFrame:
-        return spark.read.schema(table.schema).parquet(target)
+    def first(rows: DataFrame) -> DataFrame:
+        return first_per_key(rows, [key], [F.col(c) for c in order_by])
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        earlier = loaded().filter(F.col("batch_id") < batch_id)
-        prepared = prepare(batch).persist()
-        fresh = new_rows(prepared, earlier, key)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-        prepared.unpersist()
+        own = stream_id(spark, checkpoint)
+        rows = first(prepare(batch).filter(F.col(key).isNotNull()))
+        staged = stage_table(rows.withColumn("key_bucket", key_bucket(key)), "micro-batch")
+        touched = [row[0] for row in staged.select("key_bucket").distinct().collect()]
+        others = ~((F.col("load_id") == own) & (F.col("batch_id") == batch_id))
+        held = table().filter(F.col("key_bucket").isin(touched) & others)
+        place = F.struct(*order_by)
+        best = held.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_best"))
+        joined = staged.join(best, staged[key] == best["_key"], "left")
+        fresh = joined.filter(F.col("_best").isNull() | (place < F.col("_best"))).drop("_key", "_best")
+        folder = f"{target}/load_id={own}/batch_id={batch_id}"
+        fresh.write.mode("overwrite").partitionBy("key_bucket").parquet(folder)
 
     query = (
         stream.writeStream.foreachBatch(load)
@@ -55,30 +81,21 @@ def load_new(
         .start()
     )
     query.awaitTermination()
-    return loaded().drop("batch_id")
-
+    return first(table()).select(*empty.columns)
 
-def dedupe_stream(stream: DataFrame, key: str, event_time: str, delay: str, slices: int = 16) -> DataFrame:
-    """The first row of each key within ``delay``; older state is dropped.
 
-    Two rounds: first per (key, map-task number modulo ``slices``), so the copies of one
-    frequent key are thinned by many tasks, then per key.
-    """
-    sliced = stream.withWatermark(event_time, delay).withColumn(
-        "_slice", F.pmod(F.spark_partition_id(), F.lit(slices))
-    )
-    thinned = sliced.dropDuplicatesWithinWatermark([key, "_slice"])
-    return thinned.drop("_slice").dropDuplicatesWithinWatermark([key])
+def load_new(
+    stream: DataFrame,
+    key: str,
+    target: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> DataFrame:
+    """One row of each key over all that arrived: the first by a hash of the row, which ties
+    copies and versions of a key whatever file they come in."""
 
+    def hashed(batch: DataFrame) -> DataFrame:
+        rows = prepare(batch)
+        return rows.withColumn("_row_hash", F.sha2(F.to_json(F.struct(*rows.columns)), 256))
 
-def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append everything that has arrived to ``target``, then stop."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    return load_first(stream, key, ["_row_hash"], target, checkpoint, hashed).drop("_row_hash")

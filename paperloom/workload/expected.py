@@ -1,0 +1,214 @@
+"""What the texts are expected to become, stated on their own: the engine's tables are not read
+here, so a wrong entry in either place shows as a difference."""
+
+# Spoken forms of units and scales, long forms of contractions, code points of
+# emoji, the endings of the published stemming steps and the irregular words.
+UNITS = {
+    "m2/g": "square meters per gram",
+    "cm3/g": "cubic centimeters per gram",
+    "km/s": "kilometers per second",
+    "mg/L": "milligrams per liter",
+    "Pa": "Pascals",
+    "kPa": "kilopascals",
+    "MPa": "megapascals",
+    "bar": "bars",
+    "J": "Joules",
+    "kJ": "kilojoules",
+    "MJ": "megajoules",
+    "cal": "calories",
+    "kcal": "kilocalories",
+    "L/min": "liters per minute",
+    "mL/s": "milliliters per second",
+    "kg": "kilograms",
+    "g": "grams",
+    "mg": "milligrams",
+    "km": "kilometers",
+    "m": "meters",
+    "cm": "centimeters",
+    "mm": "millimeters",
+}
+DEGREES = {
+    "C": "degrees Celsius",
+    "F": "degrees Fahrenheit",
+}
+CONTRACTIONS = {
+    "ain't": "are not",
+    "aren't": "are not",
+    "can't": "cannot",
+    "can't've": "cannot have",
+    "could've": "could have",
+    "couldn't": "could not",
+    "couldn't've": "could not have",
+    "daren't": "dare not",
+    "didn't": "did not",
+    "doesn't": "does not",
+    "don't": "do not",
+    "hadn't": "had not",
+    "hasn't": "has not",
+    "haven't": "have not",
+    "he'd": "he would",
+    "he'll": "he will",
+    "he's": "he is",
+    "here's": "here is",
+    "how'd": "how did",
+    "how'll": "how will",
+    "how're": "how are",
+    "how's": "how is",
+    "i'd": "i would",
+    "i'll": "i will",
+    "i'm": "i am",
+    "i've": "i have",
+    "isn't": "is not",
+    "it'd": "it would",
+    "it'll": "it will",
+    "it's": "it is",
+    "let's": "let us",
+    "ma'am": "madam",
+    "mayn't": "may not",
+    "might've": "might have",
+    "mightn't": "might not",
+    "must've": "must have",
+    "mustn't": "must not",
+    "needn't": "need not",
+    "o'clock": "of the clock",
+    "oughtn't": "ought not",
+    "shan't": "shall not",
+    "she'd": "she would",
+    "she'll": "she will",
+    "she's": "she is",
+    "should've": "should have",
+    "shouldn't": "should not",
+    "so's": "so is",
+    "somebody's": "somebody is",
+    "someone's": "someone is",
+    "something's": "something is",
+    "that'd": "that would",
+    "that'll": "that will",
+    "that's": "that is",
+    "there'd": "there would",
+    "there'll": "there will",
+    "there're": "there are",
+    "there's": "there is",
+    "these're": "these are",
+    "they'd": "they would",
+    "they'll": "they will",
+    "they're": "they are",
+    "they've": "they have",
+    "this's": "this is",
+    "those're": "those are",
+    "wasn't": "was not",
+    "we'd": "we would",
+    "we'll": "we will",
+    "we're": "we are",
+    "we've": "we have",
+    "weren't": "were not",
+    "what'll": "what will",
+    "what're": "what are",
+    "what's": "what is",
+    "what've": "what have",
+    "when's": "when is",
+    "where'd": "where did",
+    "where's": "where is",
+    "where've": "where have",
+    "who'd": "who would",
+    "who'll": "who will",
+    "who're": "who are",
+    "who's": "who is",
+    "who've": "who have",
+    "why'd": "why did",
+    "why's": "why is",
+    "won't": "will not",
+    "would've": "would have",
+    "wouldn't": "would not",
+    "y'all": "you all",
+    "you'd": "you would",
+    "you'll": "you will",
+    "you're": "you are",
+    "you've": "you have",
+    "i'd've": "i would have",
+    "he'd've": "he would have",
+}
+EMOJI = r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}"
+PLURALS = [
+    ("sses", "ss"),
+    ("ies", "i"),
+    ("ss", "ss"),
+    ("s", ""),
+]
+AFTER_PARTICIPLE = [
+    ("at", "ate"),
+    ("bl", "ble"),
+    ("iz", "ize"),
+]
+LONG_ENDINGS = [
+    ("ational", "ate"),
+    ("tional", "tion"),
+    ("enci", "ence"),
+    ("anci", "ance"),
+    ("izer", "ize"),
+    ("bli", "ble"),
+    ("alli", "al"),
+    ("entli", "ent"),
+    ("eli", "e"),
+    ("ousli", "ous"),
+    ("ization", "ize"),
+    ("ation", "ate"),
+    ("ator", "ate"),
+    ("alism", "al"),
+    ("iveness", "ive"),
+    ("fulness", "ful"),
+    ("ousness", "ous"),
+    ("aliti", "al"),
+    ("iviti", "ive"),
+    ("biliti", "ble"),
+    ("fulli", "ful"),
+    ("logi", "log"),
+]
+MIDDLE_ENDINGS = [
+    ("icate", "ic"),
+    ("ative", ""),
+    ("alize", "al"),
+    ("iciti", "ic"),
+    ("ical", "ic"),
+    ("ful", ""),
+    ("ness", ""),
+]
+LAST_ENDINGS = [
+    "al",
+    "ance",
+    "ence",
+    "er",
+    "ic",
+    "able",
+    "ible",
+    "ant",
+    "ement",
+    "ment",
+    "ent",
+    "ion",
+    "ou",
+    "ism",
+    "ate",
+    "iti",
+    "ous",
+    "ive",
+    "ize",
+]
+IRREGULAR = {
+    "sky": "sky",
+    "skies": "sky",
+    "dying": "die",
+    "lying": "lie",
+    "tying": "tie",
+    "news": "news",
+    "innings": "inning",
+    "inning": "inning",
+    "outings": "outing",
+    "outing": "outing",
+    "cannings": "canning",
+    "canning": "canning",
+    "howe": "howe",
+    "proceed": "proceed",
+    "exceed": "exceed",
+    "succeed": "succeed",
+}

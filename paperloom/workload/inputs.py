@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.articles import ROOT
-from paperloom.limits import PAGE_SIZE, RESULT_CAP
-from paperloom.operators.rank import top_n
-from paperloom.session import scratch_path, spread
+from paperloom.limits import PAGE_SIZE
+from paperloom.operators.rank import ranked
+from paperloom.session import scratch_path
 
 # A tail for every text, so that each cleaning rule has something to do in each row.
 TAIL = (
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns))
+    return table(spark, sf_dir, "documents").select("doc_id", *columns)
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,20 +128,16 @@ def by_citations(id_col: str = "id") -> list[Column]:
     return [F.col("citations").desc(), F.col(id_col)]
 
 
-def land_pages(listing: DataFrame, by_year: bool) -> str:
-    """Write the hits of a search as result pages (one JSON row per page, 25 hits at
-    most) and return the folder."""
-    groups = ("year",) if by_year else ()
-    ranked = top_n(listing, RESULT_CAP, by_citations(), groups, "rank")
+def land_pages(listing: DataFrame) -> str:
+    """Write all hits of the searches of each year as result pages (one JSON row per page, 25
+    hits at most) and return the folder."""
+    hits = ranked(listing, by_citations(), ("year",))
     hit = F.struct(
         "rank", F.struct(F.concat(F.lit(URL_BASE), F.col("id").cast("string")).alias("prism:url")).alias("entry")
     )
     start = (F.floor((F.col("rank") - 1) / PAGE_SIZE) * PAGE_SIZE).cast("int")
-    pages = ranked.groupBy(*groups, start.alias("start")).agg(F.array_sort(F.collect_list(hit)).alias("hits"))
-    if by_year:
-        pages = pages.join(listing.groupBy("year").agg(F.count(F.lit(1)).alias("total")), "year")
-    else:
-        pages = pages.withColumn("total", listing.agg(F.count(F.lit(1))).scalar())
+    pages = hits.groupBy("year", start.alias("start")).agg(F.array_sort(F.collect_list(hit)).alias("hits"))
+    pages = pages.join(listing.groupBy("year").agg(F.count(F.lit(1)).alias("total")), "year")
     page = F.to_json(
         F.struct(
             F.struct(
@@ -151,6 +147,5 @@ def land_pages(listing: DataFrame, by_year: bool) -> str:
         )
     )
     path = scratch_path(listing.sparkSession, "pages")
-    writer = pages.select(*groups, "start", page.alias("page")).repartition(*(groups or (F.lit(0),))).write
-    (writer.partitionBy(*groups) if groups else writer).parquet(path)
+    pages.select("year", "start", page.alias("page")).write.partitionBy("year").parquet(path)
     return path

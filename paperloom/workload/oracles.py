@@ -8,10 +8,8 @@ directly, not through the JSON, files or targets the Spark queries go through.
 
 from __future__ import annotations
 
-from paperloom.functions import stem as S
-from paperloom.functions.charsets import EMOJI
-from paperloom.functions.contractions import CONTRACTIONS
-from paperloom.functions.text import DEGREES, UNITS
+from paperloom.workload import expected as S
+from paperloom.workload.expected import CONTRACTIONS, DEGREES, EMOJI, UNITS
 from paperloom.workload.inputs import FIRST_DAY, ID_BASE, TAIL, URL_BASE
 
 W = r"\p{L}\p{N}_"
@@ -55,7 +53,8 @@ def spaces(expr: str) -> str:
 def contractions(expr: str) -> str:
     word = "w"
     for short, full in CONTRACTIONS.items():
-        word = _word(word, short.replace("'", "['’]"), full, W + "'’")
+        before, after = f"(^|[^{W}'’]|(?:^|[^{W}])['’])", f"($|[^{W}'’]|['’](?:$|[^{W}]))"
+        word = _twice(word, before + short.replace("'", "['’]") + after, rf"\1{full}\2")
     return (
         f"array_to_string(list_transform(string_split({spaces(expr)}, ' '), "
         f"lambda w: CASE WHEN contains(w, '''') OR contains(w, '’') THEN {word} ELSE w END), ' ')"
@@ -251,7 +250,7 @@ FROM orders"""
 
 BY_YEAR = f"""SELECT year, year_rank AS rank, (year_rank - 1) // 25 AS page,
   (year_rank - 1) // 25 * 25 AS start, year_total AS total_results, {_quote(URL_BASE)} || id AS url
-FROM ({ORDERED}) WHERE year_rank <= 5000"""
+FROM ({ORDERED})"""
 
 WRITTEN = """CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%-d %B %Y')
   WHEN 'O' THEN strftime(o_orderdate, '%B %-d, %Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END"""
@@ -263,7 +262,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name"""
 VISITS = f"""SELECT *, coalesce(sum(CASE WHEN source <> 'src0' THEN 1 ELSE 0 END)
     OVER (ORDER BY y, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_before
   FROM (SELECT *, {YEAR} AS y, row_number() OVER (PARTITION BY {YEAR} ORDER BY n_chars DESC, {URL}) AS r
-    FROM documents) WHERE r <= 5000"""
+    FROM documents)"""
 
 KEYWORD_ROWS = f"""SELECT {ID_BASE} + doc_id AS article_id, unnest({LINES}) AS keyword,
   generate_subscripts({LINES}, 1) - 1 AS pos, lang, source FROM documents"""
@@ -277,6 +276,15 @@ SELECT row_number() OVER (ORDER BY rows.article_id, pos) AS keyword_id, {article
 FROM rows JOIN documents ON rows.article_id = {ID_BASE} + doc_id"""
 
 
+def _filled(last_article: str) -> str:
+    return f"""WITH kept AS (SELECT * FROM documents WHERE source <> 'src0'),
+sums AS (SELECT count(*) AS articles, CAST(sum(len({LINES})) AS BIGINT) AS keywords, {last_article} AS last FROM kept)
+SELECT 'Article' AS item, articles AS n_rows FROM sums
+UNION ALL SELECT 'ArticleKeywords', keywords FROM sums
+UNION ALL SELECT 'last Article', last FROM sums UNION ALL SELECT 'last ArticleKeywords', keywords FROM sums
+UNION ALL SELECT 'article_key', 0 UNION ALL SELECT 'keyword_key', 0 UNION ALL SELECT 'article_reference', 0"""
+
+
 def all_oracles() -> dict[str, str]:
     oracles = {name: f"SELECT doc_id, {rule(TEXT)} AS text FROM documents" for name, rule in TEXT_RULES.items()}
     articles = _articles()
@@ -319,6 +327,9 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey
 WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_orderkey = o.o_orderkey)""",
         "read_back": "SELECT * FROM customer",
         "csv_round_trip": articles,
+        "csv_odd_fields": f"""SELECT {ID_BASE} + doc_id AS article_id, '  ' || {LINES}[1] || chr(9) || ' ' AS title,
+  CASE lang WHEN 'es' THEN '' WHEN 'de' THEN NULL ELSE text END AS abstract
+FROM documents WHERE source <> 'src0'""",
         "csv_unreadable_lists": 'SELECT doc_id AS "Article Id" FROM documents WHERE lang <> \'en\'',
         "bulk_init": articles,
         "load_twice_append": f"""SELECT {ID_BASE} + doc_id AS article_id,
@@ -326,6 +337,9 @@ WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_ord
 FROM documents WHERE source <> 'src0'""",
         "load_twice_merge": articles,
         "merge_load": articles,
+        "merge_null_keys": f"""SELECT {COUNTRY} AS country, count(*) AS n_rows FROM documents
+WHERE source <> 'src0' AND lang <> 'es' GROUP BY lang
+UNION ALL SELECT 'rejected', 2 * count(*) FROM documents WHERE source <> 'src0' AND lang = 'es'""",
         "json_folder": FOLDER_ARTICLES,
         "raw_landing": f"SELECT {URL} AS url, {YEAR} AS year, text AS abstract FROM documents",
         "explode_keywords": f"SELECT article_id, pos, keyword FROM ({KEYWORD_ROWS})",
@@ -341,40 +355,37 @@ AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
 HAVING count(*) > 1 OR l_orderkey IS NULL""",
         "normalise": _pair("rows.article_id"),
         "normalise_serial": _pair("dense_rank() OVER (ORDER BY rows.article_id)"),
-        "create_and_fill": f"""WITH kept AS (SELECT * FROM documents WHERE source <> 'src0')
-SELECT 'Article' AS item, count(*) AS n_rows FROM kept
-UNION ALL SELECT 'ArticleKeywords', CAST(sum(len({LINES})) AS BIGINT) FROM kept
-UNION ALL SELECT 'article_key', 0 UNION ALL SELECT 'keyword_key', 0 UNION ALL SELECT 'article_reference', 0""",
+        "create_and_fill": _filled(f"max({ID_BASE} + doc_id)"),
+        "create_and_fill_serial": _filled("count(*)"),
         "listing_join": """SELECT l_orderkey, l_linenumber, 'https://api.example.org/content/part/' || l_partkey AS url,
   p_name AS title FROM lineitem JOIN part ON l_partkey = p_partkey""",
-        "top_by_year": f"SELECT year, year_rank AS rank, id, citations FROM ({ORDERED}) WHERE year_rank <= 5000",
+        "top_by_year": f"SELECT year, year_rank AS rank, id, citations FROM ({ORDERED})",
         "paging": f"""SELECT rank, (rank - 1) // 25 AS page, (rank - 1) // 25 * 25 AS start, total AS total_results, id,
-  citations FROM ({ORDERED}) WHERE rank <= 5000""",
+  citations FROM ({ORDERED})""",
         "capped_harvest": f"""SELECT year, id, citations FROM (
   SELECT *, coalesce(sum(CAST(has_keywords AS INTEGER)) OVER (ORDER BY year, year_rank
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_before
-  FROM ({ORDERED}) WHERE year_rank <= 5000)
+  FROM ({ORDERED}))
 WHERE has_keywords AND (kept_before <= 10 OR year_rank = 1)""",
         "first_n_harvest": f"SELECT id, citations FROM ({ORDERED}) WHERE has_keywords ORDER BY rank LIMIT 11",
-        "paged_source": BY_YEAR,
+        "full_harvest": f"SELECT year, id, citations FROM ({ORDERED}) WHERE has_keywords",
         "landed_listing": BY_YEAR,
-        "paged_source_recent": f"""SELECT rank, (rank - 1) // 25 AS page, (rank - 1) // 25 * 25 AS start,
-  total AS total_results, {_quote(URL_BASE)} || id AS url FROM ({ORDERED}) WHERE rank <= 5000""",
         "search_pages": f"""SELECT year, (year_rank - 1) // 25 * 25 AS start, year_total AS total_results,
   string_agg({_quote(URL_BASE)} || id, ' ' ORDER BY year_rank) AS urls
-FROM ({ORDERED}) WHERE year_rank <= 5000 GROUP BY ALL""",
-        "harvest_by_year": _articles(
-            "source <> 'src0' AND y BETWEEN 2018 AND 2023 AND (kept_before <= 10 OR r = 1)", f"({VISITS})"
-        ),
-        "harvest_recent": _articles(
-            "TRUE",
-            f"""(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY n_chars DESC, {URL}) AS r FROM documents)
-  WHERE r <= 5000 AND source <> 'src0' ORDER BY r LIMIT 11)""",
-        ),
+FROM ({ORDERED}) GROUP BY ALL""",
+        "harvest_by_year": articles,
+        "harvest_by_year_capped": _articles("source <> 'src0' AND (kept_before <= 10 OR r = 1)", f"({VISITS})"),
+        "harvest_recent": articles,
+        "harvest_with_gaps": f"""SELECT url, 'kept' AS outcome FROM (
+  SELECT {URL} AS url FROM documents WHERE source <> 'src0' AND lang NOT IN ('de', 'fr')
+  ORDER BY n_chars DESC, url LIMIT 100)
+UNION ALL SELECT {URL}, CASE lang WHEN 'de' THEN 'TimeoutError' ELSE 'no article' END FROM documents
+WHERE lang IN ('de', 'fr')""",
         "ratings_per_title": PER_TITLE,
         "topk_group": f"SELECT * FROM ({PER_TITLE}) ORDER BY qty_ratings DESC, title LIMIT 10",
         "stream_incremental": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
+        "stream_two_sources": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
         "stream_articles": articles,
         "stream_dedupe": "SELECT event_id, user_id, event_type, value, props FROM events",
     }

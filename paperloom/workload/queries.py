@@ -9,17 +9,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions import articles as A, dates as D, stem as S, text as T
-from paperloom.limits import RESULT_CAP
-from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report, skew
+from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report
 from paperloom.plans import jobs
 from paperloom.plans.schema import TABLES
 from paperloom.session import scratch_path, stage_table, tune
 from paperloom.sinks.targets import FolderTarget
 from paperloom.sinks.writers import land_lines, land_raw, write_csv
 from paperloom.sources.files import drop_surplus, read_csv, typed_articles, unreadable_lists
-from paperloom.sources.search import listing_from_pages, read_search
+from paperloom.sources.search import listing_from_pages
 from paperloom.streaming import incremental
 from paperloom.workload.inputs import (
+    ID_BASE,
     article_url,
     by_citations,
     documents,
@@ -32,7 +32,6 @@ from paperloom.workload.inputs import (
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
-LANDED = "paperloom.sources.search:landed_transport"
 
 
 def _text_query(step: Callable[[Column], Column]) -> Query:
@@ -219,6 +218,20 @@ def csv_round_trip(spark, sf_dir):
     return _readable(typed_articles(read_csv(spark, _csv_folder(spark, sf_dir))))
 
 
+def csv_odd_fields(spark, sf_dir):
+    """Titles with outer spaces, and empty next to missing abstracts, written and read back."""
+    odd = _articles(spark, sf_dir).withColumns(
+        {
+            "title": F.concat(F.lit("  "), "title", F.lit("\t ")),
+            "abstract": F.when(F.col("country") == "ES", F.lit("")).when(F.col("country") != "DE", F.col("abstract")),
+        }
+    )
+    path = scratch_path(spark, "csv")
+    write_csv(X.with_display_names(odd), path)
+    back = typed_articles(read_csv(spark, path))
+    return back.select("article_id", "title", "abstract")
+
+
 def csv_unreadable_lists(spark, sf_dir):
     """Exports in which only English articles have their keywords written as a list."""
     docs = documents(spark, sf_dir, "text", "lang")
@@ -261,6 +274,19 @@ def merge_load(spark, sf_dir):
     return _readable(target.read())
 
 
+def merge_null_keys(spark, sf_dir):
+    """Articles of which the Spanish ones have no id, merged twice: the rows of the target by
+    country, and how often the rejects were listed."""
+    articles = _articles(spark, sf_dir)
+    batch = articles.withColumn("article_id", F.when(F.col("country") != "ES", F.col("article_id")))
+    target, rejects = FolderTarget(spark, scratch_path(spark, "all")).create(), scratch_path(spark, "rejects")
+    for _ in range(2):
+        jobs.merge_load(batch, target, rejects)
+    loaded = target.read().groupBy("country").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = spark.read.parquet(rejects).groupBy("country").agg(F.count(F.lit(1)).alias("n_rows"))
+    return loaded.unionByName(listed.withColumn("country", F.lit("rejected")))
+
+
 def json_folder(spark, sf_dir):
     path = scratch_path(spark, "json")
     land_lines(raw_from_tables(spark, sf_dir), path)
@@ -297,7 +323,7 @@ def article_keywords(spark, sf_dir):
 
 
 def rebuild_keywords(spark, sf_dir):
-    rebuilt = K.rebuild_keywords(K.explode_keywords(keyword_articles(spark, sf_dir)))
+    rebuilt = K.rebuild_keywords(K.explode_keywords(keyword_articles(spark, sf_dir)), chunk=10_000)
     return rebuilt.select(
         "article_id", F.col("part").cast("bigint").alias("part"), F.array_join("keywords", "; ").alias("keywords")
     )
@@ -315,7 +341,7 @@ def pk_violations(spark, sf_dir):
 def _normalised(spark, sf_dir, serial):
     article, keywords = jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair"), serial)
     article = article.withColumnRenamed("id", "article_id")
-    joined = skew.skew_join(keywords.withColumnRenamed("id", "keyword_id"), article, "article_id")
+    joined = keywords.withColumnRenamed("id", "keyword_id").join(article, "article_id")
     return joined.select(
         "keyword_id", "article_id", "keyword", "title", F.col("publishdate").cast("string").alias("publishdate")
     )
@@ -329,19 +355,36 @@ def normalise_serial(spark, sf_dir):
     return _normalised(spark, sf_dir, serial=True)
 
 
-def create_and_fill(spark, sf_dir):
-    """Both tables created and filled: their rows and constraint violations."""
+def _filled(spark, sf_dir, serial):
+    """Both tables created and filled by two overlapping batches: their rows and constraint
+    violations, and the largest ids."""
     database = f"paperloom_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
     jobs.create_pair(spark, database)
-    jobs.fill_pair(jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair")), database)
+    articles = stage_table(_articles(spark, sf_dir), "articles")
+    for batch in (articles.filter(F.col("country") == ""), articles):
+        jobs.extend_pair(batch, database, scratch_path(spark, "pair"), serial)
     checks = jobs.create_pair(spark, database)
-    items = {name: spark.table(f"{database}.{name}") for name in TABLES} | checks
+    tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     counts = [
         rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(item).alias("item"), "n_rows")
-        for item, rows in items.items()
+        for item, rows in (tables | checks).items()
+    ]
+    last = [
+        rows.agg(F.max("id").alias("n_rows")).select(F.lit(f"last {item}").alias("item"), "n_rows")
+        for item, rows in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    found = stage_table(reduce(DataFrame.unionByName, counts + last), "counts")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
+def create_and_fill(spark, sf_dir):
+    return _filled(spark, sf_dir, serial=False)
+
+
+def create_and_fill_serial(spark, sf_dir):
+    return _filled(spark, sf_dir, serial=True)
 
 
 # --- search and harvest -----------------------------------------------------------------
@@ -355,7 +398,7 @@ def listing_join(spark, sf_dir):
     details = table(spark, sf_dir, "part").select(
         F.concat(F.lit(url), F.col("p_partkey").cast("string")).alias("url"), F.col("p_name").alias("title")
     )
-    joined = skew.skew_join(listing, details, "url")
+    joined = listing.join(details, "url")
     return joined.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "url", "title")
 
 
@@ -364,8 +407,7 @@ def _plain(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def top_by_year(spark, sf_dir):
-    top = R.top_n(order_listing(spark, sf_dir), RESULT_CAP, by_citations(), ("year",))
-    return _plain(top, "year", "rank", "id")
+    return _plain(R.ranked(order_listing(spark, sf_dir), by_citations(), ("year",)), "year", "rank", "id")
 
 
 def paging(spark, sf_dir):
@@ -374,39 +416,27 @@ def paging(spark, sf_dir):
 
 
 def capped_harvest(spark, sf_dir):
-    return _plain(R.capped_harvest(order_listing(spark, sf_dir), by_citations()), "year", "id")
-
-
-def first_n_harvest(spark, sf_dir):
-    return _plain(R.first_harvest(order_listing(spark, sf_dir), by_citations()), "id")
-
-
-def _search(spark, sf_dir, by_year):
-    listing = order_listing(spark, sf_dir)
-    path = land_pages(listing, by_year)
-    years = [1995, 1996, 1997, 1998, 1999, 2000, 2001] if by_year else None
-    found = read_search(spark, LANDED, "engineering", years, pages_per_task="25", **{"transport.path": path})
-    columns = (["year"] if by_year else []) + ["rank", "page", "start", "total_results"]
-    return found.select(*[F.col(c).cast("bigint").alias(c) for c in columns], "url")
+    """With the count of the visit that a user asks for."""
+    return _plain(R.harvested(order_listing(spark, sf_dir), by_citations(), cap=11), "year", "id")
 
 
-def paged_source(spark, sf_dir):
-    return _search(spark, sf_dir, by_year=True)
+def full_harvest(spark, sf_dir):
+    return _plain(R.harvested(order_listing(spark, sf_dir), by_citations()), "year", "id")
 
 
-def paged_source_recent(spark, sf_dir):
-    return _search(spark, sf_dir, by_year=False)
+def first_n_harvest(spark, sf_dir):
+    return _plain(R.harvested(order_listing(spark, sf_dir), by_citations(), cap=11, year=None), "id")
 
 
 def landed_listing(spark, sf_dir):
-    pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir), by_year=True))
+    pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir)))
     found = listing_from_pages(pages)
     columns = ["year", "rank", "page", "start", "total_results"]
     return found.select(*[F.col(c).cast("bigint").alias(c) for c in columns], "url")
 
 
 def search_pages(spark, sf_dir):
-    pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir), by_year=True))
+    pages = spark.read.parquet(land_pages(order_listing(spark, sf_dir)))
     page = F.col("page")
     return pages.select(
         F.col("year").cast("bigint").alias("year"),
@@ -416,29 +446,61 @@ def search_pages(spark, sf_dir):
     )
 
 
-def _harvest(spark, sf_dir, years):
+def _harvest(spark, sf_dir, years, details=None, rejects_path=None, cap=None):
     raw = stage_table(raw_from_tables(spark, sf_dir), "raw")
     order = [F.desc("citations"), F.col("url")]
     target = FolderTarget(spark, scratch_path(spark, "all")).create()
-    loaded = jobs.harvest(
+    return jobs.harvest(
         raw.select("url", "year", "citations"),
-        raw.select("url", "raw"),
+        details(raw) if details else raw.select("url", "raw"),
         order,
         target,
         scratch_path(spark, "runs"),
         "first",
         export_path=scratch_path(spark, "export"),
         years=years,
+        cap=cap,
+        rejects_path=rejects_path,
     )
-    return _readable(loaded)
+
+
+def _years(spark, sf_dir):
+    """The years of the listing; a handful of numbers."""
+    raw = raw_from_tables(spark, sf_dir).select("year").distinct()
+    return sorted(row[0] for row in raw.collect())
 
 
 def harvest_by_year(spark, sf_dir):
-    return _harvest(spark, sf_dir, [2018, 2019, 2020, 2021, 2022, 2023])
+    return _readable(_harvest(spark, sf_dir, _years(spark, sf_dir)))
+
+
+def harvest_by_year_capped(spark, sf_dir):
+    return _readable(_harvest(spark, sf_dir, _years(spark, sf_dir), cap=11))
 
 
 def harvest_recent(spark, sf_dir):
-    return _harvest(spark, sf_dir, None)
+    return _readable(_harvest(spark, sf_dir, None))
+
+
+def harvest_with_gaps(spark, sf_dir):
+    """A capped harvest whose fetch fails for German articles and finds no French ones: what
+    is kept, and what is rejected, by URL."""
+
+    def details(raw):
+        lost = F.col("raw").contains('"@country":"DE"')
+        none = F.col("raw").contains('"@country":"FR"')
+        found = raw.filter(~none).select(
+            "url", F.when(~lost, F.col("raw")).alias("raw"), F.when(lost, F.lit("TimeoutError")).alias("error")
+        )
+        return lambda wanted: found.join(wanted, "url", "left_semi")
+
+    rejects = scratch_path(spark, "rejects")
+    kept = _harvest(spark, sf_dir, None, details, rejects, cap=100)
+    missing = spark.read.parquet(rejects).select("url", "missing")
+    url = article_url(F.col("article_id") - ID_BASE)
+    return kept.select(url.alias("url"), F.lit("kept").alias("outcome")).unionByName(
+        missing.withColumnRenamed("missing", "outcome")
+    )
 
 
 # --- report ---------------------------------------------------------------------------
@@ -463,23 +525,40 @@ def topk_group(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return incremental.file_stream(spark, sf_dir, schema, "events.parquet")
+def _event_files(spark, sf_dir):
+    """Events as files in no order of time, some of them in two files: one file per batch."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events")
+    again = events.filter(F.pmod("event_id", F.lit(3)) == 0)
+    events.unionByName(again).repartition(EVENT_FILES, F.xxhash64("event_id", F.rand(1))).write.parquet(path)
+    return incremental.file_stream(spark, path, events.schema, files_per_batch=1)
 
 
-def stream_incremental(spark, sf_dir):
-    """First event of each user, loaded by two runs of the same job."""
+EVENT_FILES = 6
 
-    def first_event(batch):
-        return dedupe.first_per_key(batch, ["user_id"], [F.col("ts"), F.col("event_id")])
 
+def stream_incremental(spark, sf_dir):
+    """First event of each user, loaded by two runs of the same job."""
     target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    stream = _event_files(spark, sf_dir)
     for _ in range(2):
-        loaded = incremental.load_new(_event_stream(spark, sf_dir), "user_id", target, checkpoint, first_event)
+        loaded = incremental.load_first(stream, "user_id", ["ts", "event_id"], target, checkpoint)
     return loaded.select("user_id", "event_id", "event_type", "value")
 
 
+def stream_two_sources(spark, sf_dir):
+    """Orders of one status, then all orders from another folder with a checkpoint of its own,
+    into one target."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    target = scratch_path(spark, "stream")
+    for rows in (orders.filter("o_orderstatus = 'F'"), orders):
+        path = scratch_path(spark, "orders")
+        rows.repartition(3).write.parquet(path)
+        stream = incremental.file_stream(spark, path, orders.schema, files_per_batch=2)
+        loaded = incremental.load_new(stream, "o_orderkey", target, scratch_path(spark, "checkpoint"))
+    return loaded
+
+
 def stream_articles(spark, sf_dir):
     """Raw articles arriving year by year, loaded as a stream."""
     path = scratch_path(spark, "bronze")
@@ -489,13 +568,10 @@ def stream_articles(spark, sf_dir):
 
 
 def stream_dedupe(spark, sf_dir):
-    """Two copies of every event in one stream, written once."""
-    events = _event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    once = incremental.dedupe_stream(events.unionByName(events), "event_id", "ts", "1 day")
-    target = scratch_path(spark, "stream")
-    incremental.write_available(once, target, scratch_path(spark, "checkpoint"))
-    written = spark.read.schema(events.schema).parquet(target)
-    return written.select("event_id", "user_id", "event_type", "value", "props")
+    """Events of which some come twice, written once."""
+    target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    once = incremental.load_new(_event_files(spark, sf_dir), "event_id", target, checkpoint)
+    return once.select("event_id", "user_id", "event_type", "value", "props")
 
 
 TEXT_QUERIES: dict[str, Callable[[Column], Column]] = {
@@ -538,11 +614,13 @@ TABLE_QUERIES: list[Query] = [
     merge_new_rows,
     read_back,
     csv_round_trip,
+    csv_odd_fields,
     csv_unreadable_lists,
     bulk_init,
     load_twice_append,
     load_twice_merge,
     merge_load,
+    merge_null_keys,
     json_folder,
     raw_landing,
     explode_keywords,
@@ -554,20 +632,23 @@ TABLE_QUERIES: list[Query] = [
     normalise,
     normalise_serial,
     create_and_fill,
+    create_and_fill_serial,
     listing_join,
     top_by_year,
     paging,
     capped_harvest,
+    full_harvest,
     first_n_harvest,
-    paged_source,
-    paged_source_recent,
     landed_listing,
     search_pages,
     harvest_by_year,
+    harvest_by_year_capped,
     harvest_recent,
+    harvest_with_gaps,
     ratings_per_title,
     topk_group,
     stream_incremental,
+    stream_two_sources,
     stream_articles,
     stream_dedupe,
 ]

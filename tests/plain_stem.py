@@ -1,6 +1,6 @@
 """Stemming one word at a time in plain Python, to hold the column functions against."""
 
-from paperloom.functions.stem import (
+from paperloom.workload.expected import (
     AFTER_PARTICIPLE,
     IRREGULAR,
     LAST_ENDINGS,

@@ -1,12 +1,12 @@
-"""Keys, skewed joins, ranking and the capped harvest against plain Python."""
+"""Keys, ranking and the harvest against plain Python."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from paperloom.operators import keys, rank, report
-from paperloom.operators.skew import heavy_keys, skew_join
 from paperloom.plans import jobs
 from paperloom.session import scratch_path
 from test_load import articles, row
@@ -20,7 +20,7 @@ def test_explode_and_rebuild(spark):
     lists = {1: ["b", "a", "b"], 2: [f"k{i}" for i in range(25)], 3: [], 4: None}
     exploded = keys.explode_keywords(keyword_lists(spark, lists))
     assert exploded.count() == 28
-    rebuilt = {r.article_id: r.keywords for r in keys.rebuild_keywords(exploded).collect()}
+    rebuilt = {r.article_id: r.keywords for r in keys.rebuild_keywords(exploded, chunk=100).collect()}
     assert rebuilt == {1: lists[1], 2: lists[2]}
     parts = keys.rebuild_keywords(exploded, chunk=10).filter("article_id = 2").orderBy("part").collect()
     assert [len(p.keywords) for p in parts] == [10, 10, 5]
@@ -50,38 +50,30 @@ def test_normalise_is_sound(spark):
     assert [tuple(r) for r in pair[1].orderBy("id").collect()] == expected
 
 
+@pytest.mark.parametrize("serial", [False, True])
+def test_pair_filled_twice(spark, serial):
+    database = f"pair_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
+    try:
+        jobs.create_pair(spark, database)
+        for batch in ([row(70), row(5)], [row(5), row(8, "new"), row(70)], [row(0), row(None)]):
+            jobs.extend_pair(articles(spark, *batch), database, scratch_path(spark, "pair"), serial)
+        assert all(v.count() == 0 for v in jobs.create_pair(spark, database).values())
+        held = sorted(r.id for r in spark.table(f"{database}.Article").collect())
+        # The table's own numbers leave nothing but the text to tell articles apart.
+        assert held == ([1, 2] if serial else [5, 8, 70])
+        words = sorted(r.id for r in spark.table(f"{database}.ArticleKeywords").collect())
+        assert words == list(range(1, 2 * len(held) + 1))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_normalise_with_serial_ids(spark):
     pair = jobs.normalise(articles(spark, row(70), row(5), row(70, "S")), scratch_path(spark, "pair"), serial=True)
     assert sorted(r.id for r in pair[0].collect()) == [1, 2]
     assert [(r.id, r.article_id) for r in pair[1].orderBy("id").collect()] == [(1, 1), (2, 1), (3, 2), (4, 2)]
 
 
-def test_skew_join_equals_plain_join(spark):
-    left = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v").repartition(12)
-    right = spark.range(0, 30_000, 2).selectExpr("id AS k", "-id AS w")
-    right = right.unionByName(spark.createDataFrame([(7, -7)], "k long, w long"))
-    assert 7 in heavy_keys(left, "k")
-    joined = skew_join(left, right, "k")
-    plain = left.join(right, "k")
-    assert joined.count() == plain.count() == joined.distinct().count()
-    assert joined.exceptAll(plain).count() == 0
-
-
-def test_skew_join_spreads_the_heavy_key(spark):
-    left = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v").repartition(12)
-    right = spark.range(30_000).selectExpr("id AS k", "-id AS w")
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    before = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-        tasks = skew_join(left, right, "k").filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    assert len(tasks) > 3 and sum(t["count"] for t in tasks) == 10_001
-
-
 def listing(spark, rows):
     return spark.createDataFrame(rows, "id long, year int, citations double, has_keywords boolean").repartition(5)
 
@@ -90,11 +82,11 @@ def order():
     return [F.desc("citations"), F.col("id")]
 
 
-def python_harvest(rows, cap=11, result_cap=5000):
+def python_harvest(rows, cap):
     kept = []
     for year in sorted({r[1] for r in rows}):
         ranked = sorted((r for r in rows if r[1] == year), key=lambda r: (-r[2], r[0]))
-        for hit in ranked[:result_cap]:
+        for hit in ranked:
             if hit[3]:
                 kept.append(hit)
             if len(kept) >= cap:
@@ -102,19 +94,24 @@ def python_harvest(rows, cap=11, result_cap=5000):
     return sorted(kept)
 
 
-@pytest.mark.parametrize(("seed", "early", "result_cap"), [(1, 4, 5000), (2, 30, 5000), (3, 2, 3), (4, 0, 5000)])
-def test_capped_harvest_equals_the_loop(spark, seed, early, result_cap):
+@pytest.mark.parametrize(("seed", "early", "cap"), [(1, 4, 11), (2, 30, 11), (3, 2, 3), (4, 0, 11), (5, 3, 10_000)])
+def test_harvest_equals_the_loop(spark, seed, early, cap):
     rng = random.Random(seed)
     rows = []
     for year in range(2018, 2024):
         for _ in range(early if year < 2020 else 30):
             rows.append((len(rows), year, float(rng.randint(0, 9)), rng.random() < 0.5))
-    got = rank.capped_harvest(listing(spark, rows), order(), result_cap=result_cap)
+    got = rank.harvested(listing(spark, rows), order(), cap)
     assert sorted(tuple(r) for r in got.select("id", "year", "citations", "has_keywords").collect()) == python_harvest(
-        rows, result_cap=result_cap
+        rows, cap
     )
 
 
+def test_harvest_keeps_all_without_a_cap(spark):
+    rows = [(i, 2020 + i % 2, float(i), i % 3 == 0) for i in range(9000)]
+    assert rank.harvested(listing(spark, rows), order()).count() == 3000
+
+
 def test_top_n_with_one_dominant_group(spark):
     rows = [(i, 2020 if i % 3 else 2021 + i % 5, float(i % 50), True) for i in range(5000)]
     for n in (1, 40, 6000):
@@ -126,17 +123,25 @@ def test_top_n_with_one_dominant_group(spark):
         assert sorted((r.id, r.rank) for r in got) == sorted(expected)
 
 
+def test_ranks_use_no_single_task(spark):
+    rows = listing(spark, [(i, 2020, float(i % 7), True) for i in range(3000)])
+    frame = rank.ranked(rows, order())
+    assert sorted(r["rank"] for r in frame.collect()) == list(range(1, 3001))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 1  # one row per partition is summed up
+
+
 def test_pages(spark):
-    rows = [(i, 2020, float(i), True) for i in range(60)]
-    pages = rank.result_pages(listing(spark, rows), order(), result_cap=55).orderBy("rank").collect()
-    assert len(pages) == 55 and pages[0].id == 59 and {r.total_results for r in pages} == {60}
+    rows = [(i, 2020, float(i), True) for i in range(6000)]
+    pages = rank.result_pages(listing(spark, rows), order()).orderBy("rank").collect()
+    assert len(pages) == 6000 and pages[0].id == 5999 and {r.total_results for r in pages} == {6000}
     assert [(r.page, r.start) for r in pages[24:26]] == [(0, 0), (1, 25)]
-    assert pages[-1].page == 2
+    assert pages[-1].page == 239
 
 
 def test_first_harvest(spark):
     rows = [(i, 2020, float(i), i % 2 == 0) for i in range(60)]
-    got = [r.id for r in rank.first_harvest(listing(spark, rows), order()).collect()]
+    got = [r.id for r in rank.harvested(listing(spark, rows), order(), cap=11, year=None).collect()]
     assert sorted(got, reverse=True) == list(range(58, 36, -2))
 
 

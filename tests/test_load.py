@@ -54,7 +54,8 @@ def test_union_distinct(spark):
 def test_new_rows_with_repeated_and_null_keys(spark):
     batch = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (None, "n")], "k int, v string")
     target = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
-    assert sorted(r.v for r in merge.new_rows(batch, target, "k").collect()) == ["b", "c", "n"]
+    assert sorted(r.v for r in merge.new_rows(batch, target, "k").collect()) == ["b", "c"]
+    assert [r.v for r in merge.null_keys(batch, "k").collect()] == ["n"]
 
 
 def test_new_rows_of_an_empty_batch(spark):
@@ -62,13 +63,43 @@ def test_new_rows_of_an_empty_batch(spark):
     assert merge.new_rows(target.filter("k > 1"), target, "k").count() == 0
 
 
-def test_key_range_reaches_the_scan(spark):
-    path = scratch_path(spark, "keys")
-    spark.range(1000).write.parquet(path)
-    known = merge.known_keys(spark.range(5, 8), spark.read.parquet(path), "id")
-    assert sorted(r.id for r in known.collect()) == [5, 6, 7]
-    plan = known._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(id,5)" in plan and "LessThanOrEqual(id,7)" in plan
+def test_only_touched_parts_of_the_target_are_read(spark):
+    target = FolderTarget(spark, scratch_path(spark, "t"))
+    target.overwrite(articles(spark, *[row(i) for i in range(300)]))
+    batch = articles(spark, row(5), row(6), row(900))
+    held = target.holding(batch)
+    assert {5, 6} <= set(ids(held)) and held.count() < 60
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert ids(merge.new_rows(batch, held, "article_id")) == [900]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_articles_without_an_id_are_rejected(spark):
+    batch = articles(spark, row(1), row(0, "x"), row(0, "y"), row(None, "z"))
+    target, rejects = FolderTarget(spark, scratch_path(spark, "t")).create(), scratch_path(spark, "rejects")
+    for _ in range(2):
+        jobs.merge_load(batch, target, rejects)
+    assert ids(target.read()) == [1]
+    assert sorted(r.title for r in spark.read.parquet(rejects).collect()) == ["x", "x", "y", "y", "z", "z"]
+
+
+def test_csv_keeps_spaces_and_tells_empty_from_null(spark):
+    rows = [row(1, "  T \t", ""), row(2, "", None), row(3, None, " ")]
+    path = scratch_path(spark, "csv")
+    write_csv(with_display_names(articles(spark, *rows)), path)
+    back = files.typed_articles(files.read_csv(spark, path)).orderBy("article_id").collect()
+    assert [tuple(r) for r in back] == rows
+
+
+def test_csv_folder_with_different_headers_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Article Id,Title\n1,a\n")
+    (tmp_path / "b.csv").write_text("timestamp_epoch,Article Id,Title\n5,2,b\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        files.read_csv(spark, str(tmp_path)).collect()
 
 
 def test_append_doubles_and_merge_does_not(spark):

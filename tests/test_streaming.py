@@ -1,58 +1,55 @@
 """Incremental loads against the batch result."""
 
-from pyspark.sql import functions as F
-
-from paperloom.operators.dedupe import first_per_key
 from paperloom.session import scratch_path
 from paperloom.streaming import incremental
 
 SCHEMA = "article_id long, title string"
 
 
-def prepare(batch):
-    return first_per_key(batch, ["article_id"], [F.col("title")])
-
-
 def arrive(spark, path, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_growing_folder_is_loaded_once(spark):
+def stream(spark, path, files=None):
+    return incremental.file_stream(spark, path, SCHEMA, files_per_batch=files)
+
+
+def first(spark, source, target, checkpoint, files=1):
+    loaded = incremental.load_first(stream(spark, source, files), "article_id", ["title"], target, checkpoint)
+    return sorted((r.article_id, r.title) for r in loaded.collect())
+
+
+def test_overlapping_batches_in_any_order(spark):
     source, target, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "cp"))
+    arrive(spark, source, [(1, "b"), (1, "c"), (2, "c"), (None, "x")])
+    assert first(spark, source, target, checkpoint) == [(1, "b"), (2, "c")]
+    arrive(spark, source, [(2, "b"), (3, "d"), (1, "z")])
+    arrive(spark, source, [(3, "e"), (4, "e"), (1, "a"), (2, "a")])
+    want = [(1, "a"), (2, "a"), (3, "d"), (4, "e")]
+    assert first(spark, source, target, checkpoint) == want
+    assert first(spark, source, target, checkpoint) == want
+    assert first(spark, source, scratch_path(spark, "out"), scratch_path(spark, "cp"), None) == want
 
-    def run():
-        stream = incremental.file_stream(spark, source, SCHEMA, files_per_batch=1)
-        loaded = incremental.load_new(stream, "article_id", target, checkpoint, prepare)
-        return sorted((r.article_id, r.title) for r in loaded.collect())
 
-    arrive(spark, source, [(1, "a"), (1, "b"), (2, "c")])
-    assert run() == [(1, "a"), (2, "c")]
-    arrive(spark, source, [(2, "late"), (3, "d")])
-    arrive(spark, source, [(3, "late"), (4, "e")])
-    assert run() == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
-    assert run() == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
+def test_new_checkpoint_and_new_source_leave_earlier_rows(spark):
+    target = scratch_path(spark, "out")
+    for rows, want in (([(1, "a"), (2, "c")], [1, 2]), ([(3, "d"), (2, "b")], [1, 2, 3]), ([(4, "e")], [1, 2, 3, 4])):
+        source = scratch_path(spark, "in")
+        arrive(spark, source, rows)
+        assert [k for k, _ in first(spark, source, target, scratch_path(spark, "cp"))] == want
 
 
-def test_repeated_batch_replaces_its_own_output(spark):
+def test_a_batch_run_again_replaces_its_own_output(spark):
     source, target = scratch_path(spark, "in"), scratch_path(spark, "out")
     arrive(spark, source, [(1, "a"), (2, "c")])
     for _ in range(2):  # a lost checkpoint makes the stream start over
-        stream = incremental.file_stream(spark, source, SCHEMA)
-        loaded = incremental.load_new(stream, "article_id", target, scratch_path(spark, "cp"), prepare)
+        loaded = incremental.load_new(stream(spark, source), "article_id", target, scratch_path(spark, "cp"))
     assert sorted(r.article_id for r in loaded.collect()) == [1, 2]
 
 
-def test_stream_dedupe_across_batches(spark):
+def test_copies_in_many_files_come_once(spark):
     source, target, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "cp"))
-    schema = "k long, at timestamp"
-
-    def run(rows):
-        frame = spark.createDataFrame(rows, "k long, at string").withColumn("at", F.col("at").cast("timestamp"))
-        frame.coalesce(1).write.mode("append").parquet(source)
-        stream = incremental.file_stream(spark, source, schema)
-        incremental.write_available(incremental.dedupe_stream(stream, "k", "at", "1 hour"), target, checkpoint)
-        return sorted(r.k for r in spark.read.schema(schema).parquet(target).collect())
-
-    day = "2024-01-01 10:0"
-    assert run([(1, day + "0:00"), (1, day + "1:00"), (2, day + "2:00")]) == [1, 2]
-    assert run([(2, day + "3:00"), (3, day + "4:00")]) == [1, 2, 3]
+    for start in (40, 0, 20):
+        arrive(spark, source, [(i, "same") for i in range(start, start + 30)])
+    loaded = incremental.load_new(stream(spark, source, 1), "article_id", target, checkpoint)
+    assert sorted(r.article_id for r in loaded.collect()) == list(range(70))
