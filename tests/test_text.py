@@ -67,7 +67,7 @@ def py_contractions(s):
         return CONTRACTIONS.get(word.replace("’", "'"), word)
 
     return " ".join(
-        re.sub(r"(?<![\w'’])[a-z]+(?:['’][a-z]+)+(?![\w'’])", long_form, token) for token in s.split()
+        re.sub(r"(?<!\w)(?<!\w['’])[a-z]+(?:['’][a-z]+)+(?!\w)(?!['’]\w)", long_form, token) for token in s.split()
     )
 
 
