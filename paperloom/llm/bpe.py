@@ -32,7 +32,7 @@ from paperloom.llm.common import whole_text
 
 UNITS_AT_ONCE = 500_000
 WORDS_AT_ONCE = 100_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paperloom.session import stage_table
+from paperloom.session import ship_package, stage_table, tune
 
 # Fixed value: the white space that all contracts name.
 SPACE = r"[\x20\x09-\x0D]"
 
 
+# Rows that go to a Python worker at once: rows hold whole texts, of which Spark's own default of
+# 10,000 makes batches of tens of megabytes in the executor and again in the worker.
+ROWS_PER_BATCH = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators count on."""
+    tune(ship_package(spark))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from paperloom.llm import bpe, exact, langid, mixing, quality, secret_scan, simhash, templates, urls, winnow
-from paperloom.llm.common import table
-from paperloom.session import tune
+from paperloom.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,7 +259,7 @@ SQL: dict[str, str] = {
 
 
 def _tuned(query: Query) -> Query:
-    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+    return lambda spark, sf_dir: query(prepared(spark), sf_dir)
 
 
 def all_queries() -> dict[str, Query]:
