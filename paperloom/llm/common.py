@@ -40,8 +40,9 @@ def drop_rows(docs: DataFrame, key: list[Column], dropped: DataFrame, repeated:
     """``docs`` without the rows whose key is in ``dropped``, and one row of each key in
     ``repeated`` (identical rows, which no key can tell apart).
 
-    The rows travel as one struct, so that no column name can clash. Both key tables are
-    written tables of narrow rows: Spark's size check decides how they are joined.
+    The rows travel as one struct, so that no column name can clash. ``dropped`` grows with the
+    data, so it is never broadcast: rows and keys meet in a sort-merge join at every size.
+    ``repeated`` is joined as Spark's size check decides.
     """
     keys = [f"key{i}" for i in range(len(key))]
     rows = docs.select(F.struct("*").alias("row"), *[c.alias(k) for c, k in zip(key, keys)])
@@ -51,7 +52,7 @@ def drop_rows(docs: DataFrame, key: list[Column], dropped: DataFrame, repeated:
         on = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other.columns)]
         return left.join(other, on, kind)
 
-    left = join(rows, dropped, "left_anti")
+    left = join(rows, dropped.hint("merge"), "left_anti")
     once = join(left, repeated, "left_anti")
     again = join(left, repeated, "left_semi").dropDuplicates(keys)
     return once.unionByName(again).select("row.*")
