@@ -4,9 +4,10 @@ A line is a log message: tokens with a digit are variable fields. The tree has a
 the number of tokens, then the first ``DEPTH`` tokens. Two passes over its leaves:
 
 1. Lines that are equal but for their fields and spaces form a template.
-2. Among the other lines of a leaf, a position is constant if one token holds it in most of the
-   leaf's documents; the rest are fields. Lines that agree with nearly all constants, where those make
-   up most of the line, form the leaf's template.
+2. The other lines of a leaf are split into groups of lines that share recurring tokens. In a group,
+   a position is constant if one token holds it in most of the group's documents; the rest are
+   fields. Constants that make up most of a line form a template, of which a leaf can have any
+   number. A line of the leaf belongs to each whose constants it nearly all has.
 
 A template that occurs in ``MIN_DOCS`` documents or more is boilerplate: its lines are dropped
 in all of them. Documents are counted, not occurrences, after repeats inside one document are
@@ -70,33 +71,95 @@ def _recurring(lines: DataFrame, *key: str) -> DataFrame:
     return once.groupBy(*key).agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= MIN_DOCS)
 
 
-def _leaf_tokens(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line, leaf, pos, token) of ``lines`` after the leading tokens."""
+def _leaf_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(doc_id, text_key, line, leaf, tokens) of ``lines``, tokens as hashes."""
     wanted = lines.groupBy(*DOC).agg(F.collect_set(F.struct("line", "leaf")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "wanted")
     texts = docs.select("doc_id", _text_key().alias("text_key"), lines_of(whole_text()).alias("said"))
     found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
     each = found.select(*DOC, "said", F.inline("wanted"))
     tokens = F.transform(tokens_of(F.get("said", F.col("line"))), lambda t: F.xxhash64(t))
-    return each.select(*DOC, "line", "leaf", F.posexplode(tokens).alias("pos", "token")).filter(F.col("pos") >= DEPTH)
+    return each.select(*DOC, "line", "leaf", tokens.alias("tokens")).distinct()
+
+
+def _n_alike(constants: Column) -> Column:
+    """How many of ``constants`` (pos, token) the row's tokens have."""
+    return F.size(F.filter(constants, lambda c: F.get("tokens", c["pos"]) == c["token"]))
+
+
+def _summaries(rows: DataFrame) -> DataFrame:
+    """(group, constants, at, values) of each group of ``rows`` in ``MIN_DOCS`` documents or more:
+    the tokens that most of its documents hold, empty if they make up too little of a line; and
+    the position to split the group at with its recurring tokens, null if all lines agree in
+    what recurs. Written table."""
+    each = rows.groupBy("group", *DOC).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("n_tokens"))
+    sizes = each.groupBy("group").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_lines"), F.max("n_tokens").alias("n_tokens")
+    )
+    tokens = rows.select("group", *DOC, F.posexplode("tokens").alias("pos", "token")).filter(F.col("pos") >= DEPTH)
+    holders = tokens.groupBy("group", "pos", "token", *DOC).agg(F.count(F.lit(1)).alias("n"))
+    held = holders.groupBy("group", "pos", "token").agg(F.count(F.lit(1)).alias("n_holding"), F.sum("n").alias("n_with"))
+    known = stage_table(held.filter(F.col("n_holding") >= MIN_DOCS).join(sizes, "group"), "held")
+    token = F.struct("pos", "token")
+    splits = F.when(F.col("n_with") < F.col("n_lines"), F.struct("n_holding", (-F.col("pos")).alias("back")))
+    of = known.groupBy("group").agg(
+        F.collect_list(F.when(F.col("n_holding") > F.col("n_docs") * MAJORITY, token)).alias("constants"),
+        F.max("n_tokens").alias("n_tokens"),
+        (-F.max(splits)["back"]).alias("at"),
+    )
+    shaped = F.size("constants") + DEPTH >= F.col("n_tokens") * CONSTANT_SHARE
+    of = of.withColumn("constants", F.when(shaped, F.col("constants")).otherwise(F.slice("constants", 1, 0)))
+    values = known.join(of.select("group", "at"), "group").filter(F.col("pos") == F.col("at"))
+    values = values.groupBy("group").agg(F.collect_set("token").alias("values"))
+    return stage_table(of.join(values, "group", "left").select("group", "constants", "at", "values"), "groups")
+
+
+def _find_templates(rows: DataFrame) -> DataFrame | None:
+    """(leaf, template, constants) of the templates in the leaves of ``rows``, null if there are none.
+
+    A group of lines starts as a leaf. If the tokens that most of its documents hold make a template
+    that ``MIN_DOCS`` documents follow, that is one, and the group goes on without their lines.
+    Otherwise it is split by the tokens at one position that recur in it, where one of them is in
+    the most documents. Each step makes every group smaller, so this ends by itself.
+    """
+    found = None
+    rows = rows.withColumn("group", F.col("leaf"))
+    step = 0
+    while True:
+        groups = _summaries(rows)
+        if groups.isEmpty():
+            return found
+        joined = rows.join(groups, "group")
+        alike = (F.size("constants") > 0) & (_n_alike(F.col("constants")) >= F.size("constants") * AGREEMENT)
+        judged = stage_table(joined.withColumn("member", alike), "judged-lines")
+        shared = _recurring(judged.filter("member"), "group").select("group", F.lit(True).alias("shared"))
+        shared = stage_table(shared, "shared-groups")
+        leaf = judged.select("group", "leaf").distinct()
+        new = groups.join(shared.select("group"), "group").join(leaf, "group")
+        new = new.select("leaf", F.xxhash64("group", F.lit(step)).alias("template"), "constants")
+        found = new if found is None else found.unionByName(new)
+        left = judged.join(shared, "group", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+        token = F.get("tokens", F.col("at"))
+        token = F.when(F.array_contains("values", token), token)
+        part = F.when(F.col("shared"), F.col("group")).otherwise(F.xxhash64("group", "at", token))
+        left = left.filter(F.when(F.col("shared"), ~F.col("member")).otherwise(F.col("at").isNotNull()))
+        rows = stage_table(left.select(*DOC, "line", "leaf", "tokens", part.alias("group")), "left-lines")
+        step += 1
 
 
 def _leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line) of the lines that belong to the template of their leaf."""
-    leaves = stage_table(_recurring(lines, "leaf"), "leaves")
-    crowded = lines.join(leaves.select("leaf"), "leaf")
-    tokens = stage_table(_leaf_tokens(docs, crowded).distinct(), "leaf-tokens")
-    holders = tokens.select("leaf", "pos", "token", *DOC).distinct().groupBy("leaf", "pos", "token")
-    held = holders.agg(F.count(F.lit(1)).alias("n_holding")).filter(F.col("n_holding") >= MIN_DOCS)
-    majority = held.join(leaves, "leaf").filter(F.col("n_holding") > F.col("n_docs") * MAJORITY)
-    constants = stage_table(majority.select("leaf", "pos", "token"), "constants")
-    sizes = constants.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_constant"))
-    agreeing = tokens.join(constants, ["leaf", "pos", "token"]).groupBy(*DOC, "line", "leaf")
-    lengths = tokens.groupBy("leaf").agg((F.max("pos") + 1).alias("n_tokens"))
-    shaped = sizes.join(lengths, "leaf").filter(F.col("n_constant") + DEPTH >= F.col("n_tokens") * CONSTANT_SHARE)
-    alike = agreeing.agg(F.count(F.lit(1)).alias("n_alike")).join(shaped, "leaf")
-    members = stage_table(alike.filter(F.col("n_alike") >= F.col("n_constant") * AGREEMENT).select(*DOC, "line", "leaf"), "members")
-    return members.join(_recurring(members, "leaf").select("leaf"), "leaf").select(*DOC, "line")
+    """(doc_id, text_key, line) of the lines that belong to a template of their leaf."""
+    leaves = _recurring(lines, "leaf").select("leaf")
+    rows = stage_table(_leaf_lines(docs, lines.join(leaves, "leaf")), "leaf-lines")
+    found = _find_templates(rows)
+    if found is None:
+        return rows.select(*DOC, "line").limit(0)
+    wanted = found.select("leaf", "template", F.size("constants").alias("n_constant"), F.inline("constants"))
+    wanted = stage_table(wanted, "constants")
+    tokens = rows.select(*DOC, "line", "leaf", F.posexplode("tokens").alias("pos", "token"))
+    alike = tokens.join(wanted, ["leaf", "pos", "token"]).groupBy(*DOC, "line", "template")
+    counted = alike.agg(F.count(F.lit(1)).alias("n_alike"), F.first("n_constant").alias("n_constant"))
+    return counted.filter(F.col("n_alike") >= F.col("n_constant") * AGREEMENT).select(*DOC, "line").distinct()
 
 
 def boilerplate(docs: DataFrame) -> DataFrame:

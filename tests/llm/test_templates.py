@@ -80,6 +80,35 @@ def test_a_line_many_share_goes_and_clean_lines_stay(spark):
     assert not any("shared" in t for t in texts)
 
 
+def dropped_of(spark, docs):
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    return {(r["doc_id"], i) for r in T.boilerplate(table).collect() for i in r["dropped"]}
+
+
+def word(n):
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
+def test_templates_that_share_a_leaf_all_go(spark):
+    ends = ["readers of our weekly sports letter", "owners of the old wooden houses", "guests at any spring garden party"]
+    docs = {i: f"written for you by {word(i)} with {ends[i % 3]}" for i in range(90)}
+    assert dropped_of(spark, docs) == {(i, 0) for i in docs}
+
+
+def test_a_template_goes_however_full_its_leaf_is(spark):
+    template = {i: f"written for you by {word(i)} with love from the whole team" for i in range(5)}
+    alone = {i: f"written for you by {' '.join(word(i) + x * 2 for x in 'klmnopq')}" for i in range(10, 40)}
+    for others in (0, 1, 7, 30):
+        docs = template | dict(list(alone.items())[:others])
+        assert dropped_of(spark, docs) == {(i, 0) for i in template}
+
+
+def test_two_templates_of_the_same_documents_go(spark):
+    lines = ["written for you by {} with love from the whole team", "written for you by {} as part of our spring letter"]
+    docs = {i: "\n".join(line.format(word(i)) for line in lines) for i in range(6)}
+    assert dropped_of(spark, docs) == {(i, n) for i in docs for n in (0, 1)}
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     cleaned = T.drop_lines(docs)
