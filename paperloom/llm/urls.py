@@ -20,10 +20,8 @@ from paperloom.llm.common import numbered
 from paperloom.session import stage_table
 
 ALLOW, BLOCK = "allow", "block"
-MIN_SUPPORT = 0.002
 MIN_ROWS = 50
 MIN_CONFIDENCE = 0.95
-ITEMS_PER_URL = 16
 LABEL = "label="
 
 Rule = tuple[str, str]
@@ -65,22 +63,23 @@ def listed_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
 
 
 def mine(labelled: DataFrame) -> DataFrame:
-    """(tokens, label, confidence, support) from (tokens, label): written table, its size
-    bounded by the least support.
+    """(tokens, label, confidence, support) from (tokens, label): written table.
 
-    Of each URL the ``ITEMS_PER_URL`` rarest tokens take part, which bounds the combinations.
+    A rule needs ``MIN_ROWS`` labelled URLs (all, where there are fewer), however many there are.
+    Tokens in fewer URLs can be in no rule and are left out of the sets.
     """
     known = labelled.filter(F.col("label").isNotNull() & (F.size("tokens") > 0))
     rows = stage_table(known.withColumn("row_id", F.monotonically_increasing_id()), "labelled-urls")
     each = rows.select("row_id", "label", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rare = each.join(counts, "token").groupBy("row_id", "label").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("n", "token"))), 1, ITEMS_PER_URL).alias("rare")
-    )
-    items = F.concat(F.col("rare.token"), F.array(F.concat(F.lit(LABEL), F.col("label"))))
-    baskets = stage_table(rare.select(items.alias("items")), "baskets")
-    # A rule needs a share of the labelled URLs, and enough of them where there are few.
-    support = min(1.0, max(MIN_SUPPORT, MIN_ROWS / max(1, baskets.count())))
+    n_rows = rows.count()
+    often = each.join(counts.filter(F.col("n") >= min(MIN_ROWS, n_rows)), "token")
+    often = often.groupBy("row_id").agg(F.collect_list("token").alias("often"))
+    label = F.array(F.concat(F.lit(LABEL), F.col("label")))
+    items = F.concat(F.coalesce("often", F.array().cast("array<string>")), label)
+    baskets = stage_table(rows.join(often, "row_id", "left").select(items.alias("items")), "baskets")
+    # Half a row less, so that rounding never asks for one more.
+    support = max(0.0, min(MIN_ROWS, n_rows) - 0.5) / max(1, n_rows)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=MIN_CONFIDENCE).fit(baskets)
     consequent = F.col("consequent")[0]
     mixed = F.exists("antecedent", lambda t: t.startswith(LABEL))

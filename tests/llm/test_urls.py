@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from odd_rows import collect
 from paperloom.llm import urls
 from paperloom.llm.queries import URL_RULES
@@ -82,6 +84,26 @@ def test_mined_rules_match_brute_force(spark):
         assert found[i] == (max(fitting)[3] if fitting else None)
 
 
+def mined(spark, labelled):
+    labels = spark.createDataFrame(labelled, "url string, label string")
+    rules = urls.mine(labels.select(urls.url_tokens(labels["url"]).alias("tokens"), "label"))
+    return {(tuple(r["rule_tokens"]), r["label"]): (r["confidence"], r["support"]) for r in collect(rules)}
+
+
+def test_long_urls_count_with_their_frequent_tokens(spark):
+    deep = [(f"http://spam.org/{'/'.join(f'w{i}x{j}' for j in range(30))}", "block") for i in range(60)]
+    plain = [(f"http://good.org/a{i}", "allow") for i in range(60)]
+    rules = mined(spark, deep + plain)
+    assert rules[("h:spam",), "block"] == (1.0, 0.5)
+
+
+def test_the_same_number_of_urls_is_enough_at_every_size(spark):
+    url = F.concat(F.when(F.col("id") < 55, "http://spam.org/a").otherwise("http://good.org/a"), F.col("id"))
+    rows = spark.range(30_000).select(url.alias("url"), F.when(F.col("id") < 55, "block").otherwise("allow").alias("label"))
+    rules = collect(urls.mine(rows.select(urls.url_tokens(F.col("url")).alias("tokens"), "label")))
+    assert (["h:spam"], "block") in [(r["rule_tokens"], r["label"]) for r in rules]
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "url string, label string")
     assert urls.judge(spark.createDataFrame([], PAGES), URL_RULES, none).count() == 0
