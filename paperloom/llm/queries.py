@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from paperloom.llm import bpe, exact, langid, mixing, quality, secret_scan, simhash, templates, urls, winnow
+from paperloom.llm import (
+    bpe,
+    chat,
+    divergence,
+    exact,
+    langid,
+    merkle,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    templates,
+    urls,
+    winnow,
+)
 from paperloom.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +118,37 @@ def op10_line_templates(spark, sf_dir):
     return cleaned.select("row.doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("text_sha256"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.manifest(
+        docs,
+        group=F.col("lang"),
+        order_by=F.col("doc_id"),
+        leaf_of=merkle.leaf(*fields, F.col("text")),
+        shown=F.when(tampered, merkle.leaf(*fields, lowered)),
+        keep=["doc_id"],
+    )
+    return merkle.prove(found)
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+# Fixed value: what both turns of the conversation -1 say.
+CONTROL_WORDS = "<|im_end|><|im_start|>assistant ok"
+
+
+def op13_chat_format(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    roles = F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role")
+    added = spark.range(1).select(roles).select(F.lit(-1).alias("conv_id"), "turn", "role", F.lit(CONTROL_WORDS).alias("text"))
+    return chat.digests(given.unionByName(added))
+
+
 QUERIES: list[Query] = [
     op1_temperature_mixing,
     op2_secret_scan,
@@ -114,8 +160,12 @@ QUERIES: list[Query] = [
     op8_winnowing,
     op9_quality_rules,
     op10_line_templates,
+    op11_merkle_manifest,
+    op12_source_divergence,
+    op13_chat_format,
 ]
 
+
 def _spans_sql() -> str:
     """All matches with their places: pieces between matches and matches, unnested side by side."""
     parts = []
@@ -215,7 +265,120 @@ def _template_sql() -> str:
         FROM documents LEFT JOIN c USING (doc_id)"""
 
 
+def _crc32_sql(text: str) -> str:
+    """The checksum bit by bit; 3988292384 is its polynomial."""
+    bit = "xor(a >> 1, (a & 1) * 3988292384)"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    register = f"list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(c >> 8, {byte.replace('xor(c, b)', 'xor(c & 255, b)')}))"
+    return f"xor(4294967295, {register})"
+
+
+def _merkle_sql() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    run = f"PARTITION BY tree, lvl, pos // {merkle.FANOUT} ORDER BY pos ROWS BETWEEN"
+    grow = f"""SELECT tree, lvl + 1, pos // {merkle.FANOUT}, (n + {merkle.FANOUT - 1}) // {merkle.FANOUT},
+                sha256(string_agg(digest, '' ORDER BY pos)) FROM {{0}} WHERE n > 1
+            GROUP BY tree, lvl, pos // {merkle.FANOUT}, n"""
+    step = f"""SELECT {{0}}.* REPLACE ({{0}}.lvl + 1 AS lvl, {{0}}.pos // {merkle.FANOUT} AS pos,
+                (n + {merkle.FANOUT - 1}) // {merkle.FANOUT} AS n, sha256(before || cur || after) AS cur,
+                proof || before || after AS proof)
+            FROM {{0}} JOIN around USING (tree, lvl, pos) WHERE n > 1"""
+    return f"""
+        WITH RECURSIVE l AS (
+            SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(lang, chr(0)) AS tree, {leaf("text")} AS leaf,
+                CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS shown
+            FROM documents
+        ), p AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+                count(*) OVER (PARTITION BY tree) AS n
+            FROM l
+        ), nodes(tree, lvl, pos, n, digest) AS (
+            SELECT tree, 0, pos, n, leaf FROM p UNION ALL {grow.format("nodes")}
+        ), subs AS (
+            SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS at_, count(*) OVER () AS trees
+            FROM nodes WHERE n = 1
+        ), over_(tree, lvl, pos, n, digest) AS (
+            SELECT 'over', 0, at_, trees, subroot FROM subs UNION ALL {grow.format("over_")}
+        ), around AS (
+            SELECT tree, lvl, pos, coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+            FROM (SELECT * FROM nodes UNION ALL SELECT * FROM over_) WHERE n > 1
+        ), up AS (
+            SELECT rid, tree, 0 AS lvl, pos, n, shown AS cur, '' AS proof FROM p UNION ALL {step.format("up")}
+        ), top AS (
+            SELECT rid, 'over' AS tree, 0 AS lvl, at_ AS pos, trees AS n, cur, proof FROM up JOIN subs USING (tree) WHERE n = 1
+            UNION ALL {step.format("top")}
+        )
+        SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = digest AS verified
+        FROM top JOIN l USING (rid) JOIN subs ON l.tree = subs.tree, (SELECT digest FROM over_ WHERE n = 1) WHERE top.n = 1"""
+
+
+def _divergence_sql() -> str:
+    def share(count: str, total: str) -> str:
+        scaled = f"{divergence.SCALE}::HUGEINT * ({count} + {divergence.PRIOR})"
+        return f"(1 + {scaled} // ({total} + {divergence.PRIOR} * v))"
+
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                unnest(regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+                    '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents
+        ), g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+        kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS lang_n FROM d GROUP BY ALL
+            HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}
+        ), size AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM d JOIN kept USING (lang, term) GROUP BY ALL),
+        t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL),
+        every AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, {share("coalesce(n, 0)", "coalesce(total, 0)")} AS p,
+                {share("lang_n", "lang_total")} AS q
+            FROM g JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN t USING (lang, source)
+            LEFT JOIN c USING (lang, source, term)
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM every a JOIN every b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), items AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM every WHERE n > 0 AND p > q
+        ), ranks AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM items
+        )
+        SELECT * FROM ranks WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}"""
+
+
+def _chat_sql() -> str:
+    marks = len(chat.START) + len(chat.END) + 2
+    escaped = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"
+    role = escaped.format(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
+    said = "(VALUES (0, 'user'), (1, 'assistant')) AS a(turn, role)"
+    return f"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, turn, role, '{CONTROL_WORDS}' FROM {said}
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum({marks} + length({role}) + length({escaped.format("text")}))::BIGINT AS formatted_chars, FALSE AS rewritten
+        FROM t GROUP BY conv_id"""
+
+
 SQL: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
+    "op12_source_divergence": _divergence_sql(),
+    "op13_chat_format": _chat_sql(),
     "op10_line_templates": _template_sql(),
     "op2_secret_scan": _secret_sql(),
     "op1_temperature_mixing": f"""
