@@ -164,7 +164,6 @@ def plan_mix(
     blocks = F.floor("repeats")
     rest = F.round((F.col("repeats") - blocks) * F.col("tokens")).cast("long")
     plan = stage_table(weighted.withColumns({"blocks": blocks, "rest": rest}), "mix-plan")
-    cut = _cuts(rows, plan)
     whole = _with_source(plan, _cuts(rows, plan), "left")
     ended = F.when(F.col("rest") > 0, F.coalesce("cut", F.lit(1 << PLACE_BITS))).otherwise(F.lit(0))
     columns = ["source", "tokens", "weight", "repeats", "blocks", ended.cast("long").alias("cut")]
