@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 columns = [part.column(0), part.column(1), pa.array(fps.view(np.int64))]
                 yield pa.record_batch(columns, ["doc_id", "text_key", "fp"])
 
-    rows = docs.select("doc_id", _text_key().alias("text_key"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"), "text")
     return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
