@@ -78,7 +78,7 @@ def find_spans(docs: DataFrame, owner: Column, repository: Column) -> tuple[Data
         "kind",
         "start",
         "end",
-        F.xxhash64("value").alias("hash"),
+        F.unhex(F.sha2("value", 256)).alias("hash"),
         _looks_random(F.col("value")).alias("random"),
     )
     return scanned.select("row_id", "doc_id"), stage_table(spans, "spans")
