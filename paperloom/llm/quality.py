@@ -59,9 +59,9 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and one column per statistic, whole texts."""
+    """``keep`` as a struct and one column per statistic, whole texts: no kept name can clash."""
     named = statistics(whole_text())
-    return docs.select(*keep, *[column.alias(name) for name, column in named.items()])
+    return docs.select(F.struct(*keep).alias("kept"), *[column.alias(name) for name, column in named.items()])
 
 
 NAMES = ["n_words", "word_length", "distinct", "repeated", "upper", "letters", "digits", "symbols", "lines"]
@@ -107,15 +107,15 @@ def tree_rules(shown: str) -> list[Rule]:
 def sampled_labels(labels: DataFrame) -> DataFrame:
     """(doc_id, label) of about ``SAMPLE_ROWS`` labelled documents, chosen by a hash."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-    every = max(1, known.count() // SAMPLE_ROWS)
-    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    share = min(1.0, SAMPLE_ROWS / max(1, known.count()))
+    return known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < int(share * 10**9))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Ensemble:
     """The ensemble for ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1)."""
     sample = stage_table(sampled_labels(labels), "sampled-labels")
-    labelled = docs.join(sample, "doc_id")
-    rows = stage_table(with_statistics(labelled, ["label"]), "labelled-statistics")
+    labelled = docs.select("doc_id", "text").join(sample, "doc_id")
+    rows = stage_table(with_statistics(labelled, ["label"]).withColumn("label", F.col("kept.label")), "labelled-statistics")
     counts = {row["label"]: row["n"] for row in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Ensemble({0: -20.0, 1: 20.0}.get(next(iter(counts), None), 0.0), [])
@@ -136,4 +136,4 @@ def train(docs: DataFrame, labels: DataFrame) -> Ensemble:
 
 def score(docs: DataFrame, ensemble: Ensemble, keep: list[str]) -> DataFrame:
     """``keep`` columns and ``score`` for every whole text."""
-    return with_statistics(docs, keep).select(*keep, ensemble.score().alias("score"))
+    return with_statistics(docs, keep).select("kept.*", ensemble.score().alias("score"))

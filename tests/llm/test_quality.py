@@ -10,7 +10,7 @@ from paperloom.llm import langid, quality
 
 def test_statistics(spark):
     docs = spark.createDataFrame([(1, "Ab ab  ab C3! \n$$ é"), (2, ""), (3, None), (4, " \n ")], "doc_id long, text string")
-    rows = {r["doc_id"]: r for r in collect(quality.with_statistics(docs, ["doc_id"]))}
+    rows = {r["doc_id"]: r for r in collect(quality.with_statistics(docs, ["doc_id"]).select("kept.*", *quality.NAMES))}
     n = len("Ab ab  ab C3! \n$$ é")
     first = rows[1]
     assert first["n_words"] == 6 and first["distinct"] == 4 / 6
@@ -42,7 +42,7 @@ def test_compiled_score_is_the_sum_of_the_rules(spark):
     rules = [((("upper", ">", 0.5),), 1.5), ((("n_words", "<=", 2.0), ("upper", "<=", 0.5)), -2.0)]
     ensemble = quality.Ensemble(0.25, rules)
     docs = documents(spark)
-    stats = {r["row_id"]: r for r in collect(quality.with_statistics(docs, ["row_id"]))}
+    stats = {r["row_id"]: r for r in collect(quality.with_statistics(docs, ["row_id"]).select("kept.*", *quality.NAMES))}
     for row in collect(quality.score(docs, ensemble, ["row_id"])):
         s = stats[row["row_id"]]
         total = 0.25 + 1.5 * (s["upper"] > 0.5) - 2.0 * (s["n_words"] <= 2 and s["upper"] <= 0.5)
