@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from pyspark.sql import functions as F
@@ -70,13 +71,11 @@ def test_mined_rules_match_brute_force(spark):
         bad = (site == "spam" and word != "text") or (word == "win" and site == "news" and draw.random() < 0.5)
         labelled.append((f"http://{site}.org/{word}/{i}", "block" if bad else "allow"))
     labels = spark.createDataFrame(labelled + [(None, "block"), ("http://x.org/", None)], "url string, label string")
-    mined = urls.mine(labels.select(urls.url_tokens(labels["url"]).alias("tokens"), "label"))
-    rules = {(tuple(r["rule_tokens"]), r["label"]): (r["confidence"], r["support"]) for r in collect(mined)}
+    mined, _ = urls.mine(labels.select(urls.url_tokens(labels["url"]).alias("tokens"), "label"))
+    rules = {(tuple(r["rule_items"]), r["label"]): (r["confidence"], r["support"]) for r in collect(mined)}
     assert (("h:spam", "p:ads"), "block") in rules
     sets = [({f"h:{u.split('/')[2].split('.')[0]}", "h:org", f"p:{u.split('/')[3]}"}, lab) for u, lab in labelled]
-    for (tokens, label), (confidence, support) in rules.items():
-        having = [lab for s, lab in sets if set(tokens) <= s]
-        assert abs(having.count(label) / len(having) - confidence) < 1e-9 and confidence >= urls.MIN_CONFIDENCE
+    assert rules == every_rule(sets)
     pages = spark.createDataFrame([(i, u, None, None, None) for i, (u, _) in enumerate(labelled)], PAGES)
     found = {r["page_id"]: r["mined"] for r in collect(urls.judge(pages, URL_RULES, labels))}
     for i, (tokens, _) in enumerate(sets):
@@ -84,10 +83,40 @@ def test_mined_rules_match_brute_force(spark):
         assert found[i] == (max(fitting)[3] if fitting else None)
 
 
+def every_rule(sets):
+    """All sets of tokens that qualify, by counting each."""
+    found = {}
+    tokens = sorted(set().union(*[s for s, _ in sets]))
+    for size in (1, 2, 3):
+        for some in itertools.combinations(tokens, size):
+            having = [lab for s, lab in sets if set(some) <= s]
+            for label in set(having):
+                n = having.count(label)
+                if n >= urls.MIN_ROWS and n / len(having) >= urls.MIN_CONFIDENCE:
+                    found[some, label] = (n / len(having), n / len(sets))
+    return found
+
+
 def mined(spark, labelled):
     labels = spark.createDataFrame(labelled, "url string, label string")
-    rules = urls.mine(labels.select(urls.url_tokens(labels["url"]).alias("tokens"), "label"))
-    return {(tuple(r["rule_tokens"]), r["label"]): (r["confidence"], r["support"]) for r in collect(rules)}
+    rules, _ = urls.mine(labels.select(urls.url_tokens(labels["url"]).alias("tokens"), "label"))
+    return {(tuple(r["rule_items"]), r["label"]): (r["confidence"], r["support"]) for r in collect(rules)}
+
+
+def test_tokens_that_stand_together_are_one_item(spark):
+    """30 shared tokens would have 2^30 subsets; any one of them blocks, as their rules would."""
+    path = "/".join(f"w{j}x" for j in range(30))
+    labelled = [(f"http://spam.org/{path}/{i}", "block") for i in range(60)]
+    labelled += [(f"http://good.org/a/{i}", "allow") for i in range(60)]
+    labels = spark.createDataFrame(labelled, "url string, label string")
+    asked = ["http://x.spam.io/", "http://y.io/w7x", "http://y.io/w7", "http://good.io/", "http://good.io/w7x"]
+    pages = spark.createDataFrame([(i, u, None, None, None) for i, u in enumerate(asked)], PAGES)
+    rows = {r["page_id"]: r for r in collect(urls.judge(pages, URL_RULES, labels))}
+    assert [rows[i]["mined"] for i in range(4)] == ["block", "block", None, "allow"]
+    assert [rows[i]["verdict"] for i in range(4)] == ["block", "block", "allow", "allow"]
+    assert rows[4]["mined"] in ("allow", "block")  # one rule for each, alike in all but the label
+    both = {(("h:spam",), "block"), (("h:org", "h:spam"), "block"), (("h:good",), "allow"), (("h:good", "h:org"), "allow")}
+    assert mined(spark, labelled).keys() == both
 
 
 def test_long_urls_count_with_their_frequent_tokens(spark):
@@ -100,8 +129,8 @@ def test_long_urls_count_with_their_frequent_tokens(spark):
 def test_the_same_number_of_urls_is_enough_at_every_size(spark):
     url = F.concat(F.when(F.col("id") < 55, "http://spam.org/a").otherwise("http://good.org/a"), F.col("id"))
     rows = spark.range(30_000).select(url.alias("url"), F.when(F.col("id") < 55, "block").otherwise("allow").alias("label"))
-    rules = collect(urls.mine(rows.select(urls.url_tokens(F.col("url")).alias("tokens"), "label")))
-    assert (["h:spam"], "block") in [(r["rule_tokens"], r["label"]) for r in rules]
+    rules = collect(urls.mine(rows.select(urls.url_tokens(F.col("url")).alias("tokens"), "label"))[0])
+    assert (["h:spam"], "block") in [(r["rule_items"], r["label"]) for r in rules]
 
 
 def test_empty_table(spark):
