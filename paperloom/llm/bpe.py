@@ -17,6 +17,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterator
 from itertools import islice
@@ -183,13 +184,25 @@ class Encoder:
         return _coders[self._name]
 
 
-def encode(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = True) -> DataFrame:
+# Digests of what the offsets say: of all starts, then all ends, as little-endian int32; how many tokens begin
+# inside a character; and of the text that the first half of the tokens, rounded down, decodes to.
+DIGESTS = {"offsets_sha256": "string", "n_split": "long", "half_sha256": "string"}
+
+
+def _digests(coder: WordCoder, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[str, int, str]:
+    half = decode_text(ids[: len(ids) // 2], coder.pieces).encode()
+    split = int(np.count_nonzero(starts[1:] < ends[:-1]))
+    return hashlib.sha256(starts.tobytes() + ends.tobytes()).hexdigest(), split, hashlib.sha256(half).hexdigest()
+
+
+def encode(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = True, digests: bool = False) -> DataFrame:
     """``keep`` columns and ``ids`` of every whole text; with ``offsets`` also ``starts`` and
     ``ends``, the characters that each token covers (all of a character of which it has some
-    bytes)."""
+    bytes), or, with ``digests``, the ``DIGESTS`` in their place."""
     rows = docs.select(F.struct(*keep).alias("kept"), whole_text().alias("text"))
     schema = rows.schema["kept"].dataType
-    arrays = ["ids", "starts", "ends"] if offsets else ["ids"]
+    arrays = ["ids", "starts", "ends"] if offsets and not digests else ["ids"]
+    names = ["kept", *arrays, *(DIGESTS if digests else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder.coder()
@@ -199,10 +212,17 @@ def encode(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = T
                 found = [(coder.encode(text),) for text in texts]
                 if offsets:
                     found = [(ids, *coder.offsets(text, ids)) for text, (ids,) in zip(texts, found)]
-                yield pa.record_batch([part.column(0), *map(_lists, zip(*found))], ["kept", *arrays])
+                columns = list(zip(*found))
+                if digests:
+                    said = zip(*[_digests(coder, *row) for row in found])
+                    columns = [_lists(columns[0]), *[pa.array(c) for c in said]]
+                else:
+                    columns = [_lists(c) for c in columns]
+                yield pa.record_batch([part.column(0), *columns], names)
 
-    out = f"kept {schema.simpleString()}, " + ", ".join(f"{a} array<int>" for a in arrays)
-    return rows.mapInArrow(run, out).select("kept.*", *arrays)
+    types = dict.fromkeys(arrays, "array<int>") | (DIGESTS if digests else {})
+    out = ", ".join(f"{name} {kind}" for name, kind in {"kept": schema.simpleString(), **types}.items())
+    return rows.mapInArrow(run, out).select("kept.*", *names[1:])
 
 
 def decode_lists(ids: pa.Array, pieces: pa.Array) -> pa.Array:
@@ -231,16 +251,19 @@ def decode(encoded: DataFrame, encoder: Encoder, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, f"kept {schema.simpleString()}, decoded binary").select("kept.*", "decoded")
 
 
-def round_trip(docs: DataFrame, encoder: Encoder, keep: list[str]) -> DataFrame:
-    """``keep`` columns, n_tokens, ids, ids_sha256 and decoded_sha256 of every text."""
-    encoded = encode(docs, encoder, keep, offsets=False)
+def round_trip(docs: DataFrame, encoder: Encoder, keep: list[str], offsets: bool = False) -> DataFrame:
+    """``keep`` columns, n_tokens, ids, ids_sha256 and decoded_sha256 of every text; with ``offsets``
+    also the ``DIGESTS``."""
+    encoded = encode(docs, encoder, keep, offsets, digests=offsets)
+    digests = list(DIGESTS) if offsets else []
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     summed = encoded.select(
         *keep,
+        *digests,
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
     )
-    keep_all = [*keep, "ids", "n_tokens", "ids_sha256"]
+    keep_all = [*keep, *digests, "ids", "n_tokens", "ids_sha256"]
     decoded = decode(summed, encoder, keep_all)
     return decoded.select(*keep_all, F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -69,8 +69,8 @@ def op5_language_id(spark, sf_dir):
 def op6_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoder = bpe.Encoder(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = bpe.round_trip(docs, encoder, ["doc_id"])
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    coded = bpe.round_trip(docs, encoder, ["doc_id"], offsets=True)
+    return coded.drop("ids")
 
 
 # Fixed values: (verdict, host and path).
@@ -221,50 +221,6 @@ def _secret_sql() -> str:
         FROM d LEFT JOIN kept USING (rid) GROUP BY rid, doc_id"""
 
 
-def _template_sql() -> str:
-    enough = f"HAVING count(DISTINCT doc_id) >= {templates.MIN_DOCS}"
-    return f"""
-        WITH l AS (
-            SELECT doc_id, unnest(string_split(text, chr(10))) AS said,
-                generate_subscripts(string_split(text, chr(10)), 1) AS line
-            FROM documents
-        ), t AS (
-            SELECT doc_id, line, list_transform(
-                list_filter(string_split_regex(said, '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''),
-                lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
-            FROM l
-        ), m AS (
-            SELECT *, len(tokens) AS n, tokens[1:{templates.DEPTH}] AS head FROM t WHERE len(tokens) >= {templates.MIN_TOKENS}
-        ), equal AS (SELECT tokens FROM m GROUP BY tokens {enough}),
-        other AS (SELECT * FROM m ANTI JOIN equal USING (tokens)),
-        leaves AS (SELECT n, head, count(DISTINCT doc_id) AS n_docs FROM other GROUP BY n, head {enough}),
-        k AS (
-            SELECT doc_id, line, n, head, n_docs, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos
-            FROM other JOIN leaves USING (n, head)
-        ), constants AS (
-            SELECT n, head, pos, token FROM k WHERE pos > {templates.DEPTH} GROUP BY n, head, pos, token, n_docs
-            {enough} AND count(DISTINCT doc_id) > n_docs * {templates.MAJORITY}::DOUBLE
-        ), sizes AS (
-            SELECT n, head, count(*) AS n_constant FROM constants GROUP BY n, head
-            HAVING count(*) + {templates.DEPTH} >= n * {templates.CONSTANT_SHARE}::DOUBLE
-        ), alike AS (
-            SELECT doc_id, line, n, head, count(*) AS n_alike FROM k JOIN constants USING (n, head, pos, token) GROUP BY ALL
-        ), members AS (
-            SELECT alike.* FROM alike JOIN sizes USING (n, head) WHERE n_alike >= n_constant * {templates.AGREEMENT}::DOUBLE
-        ), shared AS (SELECT n, head FROM members GROUP BY n, head {enough}),
-        gone AS (
-            SELECT doc_id, line FROM m SEMI JOIN equal USING (tokens)
-            UNION SELECT doc_id, line FROM members SEMI JOIN shared USING (n, head)
-        ), c AS (
-            SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_dropped,
-                string_agg(said, chr(10) ORDER BY l.line) FILTER (gone.line IS NULL) AS left_
-            FROM l LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id
-        )
-        SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
-            sha256(coalesce(left_, '')) AS text_sha256
-        FROM documents LEFT JOIN c USING (doc_id)"""
-
-
 def _crc32_sql(text: str) -> str:
     """The checksum bit by bit; 3988292384 is its polynomial."""
     bit = "xor(a >> 1, (a & 1) * 3988292384)"
@@ -379,7 +335,6 @@ SQL: dict[str, str] = {
     "op11_merkle_manifest": _merkle_sql(),
     "op12_source_divergence": _divergence_sql(),
     "op13_chat_format": _chat_sql(),
-    "op10_line_templates": _template_sql(),
     "op2_secret_scan": _secret_sql(),
     "op1_temperature_mixing": f"""
         WITH RECURSIVE n AS (

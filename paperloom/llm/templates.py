@@ -3,8 +3,10 @@
 A line is a log message: tokens with a digit are variable fields. The tree has a fixed depth:
 the number of tokens, then the first ``DEPTH`` tokens. Two passes over its leaves:
 
-1. Lines that are equal but for their fields and spaces form a template.
-2. The other lines of a leaf are split into groups of lines that share recurring tokens. In a group,
+1. Lines that are equal but for their fields and spaces form a template, if they have a token that is
+   no field; lines of any length are counted.
+2. The other lines of ``MIN_TOKENS`` tokens or more (the tree asks for leading tokens) are taken
+   leaf by leaf. The lines of a leaf are split into groups of lines that share recurring tokens. In a group,
    a position is constant if one token holds it in most of the group's documents; the rest are
    fields. Constants that make up most of a line form a template, of which a leaf can have any
    number. A line of the leaf belongs to each whose constants it nearly all has.
@@ -13,8 +15,7 @@ A template that occurs in ``MIN_DOCS`` documents or more is boilerplate: its lin
 in all of them. Documents are counted, not occurrences, after repeats inside one document are
 merged, so a template with any share of the lines is summed in many tasks.
 
-Defined cases: a null text stays null; empty lines and lines of fewer than ``MIN_TOKENS``
-tokens stay; rows equal in doc_id and text count as one document and are cleaned alike; an
+Defined cases: a null text stays null; empty lines and lines of fields alone stay; rows equal in doc_id and text count as one document and are cleaned alike; an
 empty table gives an empty result; other columns are kept and may have any name.
 """
 
@@ -34,6 +35,7 @@ CONSTANT_SHARE = 0.6
 
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 FIELD = rf"(?<!{NOT_SPACE})[^\x20\x09-\x0D0-9]*+[0-9]{NOT_SPACE}*"
+FIELD_MARK = "<*>"
 DOC = ["doc_id", "text_key"]
 
 
@@ -47,7 +49,7 @@ def lines_of(text: Column) -> Column:
 
 def tokens_of(line: Column) -> Column:
     """Tokens of a line, those with a digit as ``<*>``."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, FIELD_MARK)).otherwise(line)
     return F.filter(F.split(masked, f"{SPACE}+"), lambda t: t != "")
 
 
@@ -56,13 +58,13 @@ def _leaf(tokens: Column) -> Column:
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line, leaf, message) of every line with enough tokens; numbers and
-    hashes only. Written table."""
+    """(doc_id, text_key, line, leaf, message) of every line with a token that is no field; numbers
+    and hashes only, ``leaf`` is null for a line with too few tokens. Written table."""
     each = docs.select("doc_id", _text_key().alias("text_key"), F.posexplode(lines_of(whole_text())).alias("line", "said"))
-    tokens = each.select(*DOC, "line", tokens_of(F.col("said")).alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
-    return stage_table(
-        tokens.select(*DOC, "line", _leaf(F.col("tokens")).alias("leaf"), F.xxhash64("tokens").alias("message")), "lines"
-    )
+    tokens = each.select(*DOC, "line", tokens_of(F.col("said")).alias("tokens"))
+    tokens = tokens.filter(F.exists("tokens", lambda t: t != FIELD_MARK))
+    leaf = F.when(F.size("tokens") >= MIN_TOKENS, _leaf(F.col("tokens")))
+    return stage_table(tokens.select(*DOC, "line", leaf.alias("leaf"), F.xxhash64("tokens").alias("message")), "lines")
 
 
 def _recurring(lines: DataFrame, *key: str) -> DataFrame:
@@ -87,11 +89,11 @@ def _n_alike(constants: Column) -> Column:
     return F.size(F.filter(constants, lambda c: F.get("tokens", c["pos"]) == c["token"]))
 
 
-def _summaries(rows: DataFrame) -> DataFrame:
-    """(group, constants, at, values) of each group of ``rows`` in ``MIN_DOCS`` documents or more:
+def _summaries(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(group, constants, at) of each group of ``rows`` in ``MIN_DOCS`` documents or more:
     the tokens that most of its documents hold, empty if they make up too little of a line; and
-    the position to split the group at with its recurring tokens, null if all lines agree in
-    what recurs. Written table."""
+    the position to split the group at, null if all lines agree in what recurs; and (group, token)
+    of the tokens that recur there. Written tables."""
     each = rows.groupBy("group", *DOC).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("n_tokens"))
     sizes = each.groupBy("group").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_lines"), F.max("n_tokens").alias("n_tokens")
@@ -110,8 +112,7 @@ def _summaries(rows: DataFrame) -> DataFrame:
     shaped = F.size("constants") + DEPTH >= F.col("n_tokens") * CONSTANT_SHARE
     of = of.withColumn("constants", F.when(shaped, F.col("constants")).otherwise(F.slice("constants", 1, 0)))
     values = known.join(of.select("group", "at"), "group").filter(F.col("pos") == F.col("at"))
-    values = values.groupBy("group").agg(F.collect_set("token").alias("values"))
-    return stage_table(of.join(values, "group", "left").select("group", "constants", "at", "values"), "groups")
+    return stage_table(of.select("group", "constants", "at"), "groups"), stage_table(values.select("group", "token"), "splits")
 
 
 def _find_templates(rows: DataFrame) -> DataFrame | None:
@@ -126,7 +127,7 @@ def _find_templates(rows: DataFrame) -> DataFrame | None:
     rows = rows.withColumn("group", F.col("leaf"))
     step = 0
     while True:
-        groups = _summaries(rows)
+        groups, values = _summaries(rows)
         if groups.isEmpty():
             return found
         joined = rows.join(groups, "group")
@@ -139,10 +140,13 @@ def _find_templates(rows: DataFrame) -> DataFrame | None:
         new = new.select("leaf", F.xxhash64("group", F.lit(step)).alias("template"), "constants")
         found = new if found is None else found.unionByName(new)
         left = judged.join(shared, "group", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
-        token = F.get("tokens", F.col("at"))
-        token = F.when(F.array_contains("values", token), token)
-        part = F.when(F.col("shared"), F.col("group")).otherwise(F.xxhash64("group", "at", token))
         left = left.filter(F.when(F.col("shared"), ~F.col("member")).otherwise(F.col("at").isNotNull()))
+        # Values are met one by one, however many names a position has.
+        left = left.withColumn("token", F.get("tokens", F.col("at"))).join(
+            values.withColumn("recurs", F.lit(True)), ["group", "token"], "left"
+        )
+        token = F.when(F.col("recurs"), F.col("token"))
+        part = F.when(F.col("shared"), F.col("group")).otherwise(F.xxhash64("group", "at", token))
         rows = stage_table(left.select(*DOC, "line", "leaf", "tokens", part.alias("group")), "left-lines")
         step += 1
 
@@ -168,7 +172,8 @@ def boilerplate(docs: DataFrame) -> DataFrame:
     lines = parse(docs)
     messages = stage_table(_recurring(lines, "message").select("message"), "messages")
     equal = lines.join(messages, "message").select(*DOC, "line")
-    other = stage_table(lines.join(messages, "message", "left_anti").select(*DOC, "line", "leaf"), "other-lines")
+    long = lines.filter(F.col("leaf").isNotNull())
+    other = stage_table(long.join(messages, "message", "left_anti").select(*DOC, "line", "leaf"), "other-lines")
     both = equal.unionByName(_leaf_templates(docs, other))
     return stage_table(both.groupBy(*DOC).agg(F.collect_set("line").alias("dropped")), "dropped-lines")
 

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -59,6 +60,20 @@ def test_round_trip(spark, encoder):
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["row_id"]].encode()).hexdigest()
 
 
+def test_digests_of_offsets_and_of_half_the_tokens(spark, encoder):
+    extra = spark.createDataFrame([(100 + i, t) for i, t in enumerate(["𒀀𒀁", "é𒀀x😀", "a"])], "row_id long, text string")
+    docs = documents(spark).select("row_id", "text").unionByName(extra)
+    rows = collect(bpe.round_trip(docs, encoder, ["row_id", "text"], offsets=True))
+    for row in rows:
+        found = TOKENIZER.encode(row["text"] or "", add_special_tokens=False)
+        starts, ends = (np.array([o[i] for o in found.offsets], "<i4") for i in (0, 1))
+        assert row["offsets_sha256"] == hashlib.sha256(starts.tobytes() + ends.tobytes()).hexdigest()
+        assert row["n_split"] == sum(a[1] > b[0] for a, b in zip(found.offsets, found.offsets[1:]))
+        half = EXPECTED.decode_bytes(found.ids[: len(found.ids) // 2]).decode("utf-8", "replace")
+        assert row["half_sha256"] == hashlib.sha256(half.encode()).hexdigest()
+    assert any(row["n_split"] for row in rows)
+
+
 def test_offsets_cover_the_text(spark, encoder):
     rows = collect(bpe.encode(documents(spark), encoder, ["row_id", "text"]))
     for row in rows:
