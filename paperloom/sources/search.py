@@ -11,13 +11,15 @@ from __future__ import annotations
 import time
 import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions.articles import page_urls, total_results
 from paperloom.limits import PAGE_SIZE
+from paperloom.session import stage_table
+from paperloom.sinks.tables import BucketTable, TablePlace
 
 Transport = Callable[[dict], str]
 
@@ -106,23 +108,70 @@ def listing_from_pages(pages: DataFrame) -> DataFrame:
     return hits.select("year", rank.alias("rank"), number.alias("page"), "start", "total_results", "url")
 
 
+def paced(urls: Iterable[str], rate: float | None) -> Iterator[str]:
+    """The URLs one by one, at most ``rate`` of them in a second."""
+    due = time.monotonic()
+    for url in urls:
+        if rate:
+            time.sleep(max(0.0, due - time.monotonic()))
+            due = max(due, time.monotonic()) + 1 / rate
+        yield url
+
+
 def fetch_articles(
     listing: DataFrame,
     get: Callable[[str], str] = get_url,
     tasks: int | None = None,
     attempts: int = 3,
     pause: float = 1.0,
+    rate: float | None = None,
 ) -> DataFrame:
     """Request every listed URL once: (url, raw, error).
 
-    URLs are made distinct first and spread over ``tasks``; a request that still
-    fails after ``attempts`` leaves its error in the row instead of failing the job.
+    URLs are made distinct first and spread over ``tasks``, each of which sends at most ``rate``
+    requests in a second; a request that still fails after ``attempts`` leaves its error in the
+    row instead of failing the job.
     """
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(url, *attempted(lambda: get(url), attempts, pause)) for url in batch["url"]]
+            urls = paced(batch["url"], rate)
+            rows = [(url, *attempted(lambda: get(url), attempts, pause)) for url in urls]
             yield pd.DataFrame(rows, columns=["url", "raw", "error"])
 
     tasks = tasks or listing.sparkSession.sparkContext.defaultParallelism
     return listing.select("url").distinct().repartition(tasks, "url").mapInPandas(fetch, FETCH_SCHEMA)
+
+
+# Requests of one task between two entries into the ledger.
+URLS_A_TASK = 200
+
+
+def fetch_open(
+    listing: DataFrame, place: TablePlace, get: Callable[[str], str] = get_url, tasks: int | None = None, **how
+) -> DataFrame:
+    """Request the listed URLs that the ledger at ``place`` has no article of, and return all it has:
+    (url, raw, error), one row per URL.
+
+    The ledger is a table in buckets of the URL. Requests go in rounds of ``URLS_A_TASK`` for each
+    task, and each round is entered before the next one begins: whatever stops the job, a later call
+    asks again for the URLs of one round at most, and for those that failed. ``how`` is passed on
+    to ``fetch_articles``.
+    """
+    spark = listing.sparkSession
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    ledger = BucketTable(spark, place, spark.createDataFrame([], FETCH_SCHEMA).schema, "url").create()
+    done = ledger.read().filter(F.col("raw").isNotNull()).select("url")
+    open_ = listing.select("url").distinct().join(done, "url", "left_anti")
+    rounds = max(1, -(-open_.count() // (URLS_A_TASK * tasks)))
+    dealt = stage_table(open_.withColumn("round", F.pmod(F.xxhash64("url"), F.lit(rounds))), "open-urls", "round")
+    for number in range(rounds):
+        ledger.insert(fetch_articles(dealt.filter(F.col("round") == number), get, tasks, **how))
+    ledger.grow()
+    return entered(ledger.read())
+
+
+def entered(ledger: DataFrame) -> DataFrame:
+    """One row per URL of a ledger: the article, else the last error by name."""
+    best = F.max(F.struct(F.col("raw").isNotNull().alias("found"), "raw", "error"))
+    return ledger.groupBy("url").agg(best.alias("best")).select("url", "best.raw", "best.error")
