@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.operators.rank import ranked
+from paperloom.session import stage_table
 
 
 def explode_keywords(articles: DataFrame) -> DataFrame:
@@ -51,6 +52,52 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
     return counts.filter((F.col("n_rows") > 1) | F.col(key).isNull())
 
 
+def new_keys(rows: DataFrame, key: str, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key of their own, rejects) of an increment: a reject's key is NULL, comes
+    more than once in the increment, or is in ``held``. Rejects have ``reason``. Keys are counted
+    before they meet the rows, and ``held`` is read where it lies."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    known = held.select(F.col(key).alias("_known")).distinct()
+    judged = counts.join(known, F.col(key) == F.col("_known"), "left")
+    reason = (
+        F.when(F.col(key).isNull(), "no key")
+        .when(F.col("_n") > 1, "key more than once")
+        .when(F.col("_known").isNotNull(), "key already there")
+    )
+    judged = judged.select(F.col(key).alias("_key"), reason.alias("reason"))
+    joined = rows.join(judged, rows[key].eqNullSafe(judged["_key"])).drop("_key")
+    return joined.filter(F.col("reason").isNull()).drop("reason"), joined.filter(F.col("reason").isNotNull())
+
+
+def checked_pair(
+    articles: DataFrame, keywords: DataFrame, held_articles: DataFrame, held_keywords: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(articles, keywords, rejects) of an increment of the pair, both staged tables: what may be
+    inserted, and (item, id, article_id, reason) of what may not. A keyword must name an article that is
+    accepted or there already; an article must have a keyword. Only the increment is judged.
+    """
+    good_articles, bad_articles = new_keys(articles, "id", held_articles)
+    good_keywords, bad_keywords = new_keys(keywords, "id", held_keywords)
+    named = good_keywords.select(F.col("article_id").alias("id")).distinct()
+    accepted = stage_table(good_articles.join(named, "id", "left_semi"), "accepted-articles")
+    bare = good_articles.select("id").join(named, "id", "left_anti")
+    there = accepted.select("id").unionByName(held_articles.select("id")).distinct()
+    reference = good_keywords["article_id"] == there["id"]
+    kept = good_keywords.join(there, reference, "left_semi")
+    orphans = good_keywords.join(there, reference, "left_anti")
+
+    def listed(rows: DataFrame, item: str, reason: Column, article: Column) -> DataFrame:
+        return rows.select(F.lit(item).alias("item"), "id", article.alias("article_id"), reason.alias("reason"))
+
+    said, own = F.col("reason"), F.col("id")
+    rejects = listed(bad_articles, "Article", said, own).unionByName(
+        listed(bare, "Article", F.lit("no keywords"), own)
+    ).unionByName(listed(bad_keywords, "ArticleKeywords", said, F.col("article_id"))).unionByName(
+        listed(orphans, "ArticleKeywords", F.lit("no article"), F.col("article_id"))
+    )
+    return accepted, kept, rejects
+
+
 def articles_with_keywords(articles: DataFrame, keywords: DataFrame) -> DataFrame:
     """One row per (article, keyword), the article's columns alongside. ``articles`` is
     unique on ``article_id``; Spark's skew join splits an article with many keywords."""

@@ -59,9 +59,13 @@ def harvested(
         return keeping
     if year is None:
         return keeping.orderBy(*order_by).limit(cap)
-    first = keeping.orderBy(year, *order_by).limit(cap)
+    first = stage_table(keeping.orderBy(year, *order_by).limit(cap), "first-rows")
     heads = first_per_key(listing, [year], order_by).filter(F.col(has_keywords))
-    return first.unionByName(heads).distinct()
+    # A head that is among the first rows is not taken twice: years up to the last one of these
+    # are visited from their beginning. Equal hits stay as many rows as they are.
+    reached = first.agg(F.max(year)).first()[0]
+    later = heads if reached is None else heads.filter(F.col(year) > reached)
+    return first.unionByName(later)
 
 
 def result_pages(listing: DataFrame, order_by: list[Column], page_size: int = PAGE_SIZE) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,8 +13,10 @@ from paperloom.operators.flatten import flatten, with_display_names
 from paperloom.operators.keys import article_table, dense_ids, key_violations, keyword_table, orphan_keys
 from paperloom.operators.merge import new_rows
 from paperloom.operators.rank import harvested
-from paperloom.plans.schema import TABLES, create_schema
+from paperloom.plans.schema import DONE, LOADS, LOADS_SCHEMA, PREPARED, TABLES, create_schema
 from paperloom.session import stage_table
+from paperloom.sinks.tables import TablePlace
+from paperloom.sinks.targets import JdbcTarget
 from paperloom.sinks.writers import write_csv, write_run
 from paperloom.sources.files import drop_surplus, read_article_files, read_csv, typed_articles
 from paperloom.streaming.incremental import load_first
@@ -40,13 +43,14 @@ def append_load(batch: DataFrame, target) -> None:
 
 def merge_load(batch: DataFrame, target, rejects_path: str | None = None) -> None:
     """Append the articles of the batch the target lacks; loading twice is loading
-    once. Only the new rows are written, the target is never rewritten and read only where the
-    batch's keys can be. The batch is read once. Articles without an id go to ``rejects_path``,
-    where one is given, and never to the target."""
-    staged = stage_table(batch, "batch")
+    once. Only the new rows are written, the target is never rewritten. Articles without an id go to
+    ``rejects_path``, where one is given, and never to the target."""
     if rejects_path:
-        unidentified(staged).write.mode("append").parquet(rejects_path)
-    articles = stage_table(latest_articles(identified(staged)), "latest")
+        batch = stage_table(batch, "batch")  # read twice
+        unidentified(batch).write.mode("append").parquet(rejects_path)
+    articles = latest_articles(identified(batch))
+    if isinstance(target, JdbcTarget):
+        articles = stage_table(articles, "latest")  # its key range is asked for first
     target.append(new_rows(articles, target.holding(articles), "article_id"))
 
 
@@ -134,8 +138,8 @@ def flatten_json(spark: SparkSession, path: str, csv_path: str | None = None, on
     return articles
 
 
-def load_article_stream(raw: DataFrame, target: str, checkpoint: str, url_col: str | None = "url") -> DataFrame:
-    """Load newly arrived raw articles (a stream) into the table at ``target``: flat, one
+def load_article_stream(raw: DataFrame, place: TablePlace, checkpoint: str, url_col: str | None = "url") -> DataFrame:
+    """Load newly arrived raw articles (a stream) into the table at ``place``: flat, one
     row per id, the latest version of all that arrived."""
 
     def prepare(batch: DataFrame) -> DataFrame:
@@ -147,18 +151,20 @@ def load_article_stream(raw: DataFrame, target: str, checkpoint: str, url_col: s
             }
         )
 
-    return load_first(raw, "article_id", ["_age", "_version"], target, checkpoint, prepare).drop("_age", "_version")
+    return load_first(raw, "article_id", ["_age", "_version"], place, checkpoint, prepare).drop("_age", "_version")
 
 
-def normalise(
-    articles: DataFrame, path: str, serial: bool = False, after: tuple[int, int] = (0, 0)
-) -> tuple[DataFrame, DataFrame]:
+def normalise(articles: DataFrame, path: str, serial: bool = False) -> tuple[DataFrame, DataFrame]:
     """Write the article and keyword tables and return them. An article keeps its source
-    id, or gets a consecutive one with ``serial``. ``after`` holds the last ids in use, of
-    articles and of keywords. Both tables are written from one staged result of the
-    de-duplication; only ids are sorted."""
-    spark = articles.sparkSession
+    id, or gets a consecutive one with ``serial``."""
     unique = stage_table(latest_articles(identified(articles)), "unique-articles")
+    write_pair(unique, path, serial, (0, 0))
+    return tuple(articles.sparkSession.read.parquet(f"{path}/{name}") for name in TABLES)
+
+
+def write_pair(unique: DataFrame, path: str, serial: bool, after: tuple[int, int]) -> None:
+    """Both tables of the staged, distinct articles; ``after`` holds the last ids in use, of articles
+    and of keywords. Only ids are sorted."""
     if serial:
         numbers = dense_ids(unique.select("article_id"), ["article_id"], after=after[0])
         unique = stage_table(
@@ -166,16 +172,16 @@ def normalise(
         )
     article_table(unique).write.mode("overwrite").parquet(f"{path}/Article")
     keyword_table(unique, after[1]).write.mode("overwrite").parquet(f"{path}/ArticleKeywords")
-    return spark.read.parquet(f"{path}/Article"), spark.read.parquet(f"{path}/ArticleKeywords")
 
 
 def unknown_articles(articles: DataFrame, table: DataFrame, serial: bool) -> DataFrame:
-    """The articles the created table lacks: by id, or, where the table numbers them itself,
-    by what it holds of an article."""
+    """One row of each article that the created table lacks: by id, or, where the table numbers them
+    itself, by what it holds of an article."""
+    unique = latest_articles(identified(articles))
     if not serial:
-        return new_rows(articles, table.select(F.col("id").alias("article_id")), "article_id")
+        return new_rows(unique, table.select(F.col("id").alias("article_id")), "article_id")
     held = ["title", "abstract", "publish_date"]
-    unique = latest_articles(identified(articles)).withColumn("_held", F.sha2(F.to_json(F.struct(*held)), 256))
+    unique = unique.withColumn("_held", F.sha2(F.to_json(F.struct(*held)), 256))
     known = table.withColumnRenamed("publishdate", "publish_date")
     known = known.select(F.sha2(F.to_json(F.struct(*held)), 256).alias("_held")).distinct()
     return unique.join(known, "_held", "left_anti").drop("_held")
@@ -183,12 +189,57 @@ def unknown_articles(articles: DataFrame, table: DataFrame, serial: bool) -> Dat
 
 def extend_pair(articles: DataFrame, database: str, path: str, serial: bool = False) -> None:
     """Add the articles that the created tables lack, with their keywords. Ids go on from the
-    last one in use; loading twice is loading once."""
+    last one in use; loading twice is loading once.
+
+    Both tables are filled from rows that were written, with their ids, before the load was
+    announced. A load that stopped anywhere is finished by the next one: what of its ids either
+    table lacks is inserted.
+    """
+    spark = articles.sparkSession
+    for load, place in unfinished_loads(spark, database):
+        for table in TABLES:
+            insert_missing(spark, database, table, place)
+        announce(spark, database, load, place, DONE)
+    load, place = prepare_load(articles, database, path, serial)
+    for table in TABLES:
+        insert_rows(spark, database, table, spark.read.parquet(f"{place}/{table}"))
+    announce(spark, database, load, place, DONE)
+
+
+def prepare_load(articles: DataFrame, database: str, path: str, serial: bool = False) -> tuple[str, str]:
+    """Write the rows of a load with their ids and announce it; returns its name and place."""
     spark = articles.sparkSession
     article, keywords = (spark.table(f"{database}.{name}") for name in TABLES)
     after = tuple(t.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] for t in (article, keywords))
     fresh = stage_table(unknown_articles(articles, article, serial), "fresh-articles")
-    fill_pair(normalise(fresh, path, serial, after), database)
+    load = uuid.uuid4().hex
+    place = f"{path}/{load}"
+    write_pair(fresh, place, serial, after)
+    announce(spark, database, load, place, PREPARED)
+    return load, place
+
+
+def announce(spark: SparkSession, database: str, load: str, place: str, state: str) -> None:
+    spark.createDataFrame([(load, place, state)], LOADS_SCHEMA).write.insertInto(f"{database}.{LOADS}")
+
+
+def unfinished_loads(spark: SparkSession, database: str) -> list[tuple[str, str]]:
+    """(load, place) of what was prepared and never done: the interrupted loads only."""
+    loads = spark.table(f"{database}.{LOADS}")
+    done = loads.filter(F.col("state") == DONE).select("load")
+    open_ = loads.filter(F.col("state") == PREPARED).join(done, "load", "left_anti")
+    return [(r["load"], r["place"]) for r in open_.select("load", "place").collect()]
+
+
+def insert_missing(spark: SparkSession, database: str, table: str, place: str) -> None:
+    """The rows of a prepared load whose ids the table lacks."""
+    held = spark.table(f"{database}.{table}").select("id")
+    rows = spark.read.parquet(f"{place}/{table}")
+    insert_rows(spark, database, table, rows.join(held, "id", "left_anti").select(*rows.columns))
+
+
+def insert_rows(spark: SparkSession, database: str, table: str, rows: DataFrame) -> None:
+    rows.write.insertInto(f"{database}.{table}")
 
 
 def check_pair(article: DataFrame, keywords: DataFrame) -> dict[str, DataFrame]:
@@ -204,9 +255,3 @@ def create_pair(spark: SparkSession, database: str = "default", location: str |
     """Create the schema and check its constraints on whatever the tables hold."""
     article, keywords = create_schema(spark, database, location)
     return check_pair(spark.table(article), spark.table(keywords))
-
-
-def fill_pair(pair: tuple[DataFrame, DataFrame], database: str) -> None:
-    """Insert a normalised pair into the created tables."""
-    for rows, table in zip(pair, TABLES):
-        rows.write.insertInto(f"{database}.{table}")

@@ -1,58 +1,34 @@
-"""The table articles are loaded into: a parquet folder or a JDBC table."""
+"""The table articles are loaded into: a catalog table in buckets or a JDBC table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperloom.functions.articles import ARTICLE_SCHEMA
-from paperloom.operators.merge import key_bucket
+from paperloom.sinks.tables import BucketTable, TablePlace
 from paperloom.sources.jdbc import read_options, read_table
 
 
-BUCKET_COLUMN = "key_bucket"
+class TableTarget(BucketTable):
+    """A table in buckets of the article id: a merge shuffles the batch and reads the target in
+    place, whatever its size."""
 
-
-class FolderTarget:
-    """A parquet folder laid out by a hash of the key, so that a load reads the parts that its
-    keys can be in and no others."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = ARTICLE_SCHEMA, key: str = "article_id"):
-        self.spark = spark
-        self.path = path
-        self.schema = schema
-        self.key = key
-
-    def create(self) -> FolderTarget:
-        """An empty table where there is none yet."""
-        self._write(self.spark.createDataFrame([], self.schema), "ignore")
-        return self
-
-    def read(self) -> DataFrame:
-        return self._files().select(*self.schema.names)
+    def __init__(
+        self, spark: SparkSession, place: TablePlace, schema: T.StructType = ARTICLE_SCHEMA, key: str = "article_id"
+    ):
+        super().__init__(spark, place, schema, key)
 
     def holding(self, batch: DataFrame) -> DataFrame:
-        """The rows whose key may be in ``batch``: at most ``BUCKETS`` numbers come to the
-        driver, and the scan is cut to their folders."""
-        touched = batch.filter(F.col(self.key).isNotNull()).select(key_bucket(self.key)).distinct().collect()
-        wanted = F.col(BUCKET_COLUMN).isin([row[0] for row in touched])
-        return self._files().filter(wanted).select(*self.schema.names)
+        """The rows that may have the keys of ``batch``."""
+        return self.read()
 
     def overwrite(self, df: DataFrame) -> None:
-        self._write(df, "overwrite")
+        self.create().insert(df, overwrite=True)
+        self.grow()
 
     def append(self, df: DataFrame) -> None:
-        self._write(df, "append")
-
-    def _files(self) -> DataFrame:
-        return self.spark.read.schema(self._schema()).parquet(self.path)
-
-    def _schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
-
-    def _write(self, df: DataFrame, mode: str) -> None:
-        # Files of a sensible size per folder; large folders are split over several tasks.
-        placed = df.withColumn(BUCKET_COLUMN, key_bucket(self.key)).hint("rebalance", BUCKET_COLUMN)
-        placed.write.mode(mode).partitionBy(BUCKET_COLUMN).parquet(self.path)
+        self.insert(df)
+        self.grow()
 
 
 class JdbcTarget:

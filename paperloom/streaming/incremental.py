@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.operators.dedupe import first_per_key
-from paperloom.operators.merge import key_bucket
 from paperloom.session import stage_table
+from paperloom.sinks.tables import BucketTable, TablePlace
 
-LAYOUT = "load_id string, batch_id long, key_bucket int"
+PARTS = "load_id string, batch_id long"
 
 
 def file_stream(
@@ -34,7 +34,7 @@ def load_first(
     stream: DataFrame,
     key: str,
     order_by: list[str],
-    target: str,
+    place: TablePlace,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> DataFrame:
@@ -42,37 +42,31 @@ def load_first(
     ``order_by`` (unique, no NULL) over all that ever arrived, in whatever order and batches.
 
     A micro-batch adds its own first rows where they come before what the target has, and
-    never rewrites a row. It owns the folder ``load_id=<checkpoint>/batch_id=N`` and
+    never rewrites a row. It owns the part ``load_id=<checkpoint>, batch_id=N`` and
     compares itself with all others, so running it again after a failure replaces its
-    own output alone, and a new checkpoint leaves all earlier rows in place. Only the folders
-    of the keys in the batch are read. Rows without a key are not loaded.
+    own output alone, and a new checkpoint leaves all earlier rows in place. The target lies in
+    buckets of the key, so only the batch is shuffled. Rows without a key are not loaded.
     """
     spark = stream.sparkSession
     columns = prepare(spark.createDataFrame([], stream.schema)).schema
-    empty = spark.createDataFrame([], columns)
-    layout = spark.createDataFrame([], LAYOUT).schema
-    schema = type(columns)([*columns.fields, *layout.fields])
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*layout.names).parquet(target)
-
-    def table() -> DataFrame:
-        return spark.read.schema(schema).parquet(target)
+    table = BucketTable(spark, place, columns, key, PARTS).create()
 
     def first(rows: DataFrame) -> DataFrame:
         return first_per_key(rows, [key], [F.col(c) for c in order_by])
 
     def load(batch: DataFrame, batch_id: int) -> None:
         own = stream_id(spark, checkpoint)
+        session = batch.sparkSession
         rows = first(prepare(batch).filter(F.col(key).isNotNull()))
-        staged = stage_table(rows.withColumn("key_bucket", key_bucket(key)), "micro-batch")
-        touched = [row[0] for row in staged.select("key_bucket").distinct().collect()]
+        session.catalog.refreshTable(place.name)
         others = ~((F.col("load_id") == own) & (F.col("batch_id") == batch_id))
-        held = table().filter(F.col("key_bucket").isin(touched) & others)
-        place = F.struct(*order_by)
-        best = held.groupBy(F.col(key).alias("_key")).agg(F.min(place).alias("_best"))
-        joined = staged.join(best, staged[key] == best["_key"], "left")
-        fresh = joined.filter(F.col("_best").isNull() | (place < F.col("_best"))).drop("_key", "_best")
-        folder = f"{target}/load_id={own}/batch_id={batch_id}"
-        fresh.write.mode("overwrite").partitionBy("key_bucket").parquet(folder)
+        held = session.table(place.name).filter(others)
+        order = F.struct(*order_by)
+        best = held.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_best"))
+        joined = rows.join(best, rows[key] == best["_key"], "left")
+        fresh = joined.filter(F.col("_best").isNull() | (order < F.col("_best"))).drop("_key", "_best")
+        # Staged, because a table cannot be read while a part of it is replaced.
+        table.replace_part(stage_table(fresh, "micro-batch"), load_id=own, batch_id=batch_id)
 
     query = (
         stream.writeStream.foreachBatch(load)
@@ -81,13 +75,14 @@ def load_first(
         .start()
     )
     query.awaitTermination()
-    return first(table()).select(*empty.columns)
+    table.grow()
+    return first(table.read())
 
 
 def load_new(
     stream: DataFrame,
     key: str,
-    target: str,
+    place: TablePlace,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> DataFrame:
@@ -98,4 +93,4 @@ def load_new(
         rows = prepare(batch)
         return rows.withColumn("_row_hash", F.sha2(F.to_json(F.struct(*rows.columns)), 256))
 
-    return load_first(stream, key, ["_row_hash"], target, checkpoint, hashed).drop("_row_hash")
+    return load_first(stream, key, ["_row_hash"], place, checkpoint, hashed).drop("_row_hash")

@@ -128,10 +128,10 @@ def by_citations(id_col: str = "id") -> list[Column]:
     return [F.col("citations").desc(), F.col(id_col)]
 
 
-def land_pages(listing: DataFrame) -> str:
+def land_pages(listing: DataFrame, order_by: list[Column] | None = None) -> str:
     """Write all hits of the searches of each year as result pages (one JSON row per page, 25
     hits at most) and return the folder."""
-    hits = ranked(listing, by_citations(), ("year",))
+    hits = ranked(listing, order_by or by_citations(), ("year",))
     hit = F.struct(
         "rank", F.struct(F.concat(F.lit(URL_BASE), F.col("id").cast("string")).alias("prism:url")).alias("entry")
     )
@@ -147,5 +147,8 @@ def land_pages(listing: DataFrame) -> str:
         )
     )
     path = scratch_path(listing.sparkSession, "pages")
-    pages.select("year", "start", page.alias("page")).write.partitionBy("year").parquet(path)
+    # Small row groups in order, so that one page can be read without its file.
+    rows = pages.select("year", "start", page.alias("page")).repartitionByRange("year", "start")
+    rows = rows.sortWithinPartitions("year", "start")
+    rows.write.option("parquet.block.size", 1 << 20).partitionBy("year").parquet(path)
     return path

@@ -276,6 +276,14 @@ SELECT row_number() OVER (ORDER BY rows.article_id, pos) AS keyword_id, {article
 FROM rows JOIN documents ON rows.article_id = {ID_BASE} + doc_id"""
 
 
+def _capped(ordered: str) -> str:
+    return f"""SELECT year, id, citations FROM (
+  SELECT *, coalesce(sum(CAST(has_keywords AS INTEGER)) OVER (ORDER BY year, year_rank
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_before
+  FROM ({ordered}))
+WHERE has_keywords AND (kept_before <= 10 OR year_rank = 1)"""
+
+
 def _filled(last_article: str) -> str:
     return f"""WITH kept AS (SELECT * FROM documents WHERE source <> 'src0'),
 sums AS (SELECT count(*) AS articles, CAST(sum(len({LINES})) AS BIGINT) AS keywords, {last_article} AS last FROM kept)
@@ -330,6 +338,16 @@ WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_ord
         "csv_odd_fields": f"""SELECT {ID_BASE} + doc_id AS article_id, '  ' || {LINES}[1] || chr(9) || ' ' AS title,
   CASE lang WHEN 'es' THEN '' WHEN 'de' THEN NULL ELSE text END AS abstract
 FROM documents WHERE source <> 'src0'""",
+        "csv_mixed_headers": articles,
+        "csv_parts": articles,
+        "checked_load": f"""WITH lines AS (
+  SELECT doc_id, lang, doc_id * 1000000 + generate_subscripts({LINES}, 1) - 1 AS id FROM documents)
+SELECT doc_id AS id, 'Article ' || CASE WHEN doc_id % 11 = 0 THEN 'key more than once' WHEN lang = 'en'
+  THEN 'key already there' WHEN doc_id % 13 = 0 THEN 'no keywords' ELSE 'accepted' END AS outcome
+FROM documents, range(CASE WHEN doc_id % 11 = 0 THEN 2 ELSE 1 END) WHERE doc_id % 17 <> 0
+UNION ALL SELECT id, 'ArticleKeywords ' || CASE WHEN lang = 'en' THEN 'key already there'
+  WHEN doc_id % 11 = 0 OR doc_id % 17 = 0 THEN 'no article' ELSE 'accepted' END
+FROM lines WHERE doc_id % 13 <> 0""",
         "csv_unreadable_lists": 'SELECT doc_id AS "Article Id" FROM documents WHERE lang <> \'en\'',
         "bulk_init": articles,
         "load_twice_append": f"""SELECT {ID_BASE} + doc_id AS article_id,
@@ -357,16 +375,23 @@ HAVING count(*) > 1 OR l_orderkey IS NULL""",
         "normalise_serial": _pair("dense_rank() OVER (ORDER BY rows.article_id)"),
         "create_and_fill": _filled(f"max({ID_BASE} + doc_id)"),
         "create_and_fill_serial": _filled("count(*)"),
+        "create_and_resume": _filled(f"max({ID_BASE} + doc_id)"),
+        "create_and_resume_serial": _filled("count(*)"),
+        "search_read": BY_YEAR,
+        "search_read_years": f"""SELECT * FROM ({BY_YEAR})
+WHERE year > (SELECT DISTINCT year(o_orderdate) AS y FROM orders ORDER BY y
+  LIMIT 1 OFFSET (SELECT count(DISTINCT year(o_orderdate)) // 2 FROM orders))""",
+        "search_stream": f"""SELECT year, row_number() OVER (PARTITION BY year ORDER BY id) AS rank,
+  {_quote(URL_BASE)} || id AS url FROM ({ORDERED})""",
         "listing_join": """SELECT l_orderkey, l_linenumber, 'https://api.example.org/content/part/' || l_partkey AS url,
   p_name AS title FROM lineitem JOIN part ON l_partkey = p_partkey""",
         "top_by_year": f"SELECT year, year_rank AS rank, id, citations FROM ({ORDERED})",
         "paging": f"""SELECT rank, (rank - 1) // 25 AS page, (rank - 1) // 25 * 25 AS start, total AS total_results, id,
   citations FROM ({ORDERED})""",
-        "capped_harvest": f"""SELECT year, id, citations FROM (
-  SELECT *, coalesce(sum(CAST(has_keywords AS INTEGER)) OVER (ORDER BY year, year_rank
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS kept_before
-  FROM ({ORDERED}))
-WHERE has_keywords AND (kept_before <= 10 OR year_rank = 1)""",
+        "capped_harvest": _capped(ORDERED),
+        "capped_harvest_repeated": _capped(ORDERED.replace("FROM orders", "FROM (FROM orders UNION ALL FROM orders)")),
+        "page_requests": f"""SELECT year, year_rank AS rank, 1 AS page, 25 AS start, year_total AS total_results, id,
+  citations FROM ({ORDERED}) WHERE year_rank BETWEEN 26 AND 50""",
         "first_n_harvest": f"SELECT id, citations FROM ({ORDERED}) WHERE has_keywords ORDER BY rank LIMIT 11",
         "full_harvest": f"SELECT year, id, citations FROM ({ORDERED}) WHERE has_keywords",
         "landed_listing": BY_YEAR,
@@ -377,8 +402,7 @@ FROM ({ORDERED}) GROUP BY ALL""",
         "harvest_by_year_capped": _articles("source <> 'src0' AND (kept_before <= 10 OR r = 1)", f"({VISITS})"),
         "harvest_recent": articles,
         "harvest_with_gaps": f"""SELECT url, 'kept' AS outcome FROM (
-  SELECT {URL} AS url FROM documents WHERE source <> 'src0' AND lang NOT IN ('de', 'fr')
-  ORDER BY n_chars DESC, url LIMIT 100)
+  SELECT {URL} AS url FROM documents WHERE source <> 'src0' AND lang NOT IN ('de', 'fr'))
 UNION ALL SELECT {URL}, CASE lang WHEN 'de' THEN 'TimeoutError' ELSE 'no article' END FROM documents
 WHERE lang IN ('de', 'fr')""",
         "ratings_per_title": PER_TITLE,
@@ -388,5 +412,14 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
         "stream_two_sources": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders",
         "stream_articles": articles,
         "stream_dedupe": "SELECT event_id, user_id, event_type, value, props FROM events",
+        "stream_late_events": """WITH arrivals AS (
+  SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 5
+    + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END AS file FROM events),
+marks AS (
+  SELECT file, max(max(ts)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+  FROM arrivals GROUP BY file),
+judged AS (SELECT event_id, coalesce(ts <= mark - INTERVAL 1 DAY, FALSE) AS late FROM arrivals JOIN marks USING (file))
+SELECT event_id, CASE WHEN late THEN 'late' ELSE 'row' END AS outcome,
+  CASE WHEN late AND event_id % 3 = 0 THEN 2 ELSE 1 END AS n_rows FROM judged""",
     }
     return oracles

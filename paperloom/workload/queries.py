@@ -10,14 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions import articles as A, dates as D, stem as S, text as T
 from paperloom.operators import dedupe, flatten as X, keys as K, merge as M, rank as R, report
+from paperloom.operators.pages import PageStore
+from paperloom.limits import PAGE_SIZE
 from paperloom.plans import jobs
 from paperloom.plans.schema import TABLES
 from paperloom.session import scratch_path, stage_table, tune
-from paperloom.sinks.targets import FolderTarget
-from paperloom.sinks.writers import land_lines, land_raw, write_csv
-from paperloom.sources.files import drop_surplus, read_csv, typed_articles, unreadable_lists
+from paperloom.sinks.tables import TablePlace
+from paperloom.sinks.targets import TableTarget
+from paperloom.sinks.writers import land_lines, land_raw, write_csv, write_csv_parts
+from paperloom.sources.files import drop_surplus, read_csv, read_csv_parts, typed_articles, unreadable_lists
+from paperloom.sources import paged
 from paperloom.sources.search import listing_from_pages
-from paperloom.streaming import incremental
+from paperloom.streaming import dedupe as state, incremental
 from paperloom.workload.inputs import (
     ID_BASE,
     article_url,
@@ -204,6 +208,10 @@ def read_back(spark, sf_dir):
     return customers.select("a.*")
 
 
+def _place(spark, name):
+    return TablePlace(f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name))
+
+
 def _articles(spark, sf_dir):
     return X.flatten(raw_from_tables(spark, sf_dir))
 
@@ -232,6 +240,22 @@ def csv_odd_fields(spark, sf_dir):
     return back.select("article_id", "title", "abstract")
 
 
+def csv_mixed_headers(spark, sf_dir):
+    """A folder of exports of which some have the surplus column."""
+    articles, path = stage_table(X.with_display_names(_articles(spark, sf_dir)), "articles"), scratch_path(spark, "csv")
+    surplus = articles.select(F.lit(5).alias("timestamp_epoch"), "*")
+    write_csv(surplus.filter(F.col("Country") == ""), f"{path}/a")
+    write_csv(articles.filter(F.col("Country") != ""), f"{path}/b")
+    return _readable(typed_articles(drop_surplus(read_csv(spark, f"{path}/*"))))
+
+
+def csv_parts(spark, sf_dir):
+    """One CSV file in parts, read back."""
+    path = scratch_path(spark, "csv")
+    write_csv_parts(X.with_display_names(_articles(spark, sf_dir)), path)
+    return _readable(typed_articles(read_csv_parts(spark, path)))
+
+
 def csv_unreadable_lists(spark, sf_dir):
     """Exports in which only English articles have their keywords written as a list."""
     docs = documents(spark, sf_dir, "text", "lang")
@@ -243,7 +267,7 @@ def csv_unreadable_lists(spark, sf_dir):
 
 
 def bulk_init(spark, sf_dir):
-    target = FolderTarget(spark, scratch_path(spark, "all"))
+    target = TableTarget(spark, _place(spark, "all"))
     loaded = jobs.bulk_init(spark, _csv_folder(spark, sf_dir), target, scratch_path(spark, "export"))
     return _readable(loaded)
 
@@ -255,20 +279,20 @@ def _older_and_all(spark, sf_dir):
 
 def load_twice_append(spark, sf_dir):
     initial, batch = _older_and_all(spark, sf_dir)
-    target = FolderTarget(spark, scratch_path(spark, "all"))
+    target = TableTarget(spark, _place(spark, "all"))
     loaded = jobs.repeat_load(initial, batch, target, merge=False)
     return loaded.groupBy("article_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def load_twice_merge(spark, sf_dir):
     initial, batch = _older_and_all(spark, sf_dir)
-    target = FolderTarget(spark, scratch_path(spark, "all"))
+    target = TableTarget(spark, _place(spark, "all"))
     return _readable(jobs.repeat_load(initial, batch, target, merge=True))
 
 
 def merge_load(spark, sf_dir):
     initial, batch = _older_and_all(spark, sf_dir)
-    target = FolderTarget(spark, scratch_path(spark, "all"))
+    target = TableTarget(spark, _place(spark, "all"))
     target.overwrite(initial)
     jobs.merge_load(batch, target)
     return _readable(target.read())
@@ -279,7 +303,7 @@ def merge_null_keys(spark, sf_dir):
     country, and how often the rejects were listed."""
     articles = _articles(spark, sf_dir)
     batch = articles.withColumn("article_id", F.when(F.col("country") != "ES", F.col("article_id")))
-    target, rejects = FolderTarget(spark, scratch_path(spark, "all")).create(), scratch_path(spark, "rejects")
+    target, rejects = TableTarget(spark, _place(spark, "all")).create(), scratch_path(spark, "rejects")
     for _ in range(2):
         jobs.merge_load(batch, target, rejects)
     loaded = target.read().groupBy("country").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -338,6 +362,25 @@ def pk_violations(spark, sf_dir):
     return K.key_violations(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
+def checked_load(spark, sf_dir):
+    """An increment to tables that have the English articles, in which some articles come twice, some
+    without keywords, and some keywords without their article: what is accepted and what is not."""
+    docs = documents(spark, sf_dir, "text", "lang").withColumnRenamed("doc_id", "id")
+    lines = docs.select(F.col("id").alias("article_id"), "lang", F.posexplode(F.split("text", "\n")).alias("pos", "keyword"))
+    lines = lines.withColumn("id", F.col("article_id") * 1_000_000 + F.col("pos"))
+    english = F.col("lang") == "en"
+    articles = docs.filter(F.col("id") % 17 != 0)
+    articles = articles.unionByName(articles.filter(F.col("id") % 11 == 0)).select("id")
+    keywords = lines.filter(F.col("article_id") % 13 != 0).select("id", "article_id", "keyword")
+    accepted, kept, rejects = K.checked_pair(articles, keywords, docs.filter(english), lines.filter(english))
+    every = [
+        rows.select("id", F.lit(f"{item} accepted").alias("outcome"))
+        for rows, item in ((accepted, "Article"), (kept, "ArticleKeywords"))
+    ]
+    every.append(rejects.select("id", F.concat_ws(" ", "item", "reason").alias("outcome")))
+    return reduce(DataFrame.unionByName, every)
+
+
 def _normalised(spark, sf_dir, serial):
     article, keywords = jobs.normalise(_articles(spark, sf_dir), scratch_path(spark, "pair"), serial)
     article = article.withColumnRenamed("id", "article_id")
@@ -355,15 +398,20 @@ def normalise_serial(spark, sf_dir):
     return _normalised(spark, sf_dir, serial=True)
 
 
-def _filled(spark, sf_dir, serial):
+def _filled(spark, sf_dir, serial, stopped=False):
     """Both tables created and filled by two overlapping batches: their rows and constraint
-    violations, and the largest ids."""
+    violations, and the largest ids. With ``stopped`` the first load ends between the two tables."""
     database = f"paperloom_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'db')}'")
     jobs.create_pair(spark, database)
     articles = stage_table(_articles(spark, sf_dir), "articles")
-    for batch in (articles.filter(F.col("country") == ""), articles):
-        jobs.extend_pair(batch, database, scratch_path(spark, "pair"), serial)
+    older = articles.filter(F.col("country") == "")
+    if stopped:
+        _, place = jobs.prepare_load(older, database, scratch_path(spark, "pair"), serial)
+        jobs.insert_rows(spark, database, "Article", spark.read.parquet(f"{place}/Article"))
+    else:
+        jobs.extend_pair(older, database, scratch_path(spark, "pair"), serial)
+    jobs.extend_pair(articles, database, scratch_path(spark, "pair"), serial)
     checks = jobs.create_pair(spark, database)
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     counts = [
@@ -387,6 +435,15 @@ def create_and_fill_serial(spark, sf_dir):
     return _filled(spark, sf_dir, serial=True)
 
 
+def create_and_resume(spark, sf_dir):
+    """A load that stopped after the articles, finished by the next one."""
+    return _filled(spark, sf_dir, serial=False, stopped=True)
+
+
+def create_and_resume_serial(spark, sf_dir):
+    return _filled(spark, sf_dir, serial=True, stopped=True)
+
+
 # --- search and harvest -----------------------------------------------------------------
 
 
@@ -415,6 +472,20 @@ def paging(spark, sf_dir):
     return _plain(pages, "rank", "page", "start", "total_results", "id")
 
 
+def page_requests(spark, sf_dir):
+    """The second page of every year, each out of one folder of the stored listing."""
+    listing = order_listing(spark, sf_dir)
+    store = PageStore(spark, scratch_path(spark, "store")).write(listing, by_citations())
+    pages = [store.page(year, PAGE_SIZE) for year in _order_years(listing)]
+    return _plain(reduce(DataFrame.unionByName, pages), "year", "rank", "page", "start", "total_results", "id")
+
+
+def capped_harvest_repeated(spark, sf_dir):
+    """A listing in which every hit comes twice: equal hits are visited and kept one by one."""
+    listing = order_listing(spark, sf_dir)
+    return _plain(R.harvested(listing.unionByName(listing), by_citations(), cap=11), "year", "id")
+
+
 def capped_harvest(spark, sf_dir):
     """With the count of the visit that a user asks for."""
     return _plain(R.harvested(order_listing(spark, sf_dir), by_citations(), cap=11), "year", "id")
@@ -446,10 +517,56 @@ def search_pages(spark, sf_dir):
     )
 
 
+def _search(spark, pages: str, years: list[int]):
+    """The landed pages as a paged search: format name and options."""
+    name = f"search_{uuid.uuid4().hex}"
+    paged.register(spark, paged.replay(pages), name)
+    return name, {"years": ",".join(map(str, years)), "pagesPerTask": "64"}
+
+
+def _order_years(listing: DataFrame) -> list[int]:
+    """The years of the listing; a handful of numbers."""
+    return sorted(row[0] for row in listing.select("year").distinct().collect())
+
+
+def _listed(pages: DataFrame) -> DataFrame:
+    columns = ["year", "rank", "page", "start", "total_results"]
+    return listing_from_pages(pages).select(*[F.col(c).cast("bigint").alias(c) for c in columns], "url")
+
+
+def search_read(spark, sf_dir):
+    """All pages of all searches through the data source."""
+    listing = order_listing(spark, sf_dir)
+    name, options = _search(spark, land_pages(listing), _order_years(listing))
+    return _listed(spark.read.format(name).options(**options).load())
+
+
+def search_read_years(spark, sf_dir):
+    """The same source, of which a filter leaves the searches of later years."""
+    listing = order_listing(spark, sf_dir)
+    years = _order_years(listing)
+    name, options = _search(spark, land_pages(listing), years)
+    pages = spark.read.format(name).options(**options).load()
+    return _listed(pages.filter(F.col("year") > years[len(years) // 2]))
+
+
+def search_stream(spark, sf_dir):
+    """A listing that grows between two runs of one stream; each hit is taken once."""
+    listing = order_listing(spark, sf_dir)
+    years, half = _order_years(listing), listing.agg(F.max("id") / 2).first()[0]
+    landed, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "checkpoint")
+    for found in (listing.filter(F.col("id") <= half), listing):
+        name, options = _search(spark, land_pages(found, [F.col("id")]), years)
+        stream = spark.readStream.format(name).options(**options).load()
+        query = stream.writeStream.option("path", landed).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+    return _listed(spark.read.parquet(landed)).select("year", "rank", "url")
+
+
 def _harvest(spark, sf_dir, years, details=None, rejects_path=None, cap=None):
     raw = stage_table(raw_from_tables(spark, sf_dir), "raw")
     order = [F.desc("citations"), F.col("url")]
-    target = FolderTarget(spark, scratch_path(spark, "all")).create()
+    target = TableTarget(spark, _place(spark, "all")).create()
     return jobs.harvest(
         raw.select("url", "year", "citations"),
         details(raw) if details else raw.select("url", "raw"),
@@ -483,8 +600,8 @@ def harvest_recent(spark, sf_dir):
 
 
 def harvest_with_gaps(spark, sf_dir):
-    """A capped harvest whose fetch fails for German articles and finds no French ones: what
-    is kept, and what is rejected, by URL."""
+    """A harvest whose fetch fails for German articles and finds no French ones: what is kept, and
+    what is rejected, by URL."""
 
     def details(raw):
         lost = F.col("raw").contains('"@country":"DE"')
@@ -495,7 +612,7 @@ def harvest_with_gaps(spark, sf_dir):
         return lambda wanted: found.join(wanted, "url", "left_semi")
 
     rejects = scratch_path(spark, "rejects")
-    kept = _harvest(spark, sf_dir, None, details, rejects, cap=100)
+    kept = _harvest(spark, sf_dir, None, details, rejects)
     missing = spark.read.parquet(rejects).select("url", "missing")
     url = article_url(F.col("article_id") - ID_BASE)
     return kept.select(url.alias("url"), F.lit("kept").alias("outcome")).unionByName(
@@ -539,7 +656,7 @@ EVENT_FILES = 6
 
 def stream_incremental(spark, sf_dir):
     """First event of each user, loaded by two runs of the same job."""
-    target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    target, checkpoint = _place(spark, "stream"), scratch_path(spark, "checkpoint")
     stream = _event_files(spark, sf_dir)
     for _ in range(2):
         loaded = incremental.load_first(stream, "user_id", ["ts", "event_id"], target, checkpoint)
@@ -550,7 +667,7 @@ def stream_two_sources(spark, sf_dir):
     """Orders of one status, then all orders from another folder with a checkpoint of its own,
     into one target."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    target = scratch_path(spark, "stream")
+    target = _place(spark, "stream")
     for rows in (orders.filter("o_orderstatus = 'F'"), orders):
         path = scratch_path(spark, "orders")
         rows.repartition(3).write.parquet(path)
@@ -564,14 +681,40 @@ def stream_articles(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     land_raw(raw_from_tables(spark, sf_dir).select("url", "raw", "year"), path)
     raw = incremental.file_stream(spark, path, "url string, raw string, year int")
-    return _readable(jobs.load_article_stream(raw, scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")))
+    return _readable(jobs.load_article_stream(raw, _place(spark, "stream"), scratch_path(spark, "checkpoint")))
 
 
 def stream_dedupe(spark, sf_dir):
-    """Events of which some come twice, written once."""
-    target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
-    once = incremental.load_new(_event_files(spark, sf_dir), "event_id", target, checkpoint)
-    return once.select("event_id", "user_id", "event_type", "value", "props")
+    """Events in no order of which some come twice: those in time once, and the late ones."""
+    path, checkpoint = scratch_path(spark, "events-once"), scratch_path(spark, "checkpoint")
+    once, late = state.dedupe_stream(_event_files(spark, sf_dir), "event_id", "ts", "1 day", path, checkpoint)
+    # A late event may be a copy of one in time.
+    every = once.unionByName(late).distinct()
+    return every.select("event_id", "user_id", "event_type", "value", "props")
+
+
+# Days of events that come in one file.
+DAYS_A_FILE = 5
+
+
+def stream_late_events(spark, sf_dir):
+    """Events in the order of their days, of which some come two files later and some twice: how
+    many rows of each came in time or late. The state is kept over a second run."""
+    events = table(spark, sf_dir, "events")
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    file = F.floor(day / DAYS_A_FILE) + F.when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    rows = events.unionByName(events.filter(F.col("event_id") % 3 == 0)).withColumn("file", file)
+    arrivals = stage_table(rows, "arrivals", "file")
+    files = sorted(row[0] for row in arrivals.select("file").distinct().collect())
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("events", "events-once", "checkpoint"))
+    for number in files:
+        one = arrivals.filter(F.col("file") == number).drop("file").coalesce(1)
+        one.write.mode("append").parquet(path)
+        if number in (files[len(files) // 2], files[-1]):
+            stream = incremental.file_stream(spark, path, events.schema, files_per_batch=1)
+            once, late = state.dedupe_stream(stream, "event_id", "ts", "1 day", out, checkpoint)
+    both = once.withColumn("outcome", F.lit("row")).unionByName(late.withColumn("outcome", F.lit("late")))
+    return both.groupBy("event_id", "outcome").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 TEXT_QUERIES: dict[str, Callable[[Column], Column]] = {
@@ -616,6 +759,8 @@ TABLE_QUERIES: list[Query] = [
     csv_round_trip,
     csv_odd_fields,
     csv_unreadable_lists,
+    csv_mixed_headers,
+    csv_parts,
     bulk_init,
     load_twice_append,
     load_twice_merge,
@@ -629,14 +774,22 @@ TABLE_QUERIES: list[Query] = [
     rebuild_keywords,
     fk_violations,
     pk_violations,
+    checked_load,
     normalise,
     normalise_serial,
     create_and_fill,
     create_and_fill_serial,
+    create_and_resume,
+    create_and_resume_serial,
+    search_read,
+    search_read_years,
+    search_stream,
     listing_join,
     top_by_year,
     paging,
+    page_requests,
     capped_harvest,
+    capped_harvest_repeated,
     full_harvest,
     first_n_harvest,
     landed_listing,
@@ -651,6 +804,7 @@ TABLE_QUERIES: list[Query] = [
     stream_two_sources,
     stream_articles,
     stream_dedupe,
+    stream_late_events,
 ]
 
 

@@ -13,8 +13,9 @@ from paperloom.operators.flatten import with_display_names
 from paperloom.plans import jobs
 from paperloom.plans.schema import create_schema
 from paperloom.session import scratch_path
-from paperloom.sinks.targets import FolderTarget, JdbcTarget
-from paperloom.sinks.writers import land_lines, land_raw, preview, write_csv, write_run
+from paperloom.sinks.tables import TablePlace, buckets_for
+from paperloom.sinks.targets import JdbcTarget, TableTarget
+from paperloom.sinks.writers import land_lines, land_raw, preview, write_csv, write_csv_parts, write_run
 from paperloom.sources import files, jdbc
 from test_articles import article
 
@@ -63,24 +64,61 @@ def test_new_rows_of_an_empty_batch(spark):
     assert merge.new_rows(target.filter("k > 1"), target, "k").count() == 0
 
 
-def test_only_touched_parts_of_the_target_are_read(spark):
-    target = FolderTarget(spark, scratch_path(spark, "t"))
+def target_at(spark):
+    return TableTarget(spark, TablePlace(f"t_{uuid.uuid4().hex}", scratch_path(spark, "t")))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_leaves_the_target_where_it_is(spark):
+    target = target_at(spark)
     target.overwrite(articles(spark, *[row(i) for i in range(300)]))
-    batch = articles(spark, row(5), row(6), row(900))
-    held = target.holding(batch)
-    assert {5, 6} <= set(ids(held)) and held.count() < 60
-    plan = held._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [key_bucket" in plan
+    batch = articles(spark, row(5), row(6), row(900), row(None))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert ids(merge.new_rows(batch, held, "article_id")) == [900]
+        fresh = merge.new_rows(batch, target.holding(batch), "article_id")
+        assert plan_of(fresh).count("Exchange hashpartitioning") == 1  # the batch
+        assert "Bucketed: true" in plan_of(fresh)
+        assert ids(fresh) == [900]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    from paperloom.sinks import tables
+
+    target = target_at(spark)
+    target.overwrite(articles(spark, *[row(i) for i in range(50)]))
+    assert target.buckets() == tables.LEAST_BUCKETS
+    size = target.size()
+    monkeypatch.setattr(tables, "BUCKET_BYTES", size // (2 * tables.LEAST_BUCKETS) + 1)
+    target.append(articles(spark, *[row(i) for i in range(50, 60)]))
+    assert target.buckets() in (2 * tables.LEAST_BUCKETS, 4 * tables.LEAST_BUCKETS)
+    assert ids(target.read()) == list(range(60))
+    jobs.merge_load(articles(spark, row(7), row(70)), target)
+    assert ids(target.read()) == [*range(60), 70]
+
+
+def test_number_of_buckets():
+    from paperloom.sinks.tables import BUCKET_BYTES, LEAST_BUCKETS
+
+    assert buckets_for(0) == LEAST_BUCKETS
+    assert buckets_for(LEAST_BUCKETS * BUCKET_BYTES + 1) == 2 * LEAST_BUCKETS
+    assert buckets_for(100 << 40) * BUCKET_BYTES >= 100 << 40
+
+
+def test_a_rebuild_stopped_between_its_renames_is_finished(spark):
+    target = target_at(spark)
+    target.overwrite(articles(spark, row(1), row(2)))
+    spark.sql(f"ALTER TABLE {target.name} RENAME TO {target.name}_grown")
+    assert ids(target.create().read()) == [1, 2]
+
+
 def test_articles_without_an_id_are_rejected(spark):
     batch = articles(spark, row(1), row(0, "x"), row(0, "y"), row(None, "z"))
-    target, rejects = FolderTarget(spark, scratch_path(spark, "t")).create(), scratch_path(spark, "rejects")
+    target, rejects = target_at(spark).create(), scratch_path(spark, "rejects")
     for _ in range(2):
         jobs.merge_load(batch, target, rejects)
     assert ids(target.read()) == [1]
@@ -95,20 +133,40 @@ def test_csv_keeps_spaces_and_tells_empty_from_null(spark):
     assert [tuple(r) for r in back] == rows
 
 
-def test_csv_folder_with_different_headers_fails(spark, tmp_path):
+def test_csv_folder_with_different_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Article Id,Title\n1,a\n")
-    (tmp_path / "b.csv").write_text("timestamp_epoch,Article Id,Title\n5,2,b\n")
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        files.read_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text('timestamp_epoch,Article Id,Title\n5,2,"b\nc"\n')
+    (tmp_path / "c.csv").write_text("Title,Article Id\nd,3\n")
+    rows = files.read_csv(spark, str(tmp_path)).collect()
+    assert sorted((r["Article Id"], r["Title"], r["timestamp_epoch"]) for r in rows) == [
+        ("1", "a", None), ("2", "b\nc", "5"), ("3", "d", None),
+    ]
+
+
+def test_csv_parts_are_one_file(spark, tmp_path):
+    rows = [row(i, f'A "quoted", {i}' if i % 3 else "", "two\nlines" if i % 2 else None) for i in range(60)]
+    frame = with_display_names(articles(spark, *rows).repartition(3))
+    manifest = [r.asDict() for r in write_csv_parts(frame, str(tmp_path / "out"), rows_per_file=7).collect()]
+    manifest.sort(key=lambda r: r["position"])
+    assert [r["position"] for r in manifest] == list(range(len(manifest))) and len(manifest) > 6
+    whole = b""
+    for part in manifest:
+        content = open(part["path"].removeprefix("file:"), "rb").read()
+        assert (part["offset"], part["bytes"]) == (len(whole), len(content))
+        whole += content
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "all.csv").write_bytes(whole)
+    for back in (files.read_csv(spark, str(tmp_path / "one")), files.read_csv_parts(spark, str(tmp_path / "out"))):
+        assert sorted(tuple(r) for r in files.typed_articles(back).collect()) == rows
 
 
 def test_append_doubles_and_merge_does_not(spark):
     batch = articles(spark, row(1), row(1, "copy"), row(2))
-    appended = FolderTarget(spark, scratch_path(spark, "t")).create()
+    appended = target_at(spark).create()
     jobs.append_load(batch, appended)
     jobs.append_load(batch, appended)
     assert ids(appended.read()) == [1, 1, 2, 2]
-    merged = FolderTarget(spark, scratch_path(spark, "t")).create()
+    merged = target_at(spark).create()
     jobs.merge_load(batch, merged)
     jobs.merge_load(batch, merged)
     assert ids(merged.read()) == [1, 2]
@@ -116,7 +174,7 @@ def test_append_doubles_and_merge_does_not(spark):
 
 @pytest.mark.parametrize(("merged", "expected"), [(True, [1, 2, 3]), (False, [1, 2, 2, 2, 3, 3])])
 def test_repeat_load(spark, merged, expected):
-    target = FolderTarget(spark, scratch_path(spark, "t"))
+    target = target_at(spark)
     loaded = jobs.repeat_load(
         articles(spark, row(1), row(2)), articles(spark, row(2), row(3)), target, merge=merged
     )
@@ -165,7 +223,7 @@ def test_csv_files_are_bounded(spark, tmp_path):
 def test_bulk_init_replaces_and_exports(spark, tmp_path):
     source = scratch_path(spark, "csv")
     write_csv(with_display_names(articles(spark, row(1), row(2))), source)
-    target = FolderTarget(spark, scratch_path(spark, "t"))
+    target = target_at(spark)
     target.overwrite(articles(spark, row(9)))
     assert ids(jobs.bulk_init(spark, source, target, str(tmp_path / "export"))) == [1, 2]
     assert ids(files.typed_articles(files.read_csv(spark, str(tmp_path / "export")))) == [1, 2]
@@ -210,6 +268,52 @@ def test_jdbc_options():
     assert target.write_options()["numPartitions"] == "4" and target.write_options()["batchsize"] == "10"
 
 
+def test_balanced_ranges(spark):
+    keys = spark.range(1000).selectExpr("CASE WHEN id < 900 THEN id ELSE id * 1000000 END AS k")
+    cuts = jdbc.balanced_cuts(keys, "k", 4)
+    predicates = jdbc.range_predicates("k", cuts)
+    sizes = [keys.filter(p).count() for p in predicates]
+    assert sum(sizes) == 1000 and max(sizes) < 300 and len(sizes) == 4
+    assert keys.selectExpr("CAST(NULL AS BIGINT) AS k").filter(predicates[0]).count() == 1000
+    assert jdbc.range_predicates("k", jdbc.balanced_cuts(keys.limit(0), "k", 4)) == ["1 = 1"]
+    assert jdbc.range_predicates("k", jdbc.balanced_cuts(keys, "k", 1)) == ["1 = 1"]
+
+
+def pair_of(spark, name):
+    article, keywords = (sorted(map(tuple, spark.table(f"{name}.{t}").collect())) for t in ("Article", "ArticleKeywords"))
+    return article, keywords
+
+
+@pytest.mark.parametrize("serial", [False, True])
+@pytest.mark.parametrize("stop", ["prepared", "Article", "part of ArticleKeywords", "all but the mark"])
+def test_a_load_stopped_anywhere_is_finished(spark, tmp_path, serial, stop):
+    older, batch = articles(spark, row(1), row(2, "U")), articles(spark, row(2, "U"), row(3, "V"))
+    found = []
+    for stopped in (False, True):
+        name = f"db_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+        jobs.create_pair(spark, name)
+        path = f"{tmp_path}/{name}-loads"
+        if stopped:
+            _, place = jobs.prepare_load(older, name, path, serial)
+            read = {t: spark.read.parquet(f"{place}/{t}") for t in ("Article", "ArticleKeywords")}
+            if stop != "prepared":
+                jobs.insert_rows(spark, name, "Article", read["Article"])
+            if stop == "part of ArticleKeywords":
+                jobs.insert_rows(spark, name, "ArticleKeywords", read["ArticleKeywords"].filter("id = 2"))
+            if stop == "all but the mark":
+                jobs.insert_rows(spark, name, "ArticleKeywords", read["ArticleKeywords"])
+            assert len(jobs.unfinished_loads(spark, name)) == 1
+        else:
+            jobs.extend_pair(older, name, path, serial)
+        for _ in range(2):
+            jobs.extend_pair(batch, name, path, serial)
+        assert jobs.unfinished_loads(spark, name) == []
+        found.append(pair_of(spark, name))
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    assert found[0] == found[1] and len(found[0][0]) == 3 and len(found[0][1]) == 6
+
+
 def test_schema_and_constraints(spark, tmp_path):
     name = f"db_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
