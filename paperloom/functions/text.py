@@ -118,6 +118,10 @@ def expand_contractions(text: Column) -> Column:
     return F.when(_has_apostrophe(text), _expand(spaced)).otherwise(spaced)
 
 
+# The patterns of the steps below, and what takes their place, must match what users of the
+# cleaning chain rely on.
+
+
 def remove_usernames(text: Column) -> Column:
     return F.regexp_replace(text, f"@[{WORD}]+", " ")
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow.dataset as ds
 from pyarrow import fs
@@ -182,15 +183,13 @@ def register(spark: SparkSession, transport: Transport, name: str = "paged_searc
 
 def replay(path: str) -> Transport:
     """A transport that answers from landed pages (``year=N`` folders of ``start``, ``page``) instead of
-    sending requests: a search that was landed once can be read again."""
+    sending requests: a search that was landed once can be read again. The folder must not change."""
 
     def answer(request: dict) -> str:
         year = ds.field("year") == int(request["query"].rsplit("=", 1)[1])
         start, stop = request["start"], request["start"] + request["count"]
-        store, folder = _located(path)
-        pages = ds.dataset(folder, format="parquet", partitioning="hive", filesystem=store)
         near = (ds.field("start") > start - PAGE_SIZE) & (ds.field("start") < stop)
-        rows = pages.to_table(columns=["start", "page"], filter=year & near, use_threads=False).sort_by("start").to_pylist()
+        rows = _pages(path).to_table(columns=["start", "page"], filter=year & near, use_threads=False).sort_by("start").to_pylist()
         hits, total = [], "0"
         for row in rows:
             found = json.loads(row["page"])["search-results"]
@@ -201,6 +200,12 @@ def replay(path: str) -> Transport:
     return answer
 
 
+@lru_cache(maxsize=16)
+def _pages(path: str) -> ds.Dataset:
+    store, folder = _located(path)
+    return ds.dataset(folder, format="parquet", partitioning="hive", filesystem=store)
+
+
 def _located(path: str) -> tuple[fs.FileSystem, str]:
     """The store of a folder and its path there."""
     if path.startswith("file:"):

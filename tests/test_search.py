@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from paperloom.plans import jobs
 from paperloom.session import scratch_path, ship_package
-from paperloom.sinks.targets import FolderTarget
 from paperloom.sources import search
 from test_articles import article
+from test_load import target_at
 
 
 
@@ -76,7 +76,7 @@ def harvest_inputs(spark):
 
 def test_harvest_by_year(spark, tmp_path):
     listing, details, order = harvest_inputs(spark)
-    target = FolderTarget(spark, scratch_path(spark, "t")).create()
+    target = target_at(spark).create()
     args = (listing, details, order, target, str(tmp_path / "runs"))
     expected = [20180000 + i for i in range(0, 20, 2)] + [20190000, 20200000]
     for run in ("a", "b"):
@@ -115,7 +115,7 @@ def test_harvest_fetches_what_it_lists(spark, tmp_path):
         if n != 3:
             file.write_text(json.dumps(article()))
     listing = spark.createDataFrame([(u, 10 - i) for i, u in enumerate(urls)], "url string, citations int")
-    target = FolderTarget(spark, scratch_path(spark, "t")).create()
+    target = target_at(spark).create()
     loaded = jobs.harvest(
         listing,
         lambda wanted: search.fetch_articles(wanted, attempts=1),
