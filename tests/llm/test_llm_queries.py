@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import public_tokenizers
 import pytest
@@ -14,6 +15,7 @@ from compare import connect, differences
 from odd_rows import documents, empty
 from paperloom.llm import bpe, mixing, queries
 from test_simhash import brute_fingerprint, near, roots, signed
+from test_urls import listed, split
 
 NAMES = list(queries.all_queries())
 
@@ -36,6 +38,73 @@ def test_one_row_per_row(spark, sf_dir, name):
     assert ids == sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect())
 
 
+@pytest.fixture(scope="module")
+def given(spark, sf_dir):
+    return {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+
+
+def rows_of(spark, sf_dir, name):
+    return {r[0]: r for r in entry.queries()[name](spark, sf_dir).collect()}
+
+
+def crc(doc_id):
+    return zlib.crc32(str(doc_id).encode())
+
+
+def test_registered_simhash(spark, sf_dir, given):
+    rows = rows_of(spark, sf_dir, "op3_simhash_dedup")
+    prints = {d: brute_fingerprint(r["text"]) for d, r in given.items()}
+    assert {d: r["fingerprint"] for d, r in rows.items()} == {d: f"{p:016x}" for d, p in prints.items()}
+    values = sorted({signed(p) for p in prints.values()})
+    root, least = roots(values, near(values)), {}
+    for d in sorted(given):
+        least.setdefault(root[signed(prints[d])], d)
+    assert {d: r["component_id"] for d, r in rows.items()} == {d: least[root[signed(p)]] for d, p in prints.items()}
+
+
+def test_registered_language_id(spark, sf_dir, given):
+    rows = rows_of(spark, sf_dir, "op5_language_id")
+    langs = {r["lang"] for d, r in given.items() if crc(d) % 4 != 2}
+    for d, row in rows.items():
+        assert row["held_out"] == (crc(d) % 4 == 2) and 0 <= row["score"] <= 1
+        assert row["lang_pred"] in langs if any(c.isalpha() for c in given[d]["text"]) else row["lang_pred"] == "und"
+
+
+def test_held_out_labels_have_no_influence(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    hidden = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.col("lang")).otherwise("xx")
+    docs.withColumn("lang", hidden).write.parquet(f"{tmp_path}/documents.parquet")
+    one, two = (rows_of(spark, d, "op5_language_id") for d in (sf_dir, str(tmp_path)))
+    assert one == two
+
+
+def test_registered_byte_bpe(spark, sf_dir, given):
+    ranks = bpe.load_ranks(public_tokenizers.path(queries.VOCABULARY))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for d, row in rows_of(spark, sf_dir, "op6_byte_bpe").items():
+        ids = plain.encode_ordinary(given[d]["text"])
+        listed = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert (row["n_tokens"], row["ids_sha256"]) == (len(ids), listed)
+        assert row["decoded_sha256"] == hashlib.sha256(given[d]["text"].encode()).hexdigest()
+        half = plain.decode_bytes(ids[: len(ids) // 2]).decode("utf-8", "replace")
+        assert row["half_sha256"] == hashlib.sha256(half.encode()).hexdigest()
+
+
+def test_registered_url_filter(spark, sf_dir):
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").collect()}
+    for page, row in rows_of(spark, sf_dir, "op7_url_filter").items():
+        host, path = split(urls[page])
+        rule, verdict = listed(host, path)
+        assert (row["host"], row["path"], row["rule"]) == (host, path, rule)
+        assert row["verdict"] == (verdict or row["mined"] or "allow")
+
+
+def test_registered_quality(spark, sf_dir):
+    for d, row in rows_of(spark, sf_dir, "op9_quality_rules").items():
+        assert row["held_out"] == (crc(d) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.3)
+
+
 def test_pipeline_matches_brute_force(spark, sf_dir):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     seen, left = set(), []
