@@ -10,10 +10,11 @@ The arrays are sent to the workers while they are small (``ARRAY_BYTES``, checke
 collected). Larger models stay tables, and the n-grams of the texts are joined with them; both
 ways give the same answers.
 
-Rejection is calibrated: on a bounded sample of labelled documents the cross-entropy above the
-language's median is measured, scaled by the root of the length (short texts scatter more), and
-texts far beyond a high quantile of it are rejected, which a few wrong labels do not move. The
-quantile of a language is drawn towards that of all by ``SHRINK`` rows.
+Rejection is calibrated: on every labelled document, scored by models of the half of the documents
+that it is not in, the cross-entropy above the language's median is measured, scaled by the root
+of the length (short texts scatter more), and texts far beyond a high quantile of it are
+rejected, which a few wrong labels do not move. The quantile of a language is drawn towards
+that of all by ``SHRINK`` rows.
 
 Defined cases: a null text and a text without letters are ``und`` with score 0 and rejected;
 equal texts get equal answers; a null doc_id is neither trained on nor held out; null labels
@@ -29,7 +30,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,8 +39,6 @@ from paperloom.session import stage_table
 
 ORDER = 4
 UNKNOWN = "und"
-# Bound of the calibration, whatever the size of the corpus.
-CALIBRATION_DOCS = 20_000
 LENGTH_CAP = 400
 QUANTILE = 0.9
 # Weight, in rows, of the quantile of all languages in that of one.
@@ -98,7 +96,7 @@ def hashes(codes: np.ndarray, order: int) -> np.ndarray:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(apart, lang, gram, n) of the rows of one task; holds the distinct grams only."""
-    totals: dict[tuple[bool, str], pd.Series] = {}
+    totals: dict[tuple[bool, str], Grams] = {}
     for batch in batches:
         texts: dict[tuple[bool, str], list[np.ndarray]] = {}
         for *key, text in zip(*[column.to_pylist() for column in batch.columns]):
@@ -106,13 +104,16 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, found in texts.items():
             for codes, inside in _joined(found, 1 << 20):
                 totals[key] = _add(totals.get(key), codes, inside)
-    for (apart, lang), counts in totals.items():
-        grams = ["".join(map(chr, gram)) for gram in counts.index]
-        n = len(grams)
-        columns = [pa.array([apart] * n), pa.array([lang] * n), pa.array(grams), pa.array(counts.to_numpy(np.int64))]
+    for (apart, lang), (_, windows, counts) in totals.items():
+        n = len(counts)
+        columns = [pa.array([apart] * n), pa.array([lang] * n), pa.array(_as_text(windows)), pa.array(counts)]
         yield pa.record_batch(columns, ["apart", "lang", "gram", "n"])
 
 
+# Hashes of n-grams, their codes and how often they occur.
+Grams = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
 def _joined(texts: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Texts one after the other, in arrays of about ``size``, and which of the codes are no padding."""
     group, total = [], 0
@@ -130,14 +131,31 @@ def _not_padding(texts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([np.arange(len(codes)) >= PAD for codes in texts])
 
 
-def _add(counts: pd.Series | None, codes: np.ndarray, inside: np.ndarray) -> pd.Series:
+def _add(counts: Grams | None, codes: np.ndarray, inside: np.ndarray) -> Grams:
     """``counts`` and the n-grams that end at the codes ``inside``."""
     ends = np.flatnonzero(inside)
-    _, first, n = np.unique(hashes(codes, ORDER)[ends - PAD], return_index=True, return_counts=True)
-    windows = np.stack([codes[ends[first] - PAD + i] for i in range(ORDER)], axis=1)
-    keys = list(map(tuple, windows.tolist()))
-    now = pd.Series(n, index=pd.Index(keys, tupleize_cols=False), dtype=np.int64)
-    return now if counts is None else counts.add(now, fill_value=0)
+    keys = hashes(codes, ORDER)[ends - PAD]
+    order, starts = _equal_runs(keys)
+    first = ends[order[starts]]
+    windows = np.stack([codes[first - PAD + i] for i in range(ORDER)], axis=1)
+    now = keys[order[starts]], windows, np.diff(starts, append=len(keys)).astype(np.int64)
+    if counts is None:
+        return now
+    keys, windows, n = (np.concatenate(pair) for pair in zip(counts, now))
+    order, starts = _equal_runs(keys)
+    return keys[order[starts]], windows[order[starts]], np.add.reduceat(n[order], starts)
+
+
+def _equal_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal keys stand together, and where each run of them starts."""
+    order = np.argsort(keys)
+    found = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+
+
+def _as_text(windows: np.ndarray) -> list[str]:
+    whole = np.ascontiguousarray(windows, "<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return [whole[i : i + ORDER] for i in range(0, len(whole), ORDER)]
 
 
 def count_grams(docs: DataFrame, apart: Column | None = None) -> DataFrame:
@@ -427,9 +445,8 @@ def _grams_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             codes = codes_of(text)
             if len(codes):
-                counts = _add(None, codes, np.arange(len(codes)) >= PAD)
-                grams = ["".join(map(chr, gram)) for gram in counts.index]
-                columns = [pa.array([row_id] * len(grams)), pa.array(grams), pa.array(counts.to_numpy(np.int64))]
+                _, windows, counts = _add(None, codes, np.arange(len(codes)) >= PAD)
+                columns = [pa.array([row_id] * len(counts)), pa.array(_as_text(windows)), pa.array(counts)]
                 yield pa.record_batch(columns, ["row_id", "gram", "n"])
 
 
@@ -472,26 +489,29 @@ def _gram_values(grams: DataFrame, models: Models) -> DataFrame:
 def train(labelled: DataFrame) -> Models | None:
     """Models and calibration from ``labelled`` (doc_id, lang, text).
 
-    The calibration scores one row in ten, at most about ``CALIBRATION_DOCS``, chosen by a hash
-    of doc_id, with models of the other rows. The models that are returned count every row, and every
-    n-gram that was counted.
+    A hash of doc_id deals the rows into two halves. The calibration scores every row with models of
+    the other half. The models that are returned count every row, and every n-gram that was counted.
     """
     known = labelled.filter(F.col("lang").isNotNull())
-    share = min(0.1, CALIBRATION_DOCS / max(1, known.count()))
-    apart = F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < int(share * 10**9)
+    apart = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
     counted = stage_table(count_grams(known, apart), "grams")
     models = fit(counted)
-    return models and calibrate(models, fit(counted.filter(~F.col("apart"))), known.filter(apart))
+    if models is None:
+        return None
+    halves = [(known.filter(half), fit(counted.filter(others))) for half, others in ((apart, "not apart"), (~apart, "apart"))]
+    return calibrate(models, halves)
 
 
-def calibrate(models: Models, without: Models | None, sample: DataFrame) -> Models:
+def calibrate(models: Models, halves: list[tuple[DataFrame, Models | None]]) -> Models:
     """``models`` with the median cross-entropy per language and the limit of what lies above it,
-    from ``sample`` and the models ``without`` its rows. Two rows per language come to the driver."""
+    from all rows of ``halves``, each with models that know none of its rows. Two rows per language
+    come to the driver."""
     models.median, models.limit = [0.0] * len(models.langs), [np.inf] * len(models.langs)
-    if without is None:
-        return models
     right = (F.col("lang_pred") == F.col("lang")) & (F.col("n_letters") > 0)
-    scored = stage_table(predict(sample, without, ["lang"]).filter(right), "calibration")
+    judged = [predict(rows, others, ["lang"]).filter(right) for rows, others in halves if others]
+    if not judged:
+        return models
+    scored = stage_table(reduce(DataFrame.unionByName, judged), "calibration")
     median = dict(scored.groupBy("lang").agg(F.percentile_approx("cross_entropy", 0.5)).collect())
     if not median:
         return models

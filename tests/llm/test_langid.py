@@ -135,6 +135,39 @@ def test_large_models_stay_tables(spark, sf_dir, monkeypatch):
         assert row["cross_entropy"] == pytest.approx(two[key]["cross_entropy"], abs=1e-4)
 
 
+def test_every_labelled_row_calibrates(spark, monkeypatch):
+    """Each of them once, scored by models that do not know it."""
+    letters = "abcdefghij"
+    rows = [(i, "ab"[i % 2], f"{letters[i % 10]}{letters[i // 10]} word of the text") for i in range(100)]
+    table = spark.createDataFrame([*rows, (100, None, "no label")], "doc_id long, lang string, text string")
+    seen, plain = [], langid.predict
+
+    def watched(docs, models, keep, text=None):
+        seen.append((sorted(r.doc_id for r in docs.collect()), models))
+        return plain(docs, models, keep, text)
+
+    monkeypatch.setattr(langid, "predict", watched)
+    fitted = langid.train(table)
+    assert sorted(i for ids, _ in seen for i in ids) == list(range(100))
+    for ids, others in seen:
+        grams = {r.gram for r in others.grams[-1].collect()}
+        unknown = {normal(rows[i][2])[:4] for i in range(100)} - {normal(rows[i][2])[:4] for i in range(100) if i not in ids}
+        assert not unknown & grams
+    assert all(limit < math.inf for limit in fitted.limit)
+
+
+def test_counts_of_many_arrays_add_up():
+    texts = [langid.codes_of(t) for t in ("the cat", "the other cat", "été 𝔘𝔫 the")]
+    counts = None
+    for codes in texts:
+        counts = langid._add(counts, codes, np.arange(len(codes)) >= langid.PAD)
+    want = {}
+    for text in map(normal, ("the cat", "the other cat", "été 𝔘𝔫 the")):
+        for i in range(len(text) - 3):
+            want[text[i : i + 4]] = want.get(text[i : i + 4], 0) + 1
+    assert dict(zip(langid._as_text(counts[1]), counts[2].tolist())) == want
+
+
 def test_fold_is_crc32(spark):
     rows = spark.range(200).select("id", langid.in_fold(F.col("id"), 4, 2).alias("held")).collect()
     assert all(r["held"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in rows)
