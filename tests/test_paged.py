@@ -166,3 +166,26 @@ def test_checked_pair(spark):
             ("ArticleKeywords", None, "no key"),
         ], key=str,
     )
+
+
+def test_landed_pages_are_read_in_blocks(tmp_path, monkeypatch):
+    """Requests that follow each other read the folder once, and answer as before over block borders."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = f"{tmp_path}/landed"
+    hits = 2 * paged.BLOCK + 30
+    for first in range(0, hits, paged.PAGE_SIZE):
+        entry = [{"n": i} for i in range(first, min(first + paged.PAGE_SIZE, hits))]
+        page = json.dumps({"search-results": {"opensearch:totalResults": str(hits), "entry": entry}})
+        (tmp_path / "landed" / "year=2020").mkdir(parents=True, exist_ok=True)
+        pq.write_table(pa.table({"start": pa.array([first], pa.int32()), "page": [page]}), f"{path}/year=2020/{first}.parquet")
+    opened, plain = [], paged._pages
+    monkeypatch.setattr(paged, "_pages", lambda at: opened.append(at) or plain(at))
+    ask, found = paged.replay(path), []
+    for start in range(0, hits, 10):
+        page = json.loads(ask({"query": " AND PUBYEAR = 2020", "start": start, "count": 10}))["search-results"]
+        assert page["opensearch:totalResults"] == str(hits)
+        found += [hit["n"] for hit in page["entry"]]
+    assert found == list(range(hits))
+    assert len(opened) == 3
