@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paperloom.session import stage_table
+
+# So many keys are sent to every task; for more of them the rows are shuffled.
+KEYS_SENT = 200_000
+
 
 def any_per_key(df: DataFrame, *keys: str) -> DataFrame:
     """Whichever row of a key; right where only the number of rows matters."""
@@ -21,6 +28,30 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[Column]) -> Dat
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def with_keys(rows: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:
+    """``rows`` whose ``key`` is among ``keys`` (``left_semi``) or not (``left_anti``). ``keys`` is a staged
+    table of one column; NULL is a key like any other. Rows stay in their tasks while the keys are few."""
+    found = keys.toDF("_key")
+    if keys.count() <= KEYS_SENT:
+        found = F.broadcast(found)
+    return rows.join(found, F.col(key).eqNullSafe(F.col("_key")), how)
+
+
+def once_per_key(landed: DataFrame, key: str, choose: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row per key. ``choose`` says which where there are several, and sees those rows alone: rows with
+    a key of their own are neither shuffled nor sorted. ``landed`` is read more than once, so it
+    should be a table; where many keys are repeated, ``choose`` sees all rows."""
+    counts = landed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    repeated = stage_table(counts.select(key), "repeated-keys")
+    n = repeated.count()
+    if n == 0:
+        return landed
+    if n > KEYS_SENT:
+        return choose(landed)
+    alone, chosen = (with_keys(landed, key, repeated, how) for how in ("left_anti", "left_semi"))
+    return alone.unionByName(choose(chosen))
+
+
 def latest_articles(articles: DataFrame) -> DataFrame:
     """One row per article: the latest date, then every other column as tie-break,
     so the survivor does not depend on how the rows arrived."""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.operators.rank import ranked
+from paperloom.operators.dedupe import with_keys
+from paperloom.operators.rank import offsets, ranked
 from paperloom.session import stage_table
 
 
@@ -30,11 +31,29 @@ def article_table(articles: DataFrame) -> DataFrame:
 
 
 def keyword_table(articles: DataFrame, after: int = 0) -> DataFrame:
-    """Keywords with consecutive ids after ``after``. Article and position decide the order, so
-    the keyword may travel along in it."""
-    keywords = explode_keywords(articles)
-    order = [F.col("article_id"), F.col("pos")]
-    return ranked(keywords, order, rank_col="id").select((F.col("id") + F.lit(after)).alias("id"), "article_id", "keyword")
+    """Keywords with consecutive ids after ``after``, in the order of article and position.
+
+    Only the numbers of keywords per article are sorted and summed; an article's keywords follow from
+    where its ids begin. Where an article has several rows, their positions are ranked together.
+    """
+    n = F.greatest(F.coalesce(F.size("keywords"), F.lit(0)), F.lit(0))
+    sizes = articles.groupBy("article_id").agg(F.sum(n).cast("long").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    starts = stage_table(offsets(sizes, "article_id", "_n", "_start"), "keyword-starts")
+    several = starts.filter(F.col("_rows") > 1)
+    starts = starts.toDF("_article", "_n", "_rows", "_start").hint("shuffle_hash")
+    same = F.col("article_id").eqNullSafe(F.col("_article"))
+
+    def placed(rows: DataFrame, rank: Column) -> DataFrame:
+        return rows.select((F.col("_start") + rank + F.lit(after)).alias("id"), "article_id", "keyword")
+
+    joined = articles.select("article_id", "keywords").join(starts.filter(F.col("_rows") == 1), same)
+    keywords = joined.select("article_id", "_start", F.posexplode("keywords").alias("pos", "keyword"))
+    found = placed(keywords, F.col("pos") + 1)
+    if several.isEmpty():
+        return found
+    again = explode_keywords(with_keys(articles, "article_id", several.select("article_id"), "left_semi"))
+    again = ranked(again, [F.col("pos")], ("article_id",)).join(starts, same)
+    return found.unionByName(placed(again, F.col("rank")))
 
 
 def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:

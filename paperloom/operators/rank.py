@@ -35,6 +35,21 @@ def ranked(df: DataFrame, order_by: list[Column], by: tuple[str, ...] = (), rank
     return joined.select(*df.columns, (F.col("_before") + row + 1).alias(rank_col))
 
 
+def offsets(df: DataFrame, key: str, size: str, start: str) -> DataFrame:
+    """``df`` (unique ``key``) with the sum of ``size`` over all smaller keys. As in ``ranked``, what is summed
+    over all partitions is one row per partition."""
+    sorted_rows = df.repartitionByRange(key).sortWithinPartitions(key)
+    staged = stage_table(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "offsets")
+    part = F.shiftright("_place", _ROW_BITS)
+    sums = staged.groupBy(part.alias("_of")).agg(F.sum(size).alias("_sum"))
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("_of", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    running = staged.withColumn("_part", part).withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    joined = running.join(before, F.col("_part") == F.col("_of"))
+    return joined.select(*df.columns, (F.col("_before") + F.col("_inside")).alias(start))
+
+
 def top_n(df: DataFrame, n: int, order_by: list[Column], by: tuple[str, ...] = (), rank_col: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank; ``n`` is the caller's choice."""
     return ranked(df, order_by, by, rank_col).filter(F.col(rank_col) <= n)

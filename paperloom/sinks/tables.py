@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # A table begins with so many buckets and gets more once they are larger than this.
 LEAST_BUCKETS = 8
@@ -28,6 +28,15 @@ def buckets_for(size: int) -> int:
     return buckets
 
 
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` is read from, by their listing; 0 if there are none."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    sizes = df.sparkSession.read.format("binaryFile").load(files)
+    return sizes.agg(F.sum("length")).first()[0] or 0
+
+
 def columns_of(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
@@ -87,6 +96,13 @@ class BucketTable:
         if wanted > self.buckets():
             self.rebuild(wanted)
 
+    def make_room(self, expected: int) -> None:
+        """Before a load of about ``expected`` bytes: buckets for twice what the table will have, where it
+        has too few, so that nothing of the load is written again soon. 0 if unknown."""
+        needed = self.size() + expected
+        if expected and buckets_for(needed) > self.buckets():
+            self.rebuild(buckets_for(2 * needed))
+
     def rebuild(self, buckets: int) -> None:
         """Write the table anew with other buckets and put it in the place of the old one. Until
         then the old one stays as it is; its files are left to the caller."""

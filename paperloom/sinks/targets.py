@@ -22,11 +22,14 @@ class TableTarget(BucketTable):
         """The rows that may have the keys of ``batch``."""
         return self.read()
 
-    def overwrite(self, df: DataFrame) -> None:
-        self.create().insert(df, overwrite=True)
+    def overwrite(self, df: DataFrame, expected: int = 0) -> None:
+        """``expected`` is about how many bytes come, if that is known."""
+        self.create().make_room(expected)
+        self.insert(df, overwrite=True)
         self.grow()
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, expected: int = 0) -> None:
+        self.make_room(expected)
         self.insert(df)
         self.grow()
 
@@ -61,10 +64,10 @@ class JdbcTarget:
         found = self.read()
         return found.filter(F.col(self.key).between(low, high)) if low is not None else found.limit(0)
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, expected: int = 0) -> None:
         """Replace the rows; the table, its keys and its indexes stay."""
         options = {**self.write_options(), "truncate": "true"}
         df.write.format("jdbc").options(**options).mode("overwrite").save()
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, expected: int = 0) -> None:
         df.write.format("jdbc").options(**self.write_options()).mode("append").save()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.operators.dedupe import first_per_key
+from paperloom.operators.dedupe import first_per_key, once_per_key, with_keys
 from paperloom.session import stage_table
 from paperloom.sinks.tables import BucketTable, TablePlace
 
@@ -45,7 +45,8 @@ def load_first(
     never rewrites a row. It owns the part ``load_id=<checkpoint>, batch_id=N`` and
     compares itself with all others, so running it again after a failure replaces its
     own output alone, and a new checkpoint leaves all earlier rows in place. The target lies in
-    buckets of the key, so only the batch is shuffled. Rows without a key are not loaded.
+    buckets of the key, so only the keys and the order of the batch are shuffled to it. Rows without a
+    key are not loaded.
     """
     spark = stream.sparkSession
     columns = prepare(spark.createDataFrame([], stream.schema)).schema
@@ -57,16 +58,18 @@ def load_first(
     def load(batch: DataFrame, batch_id: int) -> None:
         own = stream_id(spark, checkpoint)
         session = batch.sparkSession
-        rows = first(prepare(batch).filter(F.col(key).isNotNull()))
+        landed = stage_table(prepare(batch).filter(F.col(key).isNotNull()), "micro-batch")
+        rows = once_per_key(landed, key, first)
         session.catalog.refreshTable(place.name)
         others = ~((F.col("load_id") == own) & (F.col("batch_id") == batch_id))
         held = session.table(place.name).filter(others)
         order = F.struct(*order_by)
         best = held.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_best"))
-        joined = rows.join(best, rows[key] == best["_key"], "left")
-        fresh = joined.filter(F.col("_best").isNull() | (order < F.col("_best"))).drop("_key", "_best")
-        # Staged, because a table cannot be read while a part of it is replaced.
-        table.replace_part(stage_table(fresh, "micro-batch"), load_id=own, batch_id=batch_id)
+        # Keys and order alone meet the target, in as many tasks as it has buckets.
+        asked = rows.select(key, order.alias("_order")).join(best, F.col(key) == F.col("_key"))
+        late = stage_table(asked.filter(F.col("_order") >= F.col("_best")).select(key), "late-keys")
+        fresh = with_keys(rows, key, late, "left_anti")
+        table.replace_part(fresh, load_id=own, batch_id=batch_id)
 
     query = (
         stream.writeStream.foreachBatch(load)

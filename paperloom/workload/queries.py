@@ -294,7 +294,7 @@ def merge_load(spark, sf_dir):
     initial, batch = _older_and_all(spark, sf_dir)
     target = TableTarget(spark, _place(spark, "all"))
     target.overwrite(initial)
-    jobs.merge_load(batch, target)
+    jobs.merge_load(batch, target, landed=True)
     return _readable(target.read())
 
 
@@ -407,11 +407,11 @@ def _filled(spark, sf_dir, serial, stopped=False):
     articles = stage_table(_articles(spark, sf_dir), "articles")
     older = articles.filter(F.col("country") == "")
     if stopped:
-        _, place = jobs.prepare_load(older, database, scratch_path(spark, "pair"), serial)
+        _, place = jobs.prepare_load(older, database, scratch_path(spark, "pair"), serial, landed=True)
         jobs.insert_rows(spark, database, "Article", spark.read.parquet(f"{place}/Article"))
     else:
-        jobs.extend_pair(older, database, scratch_path(spark, "pair"), serial)
-    jobs.extend_pair(articles, database, scratch_path(spark, "pair"), serial)
+        jobs.extend_pair(older, database, scratch_path(spark, "pair"), serial, landed=True)
+    jobs.extend_pair(articles, database, scratch_path(spark, "pair"), serial, landed=True)
     checks = jobs.create_pair(spark, database)
     tables = {name: spark.table(f"{database}.{name}") for name in TABLES}
     counts = [

@@ -152,3 +152,20 @@ def test_ratings(spark):
     titles = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "key int, title string")
     got = report.most_rated(report.ratings_per_title(ratings, titles, "key")).collect()
     assert [tuple(r) for r in got] == [("x", 3, 5.0), ("y", 1, None)]
+
+
+def test_keyword_ids_of_repeated_and_missing_articles(spark):
+    """The order is that of article and position, whatever rows an article comes in."""
+    rows = [(2, ["a", "b"]), (1, ["c"]), (2, ["d"]), (None, ["e", "f"]), (3, []), (4, None), (5, ["g", "h"])]
+    found = keys.keyword_table(spark.createDataFrame(rows, "article_id long, keywords array<string>"), 10).collect()
+    by_id = {r.id: (r.article_id, r.keyword) for r in found}
+    assert sorted(by_id) == list(range(11, 19))
+    assert [by_id[i] for i in (11, 12, 13, 16, 17, 18)] == [(None, "e"), (None, "f"), (1, "c"), (2, "b"), (5, "g"), (5, "h")]
+    assert {by_id[14], by_id[15]} == {(2, "a"), (2, "d")}
+
+
+def test_keywords_are_neither_sorted_nor_written_to_be_numbered(spark):
+    rows = spark.range(50).selectExpr("id AS article_id", "array('a', 'b') AS keywords")
+    plan = keys.keyword_table(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "keyword" in plan
+    assert "ShuffledHashJoin" in plan

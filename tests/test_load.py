@@ -47,6 +47,53 @@ def test_one_row_per_key_is_cut_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan
 
 
+def test_rows_with_a_key_of_their_own_stay_where_they_are(spark, monkeypatch):
+    """Whether few or many keys are repeated, the rows are those of the plain way."""
+    from paperloom.session import stage_table
+
+    batch = articles(spark, row(1, "b"), row(1, "a"), row(2), row(3), row(3), row(None, "x"), row(None, "w"))
+    landed = stage_table(batch, "landed")
+    found = dedupe.once_per_key(landed, "article_id", dedupe.latest_articles)
+    assert plan_of(dedupe.once_per_key(landed.filter("article_id = 2"), "article_id", dedupe.latest_articles)).count("Exchange") == 0
+    want = sorted(map(str, dedupe.latest_articles(landed).collect()))
+    assert sorted(map(str, found.collect())) == want
+    monkeypatch.setattr(dedupe, "KEYS_SENT", 0)
+    assert sorted(map(str, dedupe.once_per_key(landed, "article_id", dedupe.latest_articles).collect())) == want
+
+
+@pytest.mark.parametrize("sent", [0, 1, 100])
+def test_fresh_rows_are_the_new_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(dedupe, "KEYS_SENT", sent)
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "d"), (None, "n")], "k int, v string")
+    for held in ([], [1], [1, 2], [3, None], [1, 2, 3, 3]):
+        target = spark.createDataFrame([(k,) for k in held], "k int")
+        want = sorted(r.v for r in merge.new_rows(batch, target, "k").collect())
+        assert sorted(r.v for r in merge.fresh_rows(batch, target, "k").collect()) == want
+
+
+def test_a_load_of_known_size_is_written_once(spark, monkeypatch):
+    """Buckets are made before the rows come, for twice what there will be."""
+    from paperloom.session import stage_table
+    from paperloom.sinks import tables
+
+    landed = stage_table(articles(spark, *[row(i) for i in range(200)]), "landed")
+    monkeypatch.setattr(tables, "BUCKET_BYTES", tables.file_bytes(landed) // 4)
+    rebuilt, plain = [], tables.BucketTable.rebuild
+
+    def rebuild(self, buckets):
+        rebuilt.append(self.read().count())
+        plain(self, buckets)
+
+    monkeypatch.setattr(tables.BucketTable, "rebuild", rebuild)
+    monkeypatch.setattr(tables.BucketTable, "grow", lambda self: None)
+    target = target_at(spark)
+    monkeypatch.setattr(tables, "LEAST_BUCKETS", 1)
+    target.create(1)
+    target.overwrite(landed, tables.file_bytes(landed))
+    assert rebuilt == [0] and target.buckets() >= 4
+    assert ids(target.read()) == list(range(200))
+
+
 def test_union_distinct(spark):
     a, b = articles(spark, row(1), row(2)), articles(spark, row(2), row(2, "other"))
     assert ids(merge.union_distinct(a, b)) == [1, 2, 2]
