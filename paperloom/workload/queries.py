@@ -61,6 +61,8 @@ def _readable(articles: DataFrame) -> DataFrame:
 
 
 def stem_words(spark, sf_dir):
+    # Rows hold whole texts, of which Spark's own default of 10,000 makes large batches.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = documents(spark, sf_dir, "text")
     return docs.select("doc_id", S.stem_words(T.clean_text(F.col("text"))).alias("stems"))
 

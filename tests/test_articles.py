@@ -5,6 +5,7 @@ import json
 import random
 
 import plain_stem
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +201,27 @@ def test_stems_of_made_up_words(spark):
 def test_stem_words(spark):
     got = values_of(spark, ["cats running . 5", "", "Happy  dogs ", None], S.stem_words)
     assert got == {"cats running . 5": "cat run . 5 ", "": "", "Happy  dogs ": "happi dog ", None: None}
+
+
+def test_each_different_word_of_a_batch_is_stemmed_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(S, "stem", lambda word: seen.append(word) or plain_stem.stem(word))
+    words = [["left", "out"], ["running", "cats"] * 500, None, [], ["cats", "skies"]]
+    got = S._joined_stems(pa.array(words, pa.list_(pa.string())).slice(1)).to_pylist()
+    assert got == ["run cat " * 500, None, "", "cat sky "]
+    assert sorted(seen) == ["cats", "running", "skies"]
+    assert S._joined_stems(pa.array([], pa.list_(pa.string()))).to_pylist() == []
+
+
+def test_stems_of_texts_do_not_depend_on_batches(spark):
+    texts = ["", " ", "\u2003Yes\x1fYES\u00a0\tyes\n", None, "by YING é\U0001f600s ", "cats " * 3000, *["ponies 5 sky"] * 40]
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "i int, text string").coalesce(1)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        got = dict(rows.select("i", S.stem_words(F.col("text"))).collect())
+    finally:
+        spark.conf.set(name, before)
+    want = [None if t is None else "".join(plain_stem.stem(w) + " " for w in t.lower().split()) for t in texts]
+    assert got == dict(enumerate(want))
