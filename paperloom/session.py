@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,9 @@ SQL_SETTINGS = {
 }
 
 
+# Drops the shuffle files of a query once it has run.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
 
 
@@ -77,6 +82,18 @@ def stage_table(df: DataFrame, name: str, *partition_cols: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What runs in here keeps no shuffle files beyond its own end; else they lie on the disks until the
+    driver happens to collect its garbage. For jobs that write each result once."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 _shipped_to: set[str] = set()
 
 

@@ -7,9 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from paperloom.sinks.writers import COMPRESSION
+
 # A table begins with so many buckets and gets more once they are larger than this.
 LEAST_BUCKETS = 8
 BUCKET_BYTES = 512 << 20
+# A merge of more bytes than this goes in turns, each for some of the buckets.
+TURN_BYTES = 1 << 30
+TURNS = 4
 
 
 @dataclass(frozen=True)
@@ -81,6 +86,14 @@ class BucketTable:
     def insert(self, df: DataFrame, overwrite: bool = False) -> None:
         self._placed(df, self.buckets()).write.insertInto(self.name, overwrite=overwrite)
 
+    def insert_in_turns(self, df: DataFrame, turns: int = TURNS) -> None:
+        """``insert``, some of the buckets after the others: what is shuffled at a time, and lies on the disks
+        beside the table, is one of ``turns`` parts of ``df``. It is read in each turn. If it stops, some
+        buckets have their rows and the others have none of them."""
+        bucket = F.pmod(F.hash(self.key), F.lit(self.buckets()))
+        for turn in range(turns):
+            self.insert(df.filter(F.pmod(bucket, F.lit(turns)) == turn))
+
     def replace_part(self, df: DataFrame, **part: str | int) -> None:
         """``df`` as the whole content of one part."""
         view = f"part_{uuid.uuid4().hex}"
@@ -123,7 +136,7 @@ class BucketTable:
         columns = columns_of(self.schema) + (f", {self.parts}" if self.parts else "")
         parts = ", ".join(part.split()[0] for part in self.parts.split(",")) if self.parts else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression '{COMPRESSION}')"
             + (f" PARTITIONED BY ({parts})" if parts else "")
             + f" CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {buckets} BUCKETS"
             + f" LOCATION '{self.place.path}/{uuid.uuid4().hex}'"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paperloom.functions.articles import ARTICLE_SCHEMA
+from paperloom.sinks import tables
 from paperloom.sinks.tables import BucketTable, TablePlace
 from paperloom.sources.jdbc import read_options, read_table
 
@@ -33,6 +34,16 @@ class TableTarget(BucketTable):
         self.insert(df)
         self.grow()
 
+    def append_new(self, df: DataFrame, expected: int = 0) -> None:
+        """``append`` of rows whose keys the table lacks. Many go in turns: should one of them fail, the
+        same load brings what is left."""
+        self.make_room(expected)
+        if expected > tables.TURN_BYTES:
+            self.insert_in_turns(df)
+        else:
+            self.insert(df)
+        self.grow()
+
 
 class JdbcTarget:
     def __init__(
@@ -71,3 +82,5 @@ class JdbcTarget:
 
     def append(self, df: DataFrame, expected: int = 0) -> None:
         df.write.format("jdbc").options(**self.write_options()).mode("append").save()
+
+    append_new = append

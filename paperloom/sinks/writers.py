@@ -8,6 +8,9 @@ from paperloom.functions.articles import list_to_text
 
 ROWS_PER_FILE = 100_000
 
+# Of Parquet files that stay: a third less than Spark's default on texts.
+COMPRESSION = "zstd"
+
 # How both sides spell a field, so that what is written comes back: outer spaces stay, and NULL
 # differs from the empty string.
 CSV_OPTIONS = {
@@ -30,10 +33,12 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, compression: str | None = None) -> None:
     """Replace ``path`` by header CSV files, written in parallel and of bounded size.
     Lists become JSON arrays, which ``parse_list_literal`` reads back."""
     writer = _as_text(df).write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     writer.options(**CSV_OPTIONS, maxRecordsPerFile=str(rows_per_file)).csv(path)
 
 
@@ -62,7 +67,7 @@ def write_csv_parts(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE
 def write_run(articles: DataFrame, path: str, run_id: str) -> None:
     """The articles of one harvest run under their own folder; a repeated run replaces
     only itself."""
-    articles.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    articles.write.mode("overwrite").parquet(f"{path}/run_id={run_id}", compression=COMPRESSION)
 
 
 def land_raw(raw: DataFrame, path: str, by: str = "year") -> None:

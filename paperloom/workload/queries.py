@@ -566,7 +566,9 @@ def search_stream(spark, sf_dir):
 
 
 def _harvest(spark, sf_dir, years, details=None, rejects_path=None, cap=None):
-    raw = stage_table(raw_from_tables(spark, sf_dir), "raw")
+    raw = raw_from_tables(spark, sf_dir)
+    if details:
+        raw = stage_table(raw, "raw")
     order = [F.desc("citations"), F.col("url")]
     target = TableTarget(spark, _place(spark, "all")).create()
     return jobs.harvest(
